@@ -36,3 +36,58 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("username"),
         F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"))
+
+
+def active_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users left after a delete list (accounts with a negative balance are
+    deleted): the side against which orphans are found."""
+    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+    return c.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("username"))
+
+
+def refetched(spark: SparkSession, sf_dir: str, width: str = MINUTE) -> DataFrame:
+    """Two overlapping fetches of the same candles (every candle twice), the
+    situation minute-rate fetches of 600 candles produce."""
+    b = bronze(spark, sf_dir, width, keyed=True)
+    return b.unionByName(b)
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction log fixture: every keyed minute candle is a request; the
+    prediction is MA_5, the horizon ten minutes; user_id cycles over all
+    customers with the candle's epoch minute."""
+    from kandela.functions.scalar import horizon_time
+    from kandela.operators.features import add_features
+    n_users = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
+    f = add_features(bronze(spark, sf_dir, MINUTE, keyed=True), keys=["symbol"])
+    t = F.col("open_time")
+    minute = F.expr("unix_timestamp(open_time) div 60")
+    return f.select(
+        ((minute % n_users) + 1).alias("user_id"),
+        "symbol",
+        t.alias("timestamp"),
+        horizon_time(t, 10).alias("prediction_for"),
+        F.col("close").alias("current_price"),
+        F.col("MA_5").alias("predicted_price"),
+        F.lit(None).cast("double").alias("actual_price"),
+        F.lit("v1.0.0").alias("model_version"),
+        F.lit(None).cast("double").alias("error"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(history, requests): the newest keyed minute candle of each symbol is a
+    scoring request; history is every other candle."""
+    from kandela.operators.topk import latest_row
+    b = bronze(spark, sf_dir, MINUTE, keyed=True)
+    newest = latest_row(b, ["symbol"])
+    n_users = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
+    req = newest.select(
+        F.xxhash64("symbol", "open_time").alias("request_id"), "symbol",
+        ((F.col("number_of_trades") % n_users) + 1).alias("user_id"),
+        F.col("open_time").alias("requested_at"),
+        F.col("open").alias("open_price"), F.col("high").alias("high_price"),
+        F.col("low").alias("low_price"), F.col("close").alias("close_price"),
+        "volume", "quote_asset_volume", "number_of_trades",
+        "taker_buy_base_volume", "taker_buy_quote_volume")
+    history = b.join(newest.select("symbol", "open_time"), ["symbol", "open_time"], "left_anti")
+    return history, req

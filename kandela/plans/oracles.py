@@ -90,4 +90,179 @@ FROM ({bars_sql('hour')}) b"""
     o["time_index"] = (f"SELECT symbol, open_time, close, "
                        f"row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS rn "
                        f"FROM ({bars_sql('minute', True)}) b")
+    _more(o)
     return o
+
+
+NUMERIC_SILVER = ["open", "high", "low", "close", "volume", "quote_asset_volume",
+                  "number_of_trades", "taker_buy_base_volume", "taker_buy_quote_volume",
+                  "close_t_plus_10", "return_1m", "MA_5", "MA_10", "taker_ratio"]
+FEATURES13 = ["open", "high", "low", "close", "volume", "quote_asset_volume",
+              "number_of_trades", "taker_buy_base_volume", "taker_buy_quote_volume",
+              "return_1m", "MA_5", "MA_10", "taker_ratio"]
+FEATURE_TABLE = ["open_time", "open", "high", "low", "close", "volume", "close_time",
+                 "quote_asset_volume", "number_of_trades", "taker_buy_base_volume",
+                 "taker_buy_quote_volume", "close_t_plus_10", "return_1m", "MA_5", "MA_10",
+                 "taker_ratio"]
+
+
+def predictions_sql() -> str:
+    feat = features_sql(bars_sql("minute", True), True)
+    return f"""
+SELECT (floor(epoch(open_time) / 60)::BIGINT % (SELECT count(*) FROM customer)) + 1 AS user_id, symbol,
+       open_time AS timestamp, open_time + INTERVAL 10 MINUTE AS prediction_for,
+       close AS current_price, MA_5 AS predicted_price, NULL::DOUBLE AS actual_price,
+       'v1.0.0' AS model_version, NULL::DOUBLE AS error
+FROM ({feat}) f"""
+
+
+USERS = ("SELECT c_custkey AS user_id, c_name AS username, "
+         "lower(replace(c_name, '#', '.')) || '@example.com' AS email, "
+         "TIMESTAMP '2024-01-01 00:00:00' AS created_at FROM customer")
+
+
+def _split(cmp: str) -> str:
+    return f"""
+SELECT open_time, close, close_t_plus_10, rn FROM (
+  SELECT open_time, close, close_t_plus_10,
+         row_number() OVER (ORDER BY open_time) AS rn, count(*) OVER () AS n
+  FROM ({silver_sql('hour')}) s) i
+WHERE rn {cmp} floor(n * 0.8)"""
+
+
+def _flag() -> str:
+    return f"""
+WITH s AS ({silver_sql('hour')}),
+q AS (SELECT quantile_disc(close_t_plus_10, 0.25) AS q1,
+             quantile_disc(close_t_plus_10, 0.75) AS q3 FROM s)
+SELECT open_time, close_t_plus_10,
+       coalesce(close_t_plus_10 < q1 - 1.5 * (q3 - q1)
+                OR close_t_plus_10 > q3 + 1.5 * (q3 - q1), false) AS is_outlier
+FROM s, q"""
+
+
+def _settled() -> str:
+    return f"""
+SELECT p.user_id, p.symbol, p.timestamp, p.prediction_for, p.current_price, p.predicted_price,
+       b.close AS actual_price, p.model_version, p.predicted_price - b.close AS error
+FROM ({predictions_sql()}) p
+LEFT JOIN ({bars_sql('minute', True)}) b
+  ON b.symbol = p.symbol AND b.open_time = date_trunc('minute', p.prediction_for)"""
+
+
+def _more(o: dict) -> None:
+    silver_h = silver_sql("hour")
+    feat_h = features_sql(bars_sql("hour"), False)
+    o["epoch_seconds"] = f"""
+SELECT open_time, floor(epoch(open_time))::BIGINT AS open_epoch,
+       floor(epoch(close_time))::BIGINT AS close_epoch FROM ({bars_sql('minute')}) b"""
+    o["kline_parse"] = f"SELECT *, '0' AS ignore FROM ({bars_sql('minute', True)}) b"
+    o["drop_columns"] = bars_sql("hour")
+    o["numeric_profile"] = rounded(
+        f"SELECT {', '.join(NUMERIC_SILVER)} FROM ({silver_h}) s", DERIVED)
+    o["lookup_first"] = f"SELECT * FROM ({USERS}) u WHERE username = 'Customer#000000007' LIMIT 1"
+    o["bronze_merge"] = bars_sql("hour", True)
+    o["silver_roundtrip"] = silver_rounded("hour")
+    o["sink_recount"] = f"""
+SELECT count(*) AS source_rows, count(*) AS target_rows, 0::BIGINT AS missing_rows,
+       0::BIGINT AS extra_rows FROM ({bars_sql('minute')}) b"""
+    o["preview_ordered"] = f"SELECT * FROM ({silver_rounded('hour')}) s ORDER BY open_time LIMIT 5"
+    o["split_train"] = _split("<=")
+    o["split_test"] = _split(">")
+    o["outlier_flag"] = _flag()
+    o["outlier_rows"] = f"SELECT * FROM ({_flag()}) f WHERE is_outlier"
+    o["outlier_count"] = f"SELECT count_if(is_outlier) AS outlier_count FROM ({_flag()}) f"
+    o["iqr_bounds"] = f"""
+SELECT round(q1, {R}) AS Q1, round(q3, {R}) AS Q3, round(q3 - q1, {R}) AS IQR,
+       round(q1 - 1.5 * (q3 - q1), {R}) AS lower_bound, round(q3 + 1.5 * (q3 - q1), {R}) AS upper_bound
+FROM (SELECT quantile_disc(close_t_plus_10, 0.25) AS q1,
+             quantile_disc(close_t_plus_10, 0.75) AS q3 FROM ({silver_h}) s) q"""
+    feat_m = features_sql(bars_sql("minute"), False)
+    not_null = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in NUMERIC_SILVER)
+    o["dropna_subset"] = rounded(f"SELECT * FROM ({feat_m}) f WHERE {not_null}", DERIVED)
+    o["null_profile"] = "SELECT " + ", ".join(
+        f"count_if({c} IS NULL) AS {c}" for c in FEATURE_TABLE) + f" FROM ({feat_h}) f"
+    o["row_count"] = f"SELECT count(*) AS row_count FROM ({silver_h}) s"
+    refetch = f"SELECT * FROM ({bars_sql('minute', True)}) a UNION ALL SELECT * FROM ({bars_sql('minute', True)}) b"
+    o["distinct_rows"] = f"""
+WITH r AS ({refetch})
+SELECT (SELECT count(*) FROM r) AS row_count,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM r) d) AS distinct_rows"""
+    o["duplicate_count"] = f"""
+WITH r AS ({refetch})
+SELECT (SELECT count(*) FROM r) - (SELECT count(*) FROM (SELECT DISTINCT * FROM r) d) AS duplicate_count"""
+    parts = []
+    for c in NUMERIC_SILVER:
+        x = f"{c}::DOUBLE"
+        parts.append(f"SELECT '{c}' AS column_name, count({x}) AS count, round(avg({x}), {R}) AS mean, "
+                     f"round(stddev_samp({x}), {R}) AS stddev, round(min({x}), {R}) AS min, "
+                     f"round(max({x}), {R}) AS max FROM s")
+    o["describe_stats"] = f"WITH s AS ({silver_h}) " + " UNION ALL ".join(parts)
+    nul = " + ".join(f"({c} IS NULL)::INT" for c in FEATURE_TABLE)
+    anyn = " OR ".join(f"{c} IS NULL" for c in FEATURE_TABLE)
+    o["quality_profile"] = f"""
+WITH f AS ({feat_h})
+SELECT (SELECT count(*) FROM f) AS row_count,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM f) d) AS distinct_rows,
+       (SELECT count(*) FROM f) - (SELECT count(*) FROM (SELECT DISTINCT * FROM f) d) AS duplicate_count,
+       (SELECT coalesce(sum({nul}), 0)::BIGINT FROM f) AS null_cells,
+       (SELECT count_if({anyn}) FROM f) AS rows_with_null"""
+    o["regression_metrics"] = f"""
+SELECT count(*) AS n, round(sqrt(avg((close - close_t_plus_10) ^ 2)), {R}) AS rmse,
+       round(avg(abs(close - close_t_plus_10)), {R}) AS mae,
+       round(1 - avg((close - close_t_plus_10) ^ 2) / var_pop(close_t_plus_10), {R}) AS r2
+FROM ({silver_h}) s"""
+    o["latest_k"] = f"SELECT * FROM ({bars_sql('minute')}) b ORDER BY open_time DESC LIMIT 10"
+    top = (f"SELECT * FROM ({bars_sql('minute', True)}) b "
+           "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= {k}")
+    o["latest_k_per_key"] = top.format(k=10)
+    o["latest_row"] = top.format(k=1)
+    o["history_plus_new"] = f"SELECT symbol, open_time, close FROM ({top.format(k=11)}) t"
+    preds = predictions_sql()
+    o["user_predictions"] = rounded(f"""
+SELECT p.user_id, p.symbol, p.timestamp, p.predicted_price, u.username
+FROM ({preds}) p JOIN ({USERS}) u ON u.user_id = p.user_id""", ["predicted_price"])
+    o["orphan_predictions"] = f"""
+SELECT user_id, symbol, timestamp FROM ({preds}) p
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = p.user_id)"""
+    o["unique_violations"] = f"""
+SELECT 'username' AS key_name, username AS key_value, count(*) AS occurrences FROM ({USERS}) u
+GROUP BY username HAVING count(*) > 1
+UNION ALL
+SELECT 'email', email, count(*) FROM ({USERS}) u GROUP BY email HAVING count(*) > 1
+UNION ALL
+SELECT 'pred_key', concat_ws('|', user_id::VARCHAR, strftime(timestamp, '%Y-%m-%d %H:%M:%S'), model_version),
+       count(*) FROM ({preds}) p GROUP BY 2 HAVING count(*) > 1"""
+    o["predicted_change"] = rounded(f"""
+SELECT symbol, timestamp, current_price, predicted_price,
+       (predicted_price - current_price) / nullif(current_price, 0) * 100.0 AS predicted_change
+FROM ({preds}) p""", ["current_price", "predicted_price", "predicted_change"])
+    o["prediction_horizon"] = (f"SELECT symbol, open_time AS timestamp, "
+                               f"open_time + INTERVAL 10 MINUTE AS prediction_for "
+                               f"FROM ({bars_sql('minute', True)}) b")
+    o["assemble_features"] = rounded(
+        f"SELECT open_time, {', '.join(FEATURES13)}, close_t_plus_10 FROM ({silver_h}) s", DERIVED
+    ).replace("SELECT * REPLACE (", "SELECT * REPLACE (number_of_trades::DOUBLE AS number_of_trades, ", 1)
+    o["ols_one_feature"] = f"""
+SELECT round(regr_slope(close_t_plus_10, close), {R}) AS slope,
+       round(regr_intercept(close_t_plus_10, close), {R}) AS intercept
+FROM ({_split('<=')}) t"""
+    o["request_features"] = rounded(f"""
+WITH r AS (SELECT * FROM ({bars_sql('minute', True)}) b
+           QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 11),
+f AS (SELECT symbol, open_time, close,
+             (close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) AS return_1m,
+             avg(close) OVER (PARTITION BY symbol ORDER BY open_time ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS MA_5,
+             avg(close) OVER (PARTITION BY symbol ORDER BY open_time ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS MA_10,
+             CASE WHEN volume > 0 THEN taker_buy_base_volume / volume ELSE 0.0 END AS taker_ratio,
+             row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) AS rk
+      FROM r WINDOW w AS (PARTITION BY symbol ORDER BY open_time))
+SELECT symbol, open_time, close, return_1m, MA_5, MA_10, taker_ratio FROM f WHERE rk = 1""",
+        ["return_1m", "MA_5", "MA_10", "taker_ratio"])
+    o["settle_predictions"] = rounded(
+        _settled(), ["current_price", "predicted_price", "actual_price", "error"])
+    o["monitor_daily"] = f"""
+SELECT CAST(timestamp AS DATE) AS day, model_version, count(*) AS n_predictions,
+       count(error) AS n_settled, round(sqrt(avg(error * error)), {R}) AS rmse,
+       round(avg(abs(error)), {R}) AS mae
+FROM ({_settled()}) s GROUP BY 1, 2"""

@@ -12,13 +12,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kandela.functions.scalar import epoch_seconds, taker_ratio
-from kandela.operators.features import add_features
+from kandela.functions.scalar import (epoch_seconds, horizon_time, predicted_change_pct,
+                                      taker_ratio)
+from kandela.operators import quality as Q
+from kandela.operators import relations as J
+from kandela.operators import topk as T
+from kandela.operators.features import add_features, numeric_columns
 from kandela.operators.ordered import time_index
+from kandela.operators.split import chronological_split
 from kandela.plans import fixtures as fx
+from kandela.plans import model as M
 from kandela.plans.common import round_doubles
+from kandela.plans.settlement import monitor_daily, settle
 from kandela.plans.silver import build_silver
-from kandela.session import pin_utc
+from kandela.schema import FEATURE_COLUMNS, LABEL
+from kandela.session import pin_utc, scratch_path
+from kandela.sources import payload as PL
+from kandela.sources import sinks as SK
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -112,8 +122,385 @@ def q_project_bars(spark, sf_dir):
                     "taker_buy_quote_volume")
 
 
+def _silver_h(spark, sf_dir):
+    return build_silver(fx.bronze(spark, sf_dir, fx.HOUR))
+
+
+@query("epoch_seconds")
+def q_epoch_seconds(spark, sf_dir):
+    """P-5: open/close time as epoch seconds (minute bars)."""
+    b = fx.bronze(spark, sf_dir, fx.MINUTE)
+    return b.select("open_time", epoch_seconds("open_time").alias("open_epoch"),
+                    epoch_seconds("close_time").alias("close_epoch"))
+
+
+@query("kline_parse")
+def q_kline_parse(spark, sf_dir):
+    """S-1/P-2..P-4: keyed minute candles -> hourly JSON payloads -> parsed rows."""
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    return PL.parse_klines(PL.to_payloads(b, ["symbol"], per="hour"), keep=["symbol"])
+
+
+@query("drop_columns")
+def q_drop_columns(spark, sf_dir):
+    """P-6: parsed hourly klines without the unused ``ignore`` field."""
+    b = fx.bronze(spark, sf_dir, fx.HOUR)
+    return PL.parse_klines(PL.to_payloads(b, per="day")).drop("ignore")
+
+
+@query("numeric_profile")
+def q_numeric_profile(spark, sf_dir):
+    """P-8/M-2: silver restricted to its numeric feature columns + label."""
+    s = _silver_h(spark, sf_dir)
+    return round_doubles(s.select(*numeric_columns(s), LABEL))
+
+
+@query("schema_table")
+def q_schema_table(spark, sf_dir):
+    """P-9: (pos, name, type) of the silver schema."""
+    s = _silver_h(spark, sf_dir)
+    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(s.schema.fields)]
+    return spark.createDataFrame(rows, "pos int, name string, type string")
+
+
+@query("lookup_first")
+def q_lookup_first(spark, sf_dir):
+    """S-7: first user row with a given username (unique key)."""
+    return J.lookup_first(fx.users(spark, sf_dir), "username", "Customer#000000007")
+
+
+# ---------------------------------------------------------------- sinks
+@query("bronze_merge")
+def q_bronze_merge(spark, sf_dir):
+    """K-1: two overlapping fetches of keyed hourly candles merged on
+    (symbol, open_time), latest fetch winning."""
+    b = fx.bronze(spark, sf_dir, fx.HOUR, keyed=True)
+    return SK.merge_bronze(b.withColumn("_fetch", F.lit(1)), b.withColumn("_fetch", F.lit(2)))
+
+
+@query("silver_roundtrip")
+def q_silver_roundtrip(spark, sf_dir):
+    """K-2: silver written as Parquet (partitioned by day) and read back."""
+    s = round_doubles(_silver_h(spark, sf_dir))
+    path = scratch_path(spark, "silver")
+    s.withColumn("dt", F.to_date("open_time")).write.mode("overwrite").partitionBy("dt") \
+        .parquet(path)
+    return spark.read.parquet(path).select(*s.columns)
+
+
+@query("sink_recount")
+def q_sink_recount(spark, sf_dir):
+    """K-5: write minute candles, read back, compare counts and contents."""
+    b = fx.bronze(spark, sf_dir, fx.MINUTE)
+    path = scratch_path(spark, "recount")
+    back = SK.roundtrip(b, path)
+    return SK.write_check(fx.bronze(spark, sf_dir, fx.MINUTE), back)
+
+
+@query("preview_ordered")
+def q_preview_ordered(spark, sf_dir):
+    """K-8: the first five silver rows in time order."""
+    return round_doubles(T.preview(_silver_h(spark, sf_dir), 5))
+
+
+# ---------------------------------------------------------------- filters / quality
+@query("split_train")
+def q_split_train(spark, sf_dir):
+    """F-1/M-4: earliest floor(0.8 n) silver rows."""
+    s = _silver_h(spark, sf_dir).select("open_time", "close", LABEL)
+    tr, _ = chronological_split(s, 0.8, keep_index=True)
+    return tr
+
+
+@query("split_test")
+def q_split_test(spark, sf_dir):
+    """F-1/M-4: the remaining silver rows."""
+    s = _silver_h(spark, sf_dir).select("open_time", "close", LABEL)
+    _, te = chronological_split(s, 0.8, keep_index=True)
+    return te
+
+
+@query("outlier_flag")
+def q_outlier_flag(spark, sf_dir):
+    """F-3: IQR flag on the target (fences from percentile_approx)."""
+    s = _silver_h(spark, sf_dir).select("open_time", LABEL)
+    return Q.flag_outliers(s, LABEL)
+
+
+@query("outlier_rows")
+def q_outlier_rows(spark, sf_dir):
+    """F-2: only the flagged rows."""
+    s = _silver_h(spark, sf_dir).select("open_time", LABEL)
+    return Q.outlier_rows(s, LABEL)
+
+
+@query("outlier_count")
+def q_outlier_count(spark, sf_dir):
+    """M-10: number of flagged rows."""
+    return Q.outlier_count(_silver_h(spark, sf_dir), LABEL)
+
+
+@query("iqr_bounds")
+def q_iqr_bounds(spark, sf_dir):
+    """A-5/X-6: Q1, Q3, IQR, fences of the target."""
+    return round_doubles(Q.iqr_bounds(_silver_h(spark, sf_dir), LABEL))
+
+
+@query("approx_median")
+def q_approx_median(spark, sf_dir):
+    """A-6: median of the target with relative error 0.1."""
+    return Q.approx_median(_silver_h(spark, sf_dir), LABEL, 0.1)
+
+
+@query("dropna_subset")
+def q_dropna_subset(spark, sf_dir):
+    """F-4: minute features, rows with NULL/NaN in any numeric column or the
+    label dropped (the training job's rule)."""
+    f = add_features(fx.bronze(spark, sf_dir, fx.MINUTE))
+    return round_doubles(f.na.drop(subset=numeric_columns(f) + [LABEL]))
+
+
+@query("null_profile")
+def q_null_profile(spark, sf_dir):
+    """A-2/F-5: NULL count per column of the hourly feature table."""
+    return Q.null_profile(_hour_features(spark, sf_dir))
+
+
+@query("row_count")
+def q_row_count(spark, sf_dir):
+    """A-1: silver row count."""
+    return Q.row_count(_silver_h(spark, sf_dir))
+
+
+@query("distinct_rows")
+def q_distinct_rows(spark, sf_dir):
+    """A-3: rows and distinct rows of two overlapping fetches."""
+    return Q.distinct_profile(fx.refetched(spark, sf_dir)).select("row_count", "distinct_rows")
+
+
+@query("duplicate_count")
+def q_duplicate_count(spark, sf_dir):
+    """A-3: duplicate rows of two overlapping fetches."""
+    return Q.distinct_profile(fx.refetched(spark, sf_dir)).select("duplicate_count")
+
+
+@query("describe_stats")
+def q_describe_stats(spark, sf_dir):
+    """A-4: count/mean/stddev/min/max per numeric silver column."""
+    return round_doubles(Q.describe_long(_silver_h(spark, sf_dir)))
+
+
+@query("quality_profile")
+def q_quality_profile(spark, sf_dir):
+    """M-11: one-row quality summary of the feature table."""
+    return Q.quality_profile(_hour_features(spark, sf_dir))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    """A-7..A-9: RMSE, MAE, R^2 of the naive predictor (close) on silver."""
+    s = _silver_h(spark, sf_dir).withColumn("prediction", F.col("close"))
+    return round_doubles(M.regression_metrics(s))
+
+
+# ---------------------------------------------------------------- top-k / union
+@query("latest_k")
+def q_latest_k(spark, sf_dir):
+    """T-1/T-3: the ten newest minute candles, ascending."""
+    return T.latest_k(fx.bronze(spark, sf_dir, fx.MINUTE), 10)
+
+
+@query("latest_k_per_key")
+def q_latest_k_per_key(spark, sf_dir):
+    """T-1: the ten newest minute candles of every symbol."""
+    return T.latest_k_per_key(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"], 10)
+
+
+@query("latest_row")
+def q_latest_row(spark, sf_dir):
+    """T-2: the newest minute candle of every symbol."""
+    return T.latest_row(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"])
+
+
+@query("history_plus_new")
+def q_history_plus_new(spark, sf_dir):
+    """U-1: ten newest candles of each symbol plus the request candle."""
+    hist, req = fx.requests(spark, sf_dir)
+    h = T.latest_k_per_key(hist, ["symbol"], 10).select("symbol", "open_time", "close")
+    r = req.select("symbol", F.col("requested_at").alias("open_time"),
+                   F.col("close_price").alias("close"))
+    return T.append_rows(h, r)
+
+
+# ---------------------------------------------------------------- relations
+@query("user_predictions")
+def q_user_predictions(spark, sf_dir):
+    """J-1: prediction log joined to users."""
+    p = fx.predictions(spark, sf_dir).select("user_id", "symbol", "timestamp", "predicted_price")
+    return round_doubles(J.user_predictions(p, fx.users(spark, sf_dir)))
+
+
+@query("orphan_predictions")
+def q_orphan_predictions(spark, sf_dir):
+    """J-2: predictions whose user was deleted."""
+    p = fx.predictions(spark, sf_dir).select("user_id", "symbol", "timestamp")
+    return J.orphan_predictions(p, fx.active_users(spark, sf_dir))
+
+
+@query("unique_violations")
+def q_unique_violations(spark, sf_dir):
+    """J-3: duplicated usernames / emails / (user, time, version) keys."""
+    u = J.unique_violations(fx.users(spark, sf_dir), ["username", "email"])
+    p = fx.predictions(spark, sf_dir).withColumn(
+        "pred_key", F.concat_ws("|", F.col("user_id").cast("string"),
+                                F.col("timestamp").cast("string"), "model_version"))
+    return u.unionByName(J.unique_violations(p, ["pred_key"]))
+
+
+# ---------------------------------------------------------------- scalar
+@query("predicted_change")
+def q_predicted_change(spark, sf_dir):
+    """X-3: predicted move in percent."""
+    p = fx.predictions(spark, sf_dir)
+    return round_doubles(p.select("symbol", "timestamp", "current_price", "predicted_price",
+                                  predicted_change_pct().alias("predicted_change")))
+
+
+@query("prediction_horizon")
+def q_prediction_horizon(spark, sf_dir):
+    """X-4: timestamp + 10 minutes."""
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    return b.select("symbol", F.col("open_time").alias("timestamp"),
+                    horizon_time("open_time", 10).alias("prediction_for"))
+
+
+# ---------------------------------------------------------------- model
+@query("assemble_features")
+def q_assemble_features(spark, sf_dir):
+    """M-3: the 13-feature vector, flattened back to columns."""
+    frame = M.ml_frame(_silver_h(spark, sf_dir))
+    return round_doubles(M.flatten_features(frame))
+
+
+@query("assemble_skip")
+def q_assemble_skip(spark, sf_dir):
+    """F-7: assembling the unfiltered feature table with handleInvalid=skip."""
+    f = _hour_features(spark, sf_dir)
+    return M.flatten_features(M.assemble(f, handle_invalid="skip")
+                              .select("open_time", "features"))
+
+
+def _split_h(spark, sf_dir):
+    frame = M.ml_frame(_silver_h(spark, sf_dir))
+    return chronological_split(frame, 0.8)
+
+
+@query("ols_one_feature")
+def q_ols_one_feature(spark, sf_dir):
+    """M-5: LinearRegression of the target on close over the training split."""
+    s = _silver_h(spark, sf_dir)
+    tr, _ = chronological_split(M.assemble(s, ["close"]).select("open_time", "features", LABEL),
+                                0.8)
+    m = M.fit_linear(tr)
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 6), round(float(m.intercept), 6))],
+                                 "slope double, intercept double")
+
+
+@query("train_ols")
+def q_train_ols(spark, sf_dir):
+    """M-5: the 13-feature model's coefficients."""
+    tr, _ = _split_h(spark, sf_dir)
+    return M.coefficients_frame(spark, M.fit_linear(tr))
+
+
+@query("score_test")
+def q_score_test(spark, sf_dir):
+    """M-6: test rows with predictions."""
+    tr, te = _split_h(spark, sf_dir)
+    return M.score(M.fit_linear(tr), te).select("open_time", LABEL, "prediction")
+
+
+@query("evaluate_model")
+def q_evaluate_model(spark, sf_dir):
+    """M-7: RMSE/MAE/R^2 on the test split."""
+    tr, te = _split_h(spark, sf_dir)
+    metrics, _ = M.evaluate(M.fit_linear(tr), te)
+    return metrics
+
+
+@query("train_job")
+def q_train_job(spark, sf_dir):
+    """M-8: whole training job (keyed minute candles, DAG feature refit)."""
+    from kandela.plans.training import run_training
+    s = build_silver(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"])
+    res = run_training(s, ["symbol"], refit=True, model_path=scratch_path(spark, "model"))
+    return res.metrics
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """S-5/K-6: save, load, and score with the loaded model."""
+    tr, te = _split_h(spark, sf_dir)
+    m = M.fit_linear(tr)
+    path = scratch_path(spark, "model")
+    M.save_model(m, path)
+    back = M.load_model(path)
+    a = M.score(m, te).select("open_time", F.col("prediction").alias("p_fit"))
+    b = M.score(back, te).select("open_time", F.col("prediction").alias("p_loaded"))
+    return a.join(b, "open_time")
+
+
+# ---------------------------------------------------------------- scoring / log
+def _score(spark, sf_dir):
+    from kandela.plans.scoring import score_candidates
+    from kandela.plans.training import run_training
+    hist, req = fx.requests(spark, sf_dir)
+    s = build_silver(hist, ["symbol"])
+    res = run_training(s, ["symbol"])
+    return score_candidates(hist, req, res.model)
+
+
+@query("score_requests")
+def q_score_requests(spark, sf_dir):
+    """M-9: set-based scoring of the newest candle of every symbol."""
+    return _score(spark, sf_dir).drop("created_at", "updated_at")
+
+
+@query("request_features")
+def q_request_features(spark, sf_dir):
+    """M-9 feature part: serving features of each request candle."""
+    from kandela.plans.scoring import request_features, request_series
+    hist, req = fx.requests(spark, sf_dir)
+    f = request_features(request_series(hist, req))
+    return round_doubles(f.select("symbol", "open_time", "close", "return_1m", "MA_5",
+                                  "MA_10", "taker_ratio"))
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    """K-7: scored requests appended to the Parquet log and read back."""
+    from kandela.plans.scoring import append_predictions
+    path = scratch_path(spark, "predlog")
+    append_predictions(_score(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query("settle_predictions")
+def q_settle_predictions(spark, sf_dir):
+    """R-5: fill actual_price / error from the candle at the horizon."""
+    p = fx.predictions(spark, sf_dir)
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    return round_doubles(settle(p, b))
+
+
+@query("monitor_daily")
+def q_monitor_daily(spark, sf_dir):
+    """R-6: daily RMSE/MAE per model version over settled predictions."""
+    p = fx.predictions(spark, sf_dir)
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    return round_doubles(monitor_daily(settle(p, b)))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return REGISTRY["silver_features"](spark, sf_dir)
 
-
-_ = F  # re-exported helpers are used by later sections
