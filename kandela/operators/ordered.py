@@ -6,11 +6,12 @@ task. Here a series (optionally keyed, e.g. by symbol) is processed as:
 
 1. **Dense index** ``_i`` (0-based, exact and deterministic): rank inside
    (keys, time bucket) with an ordinary partitioned ``row_number``, plus the
-   number of rows in earlier buckets of the same key. The per-bucket counts are
-   a small aggregate (one row per key and bucket); its running sum is a window
-   over that small frame, joined back on (keys, bucket). AQE turns the join into
-   a broadcast at run time when the count frame is small, else it stays a
-   sort-merge join co-partitioned with the ranking window.
+   number of rows in earlier buckets of the same key. The data is exchanged
+   once on (keys, bucket); the per-bucket counts (one row per key and bucket)
+   are aggregated on that same partitioning, their running sum is a window over
+   the small count frame, and the offsets join back on (keys, bucket). AQE
+   broadcasts the offsets at run time when they are small; otherwise only the
+   offsets are shuffled to meet the data's partitioning.
 2. **Halo blocks.** ``block = _i div B``. A row is also copied into the next
    block when it lies in the last ``back`` positions of its block (history for
    lag / trailing frames) and into the previous block when it lies in the first
@@ -44,42 +45,68 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def _bucket(t: Column, bucket_unit) -> Column:
+    """Monotone coarse bucket of the order column: ``date_trunc`` for times,
+    ``floor(t / n)`` when ``bucket_unit`` is a number."""
+    if isinstance(bucket_unit, (int, float)):
+        return F.floor(t / F.lit(bucket_unit))
+    return F.date_trunc(bucket_unit, t)
+
+
 def dense_index(df: DataFrame, order_by, keys: Sequence[str] = (),
-                bucket_unit: str = DEFAULT_BUCKET, index_col: str = _IDX,
+                bucket_unit=DEFAULT_BUCKET, index_col: str = _IDX,
                 total_col: str | None = None) -> DataFrame:
     """Add ``index_col``: 0-based position of each row in its series.
 
-    ``order_by[0]`` must be the time column; further entries break ties. The
-    bucket (``date_trunc(bucket_unit, time)``) must be a monotone function of the
-    time, which any truncation is. ``total_col`` adds the series length (taken
-    from the same small count frame, so it costs no extra pass).
+    ``order_by[0]`` is the time column; further entries break ties. Nulls sort
+    first, as in an ascending window. ``total_col`` adds the series length
+    (taken from the same small count frame, so it costs no extra pass).
+
+    One exchange of the data: ``repartition(struct(keys), null flag, bucket)``.
+    The ranking window and the join with the offsets use that partitioning; the
+    per-bucket counts are partial-aggregated before their own (small) exchange. Join keys
+    are plain non-null columns (keys wrapped in a struct, whose equality treats
+    NULL fields as equal), so a sort-merge join does not re-shuffle the data.
     """
     order_by = _as_list(order_by)
     keys = list(keys)
     t0 = order_by[0]
     t0 = F.col(t0) if isinstance(t0, str) else t0
-    d = df.withColumn(_BKT, F.date_trunc(bucket_unit, t0))
-
-    counts = d.groupBy(*keys, _BKT).agg(F.count(F.lit(1)).alias("_bn"))
-    by_key = Window.partitionBy(*keys)
-    before = by_key.orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
+    b = _bucket(t0, bucket_unit)
+    part = (["_sk"] if keys else []) + ["_bnull", _BKT]
+    d0 = df.withColumns({
+        **({"_sk": F.struct(*[F.col(k) for k in keys])} if keys else {}),
+        "_bnull": b.isNull(),
+        _BKT: F.coalesce(b, _min_like(b, bucket_unit)),
+    })
+    d = d0.repartition(*part)
+
+    ranked = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order_by)))
+    # counts from the un-shuffled frame: partial aggregation map-side, so only
+    # one row per (map task, key, bucket) crosses the network
+    counts = d0.groupBy(*part).agg(F.count(F.lit(1)).alias("_bn"))
+    by_key = Window.partitionBy(*(["_sk"] if keys else []))
+    before = by_key.orderBy(F.col("_bnull").desc(), F.col(_BKT)) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col(_BKT).alias("_o_bkt"),
+        *part,
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).cast("long").alias("_off"),
         *([F.sum("_bn").over(by_key).cast("long").alias(total_col)] if total_col else []))
-
-    local = Window.partitionBy(*keys, _BKT).orderBy(*order_by)
-    d = d.withColumn("_rn", F.row_number().over(local))
-    cond = [d[k].eqNullSafe(offs[f"_o_{k}"]) for k in keys] + [d[_BKT].eqNullSafe(offs["_o_bkt"])]
-    out = d.join(offs, on=cond, how="inner")
+    out = ranked.join(offs, on=part, how="inner")
     out = out.withColumn(index_col, F.col("_off") + F.col("_rn") - F.lit(1))
-    drop = [f"_o_{k}" for k in keys] + ["_o_bkt", "_off", "_rn", _BKT]
-    return out.drop(*drop)
+    return out.drop(*part, "_off", "_rn")
+
+
+def _min_like(b: Column, bucket_unit) -> Column:
+    """A constant of the bucket's type, used in place of a NULL bucket (the
+    ``_bnull`` flag keeps NULL-time rows apart and first)."""
+    if isinstance(bucket_unit, (int, float)):
+        return F.lit(0).cast("long")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp")
 
 
 def time_index(df: DataFrame, order_by, keys: Sequence[str] = (), name: str = "rn",
-               bucket_unit: str = DEFAULT_BUCKET, total_col: str | None = None) -> DataFrame:
+               bucket_unit=DEFAULT_BUCKET, total_col: str | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order_by)`` without the
     single-partition exchange (1-based, like ``row_number``)."""
     out = dense_index(df, order_by, keys, bucket_unit, index_col="_ti", total_col=total_col)
@@ -89,7 +116,7 @@ def time_index(df: DataFrame, order_by, keys: Sequence[str] = (), name: str = "r
 def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Column]],
                    order_by, keys: Sequence[str] = (), back: int = 0, fwd: int = 0,
                    method: str = "halo", block_rows: int = DEFAULT_BLOCK_ROWS,
-                   bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
+                   bucket_unit=DEFAULT_BUCKET) -> DataFrame:
     """Add the window columns built by ``columns(w)``.
 
     ``w`` is a window ordered along each series; ``columns`` may use offset
@@ -119,6 +146,8 @@ def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Colu
         if fwd > 0 else F.lit(None).cast("long"))
     ex = (idx.withColumn("_own", own)
              .withColumn("_blk", F.explode(F.filter(copies, lambda x: x.isNotNull()))))
-    w = Window.partitionBy(*keys, "_blk").orderBy(_IDX)
+    if keys:
+        ex = ex.withColumn("_sk", F.struct(*[F.col(k) for k in keys]))
+    w = Window.partitionBy(*(["_sk"] if keys else []), "_blk").orderBy(_IDX)
     out = ex.withColumns(columns(w))
-    return out.filter(F.col("_blk") == F.col("_own")).drop("_blk", "_own", _IDX)
+    return out.filter(F.col("_blk") == F.col("_own")).drop("_blk", "_own", "_sk", _IDX)
