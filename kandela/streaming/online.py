@@ -94,7 +94,8 @@ def make_update(ratio_on_zero: str = "zero"):
 
 
 def online_features(bars: DataFrame, ratio_on_zero: str = "zero") -> DataFrame:
-    """Streaming (or batch) bars -> serving features per symbol, in order."""
+    """Streaming bars -> serving features per symbol, in order (a streaming
+    frame is required: ``applyInPandasWithState`` is streaming-only)."""
     cols = ["symbol", "open_time", *VALUE_COLS]
     return (bars.select(*cols).groupBy("symbol")
             .applyInPandasWithState(make_update(ratio_on_zero), OUTPUT_SCHEMA, STATE_SCHEMA,
