@@ -261,6 +261,11 @@ SELECT symbol, open_time, close, return_1m, MA_5, MA_10, taker_ratio FROM f WHER
         ["return_1m", "MA_5", "MA_10", "taker_ratio"])
     o["settle_predictions"] = rounded(
         _settled(), ["current_price", "predicted_price", "actual_price", "error"])
+    o["stream_dedup"] = bars_sql("minute", True)
+    feat_k = features_sql(bars_sql("minute", True), True, ratio="zero")
+    o["stream_features"] = rounded(
+        f"SELECT * EXCLUDE (close_time, close_t_plus_10), 0::BIGINT AS late_rows FROM ({feat_k}) f",
+        DERIVED)
     o["monitor_daily"] = f"""
 SELECT CAST(timestamp AS DATE) AS day, model_version, count(*) AS n_predictions,
        count(error) AS n_settled, round(sqrt(avg(error * error)), {R}) AS rmse,

@@ -501,6 +501,49 @@ def q_monitor_daily(spark, sf_dir):
     return round_doubles(monitor_daily(settle(p, b)))
 
 
+# ---------------------------------------------------------------- streaming
+def _payload_dir(spark, sf_dir, per="day"):
+    """Payload files of keyed minute candles, written twice (two overlapping
+    fetches), in a fresh folder under the shared checkpoint folder."""
+    from kandela.streaming.ingest import write_payload_files
+    docs = PL.to_payloads(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"], per=per)
+    src = scratch_path(spark, "payloads")
+    write_payload_files(docs, src)
+    write_payload_files(docs, src)
+    return src
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """R-1/R-2: payload files landed by Structured Streaming (availableNow),
+    closed candles only, duplicates dropped within the watermark."""
+    from kandela.streaming.ingest import land_bronze
+    src = _payload_dir(spark, sf_dir)
+    out, ck = scratch_path(spark, "landed"), scratch_path(spark, "landed-ck")
+    land_bronze(spark, src, out, ck).awaitTermination()
+    return spark.read.parquet(out).drop("dt")
+
+
+@query("stream_features")
+def q_stream_features(spark, sf_dir):
+    """R-3: online per-symbol features from a stream of candle files (state
+    holds the last nine closes); equals the batch features."""
+    from kandela.streaming.online import online_features
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    src = scratch_path(spark, "bars")
+    b.withColumn("dt", F.to_date("open_time")).write.mode("overwrite").partitionBy("dt") \
+        .parquet(src)
+    stream = spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 8).parquet(src)
+    out, ck = scratch_path(spark, "online"), scratch_path(spark, "online-ck")
+    (online_features(stream).writeStream.format("parquet").option("checkpointLocation", ck)
+     .trigger(availableNow=True).start(out).awaitTermination())
+    return round_doubles(spark.read.schema(
+        "symbol string, open_time timestamp_ntz, open double, high double, low double, "
+        "close double, volume double, quote_asset_volume double, number_of_trades bigint, "
+        "taker_buy_base_volume double, taker_buy_quote_volume double, return_1m double, "
+        "MA_5 double, MA_10 double, taker_ratio double, late_rows bigint").parquet(out))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return REGISTRY["silver_features"](spark, sf_dir)
 
