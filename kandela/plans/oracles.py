@@ -171,7 +171,7 @@ SELECT count(*) AS source_rows, count(*) AS target_rows, 0::BIGINT AS missing_ro
     o["split_test"] = _split(">")
     o["outlier_flag"] = _flag()
     o["outlier_rows"] = f"SELECT * FROM ({_flag()}) f WHERE is_outlier"
-    o["outlier_count"] = f"SELECT count_if(is_outlier) AS outlier_count FROM ({_flag()}) f"
+    o["outlier_count"] = f"SELECT count_if(is_outlier)::BIGINT AS outlier_count FROM ({_flag()}) f"
     o["iqr_bounds"] = f"""
 SELECT round(q1, {R}) AS Q1, round(q3, {R}) AS Q3, round(q3 - q1, {R}) AS IQR,
        round(q1 - 1.5 * (q3 - q1), {R}) AS lower_bound, round(q3 + 1.5 * (q3 - q1), {R}) AS upper_bound
@@ -181,7 +181,7 @@ FROM (SELECT quantile_disc(close_t_plus_10, 0.25) AS q1,
     not_null = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in NUMERIC_SILVER)
     o["dropna_subset"] = rounded(f"SELECT * FROM ({feat_m}) f WHERE {not_null}", DERIVED)
     o["null_profile"] = "SELECT " + ", ".join(
-        f"count_if({c} IS NULL) AS {c}" for c in FEATURE_TABLE) + f" FROM ({feat_h}) f"
+        f"count_if({c} IS NULL)::BIGINT AS {c}" for c in FEATURE_TABLE) + f" FROM ({feat_h}) f"
     o["row_count"] = f"SELECT count(*) AS row_count FROM ({silver_h}) s"
     refetch = f"SELECT * FROM ({bars_sql('minute', True)}) a UNION ALL SELECT * FROM ({bars_sql('minute', True)}) b"
     o["distinct_rows"] = f"""
@@ -206,7 +206,7 @@ SELECT (SELECT count(*) FROM f) AS row_count,
        (SELECT count(*) FROM (SELECT DISTINCT * FROM f) d) AS distinct_rows,
        (SELECT count(*) FROM f) - (SELECT count(*) FROM (SELECT DISTINCT * FROM f) d) AS duplicate_count,
        (SELECT coalesce(sum({nul}), 0)::BIGINT FROM f) AS null_cells,
-       (SELECT count_if({anyn}) FROM f) AS rows_with_null"""
+       (SELECT count_if({anyn})::BIGINT FROM f) AS rows_with_null"""
     o["regression_metrics"] = f"""
 SELECT count(*) AS n, round(sqrt(avg((close - close_t_plus_10) ^ 2)), {R}) AS rmse,
        round(avg(abs(close - close_t_plus_10)), {R}) AS mae,
