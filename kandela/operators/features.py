@@ -51,13 +51,13 @@ def add_features(bars: DataFrame, keys: Sequence[str] = (), time_col: str = "ope
     fwd = horizon if with_target else 0
     out = ordered_window(bars, cols, _series_order(bars, time_col), keys, back=back, fwd=fwd,
                          method=method, block_rows=block_rows, bucket_unit=bucket_unit)
-    out = (out.withColumn("return_1m", safe_return("close", "_prev_close"))
-              .withColumn("taker_ratio", taker_ratio(on_zero=ratio_on_zero))
-              .drop("_prev_close"))
-    derived = ([LABEL] if with_target else []) + ["return_1m"] + [f"MA_{n}" for n in ma] + \
-        ["taker_ratio"]
+    derived = {LABEL: F.col(LABEL)} if with_target else {}
+    derived["return_1m"] = safe_return("close", "_prev_close")
+    for n in ma:
+        derived[f"MA_{n}"] = F.col(f"MA_{n}")
+    derived["taker_ratio"] = taker_ratio(on_zero=ratio_on_zero)
     base = [c for c in bars.columns if c not in derived]
-    return out.select(*base, *derived)
+    return out.select(*base, *[v.alias(k) for k, v in derived.items()])
 
 
 def silver(bars: DataFrame, keys: Sequence[str] = (), **kw) -> DataFrame:

@@ -93,8 +93,8 @@ def dense_index(df: DataFrame, order_by, keys: Sequence[str] = (),
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).cast("long").alias("_off"),
         *([F.sum("_bn").over(by_key).cast("long").alias(total_col)] if total_col else []))
     out = ranked.join(offs, on=part, how="inner")
-    out = out.withColumn(index_col, F.col("_off") + F.col("_rn") - F.lit(1))
-    return out.drop(*part, "_off", "_rn")
+    keep = [c for c in df.columns] + ([total_col] if total_col else [])
+    return out.select(*keep, (F.col("_off") + F.col("_rn") - F.lit(1)).alias(index_col))
 
 
 def _min_like(b: Column, bucket_unit) -> Column:
@@ -137,17 +137,16 @@ def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Colu
         raise ValueError(f"block_rows={B} must be >= max(back={back}, fwd={fwd})")
 
     idx = dense_index(df, order_by, keys, bucket_unit)
+    i = F.col(_IDX)
     own = F.expr(f"{_IDX} div {B}")
-    pos = F.pmod(F.col(_IDX), F.lit(B))
+    pos = F.pmod(i, F.lit(B))
     copies = F.array(
-        F.col("_own"),
-        F.when(pos >= F.lit(B - back), F.col("_own") + 1) if back > 0 else F.lit(None).cast("long"),
-        F.when((pos < F.lit(fwd)) & (F.col("_own") > 0), F.col("_own") - 1)
-        if fwd > 0 else F.lit(None).cast("long"))
-    ex = (idx.withColumn("_own", own)
-             .withColumn("_blk", F.explode(F.filter(copies, lambda x: x.isNotNull()))))
-    if keys:
-        ex = ex.withColumn("_sk", F.struct(*[F.col(k) for k in keys]))
+        own,
+        F.when(pos >= F.lit(B - back), own + 1) if back > 0 else F.lit(None).cast("long"),
+        F.when((pos < F.lit(fwd)) & (own > 0), own - 1) if fwd > 0 else F.lit(None).cast("long"))
+    ex = idx.select(*idx.columns, own.alias("_own"),
+                    *([F.struct(*[F.col(k) for k in keys]).alias("_sk")] if keys else []),
+                    F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_blk"))
     w = Window.partitionBy(*(["_sk"] if keys else []), "_blk").orderBy(_IDX)
-    out = ex.withColumns(columns(w))
-    return out.filter(F.col("_blk") == F.col("_own")).drop("_blk", "_own", "_sk", _IDX)
+    out = ex.withColumns(columns(w)).filter(F.col("_blk") == F.col("_own"))
+    return out.select(*df.columns, *[c for c in out.columns if c not in ex.columns])

@@ -17,13 +17,27 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str,
-          schema: StructType | None = None) -> DataFrame:
-    """One driver table (``events``, ``customer``, ...)."""
+          schema: StructType | None = None, refresh: bool = False) -> DataFrame:
+    """One driver table (``events``, ``customer``, ...).
+
+    The scan DataFrame (file listing + footer schema) is reused within a
+    session for read-only input tables; ``refresh=True`` lists the files again.
+    The data itself is never cached: every action reads the files.
+    """
+    path = table_path(sf_dir, name)
+    key = (id(spark), spark.sparkContext.applicationId, path, schema.json() if schema else None)
+    if not refresh and key in _SCANS:
+        return _SCANS[key]
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(table_path(sf_dir, name))
+    df = reader.parquet(path)
+    _SCANS[key] = df
+    return df
 
 
 def load_bars(spark: SparkSession, path: str, schema: StructType | None = BRONZE,
