@@ -14,7 +14,8 @@ global windows, ``first()``. Here n requests are one plan:
 
 Requests never see each other. A request whose candle is not newer than its
 history's newest candle is rejected (``status='stale'``) unless
-``parity=True``, where it is scored like the reference would.
+``parity=True``, where the newest row of its series is scored, as the
+reference's "latest by open_time" does.
 """
 
 from __future__ import annotations
@@ -38,46 +39,57 @@ def requests_frame(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(rows, REQUEST)
 
 
-def request_series(history: DataFrame, requests: DataFrame, k: int = HISTORY_K,
-                   parity: bool = False) -> DataFrame:
-    """Steps 1-2: one (k+1)-row series per request, with ``_is_req`` marking
-    the request row and ``status`` ('ok' / 'stale')."""
+def request_series(history: DataFrame, requests: DataFrame, k: int = HISTORY_K) -> DataFrame:
+    """Steps 1-2: one (k+1)-row series per request; ``_is_req`` marks the
+    request row. The history top-k is computed once and joined once."""
     hist = latest_k_per_key(history.select("symbol", "open_time", *_VALUES), ["symbol"], k)
-    newest = hist.groupBy("symbol").agg(F.max("open_time").alias("_newest"))
-    req = (requests
-           .select("request_id", "symbol", "user_id", "requested_at",
-                   F.col("requested_at").alias("open_time"),
-                   F.col("open_price").alias("open"), F.col("high_price").alias("high"),
-                   F.col("low_price").alias("low"), F.col("close_price").alias("close"),
-                   "volume", "quote_asset_volume", "number_of_trades",
-                   "taker_buy_base_volume", "taker_buy_quote_volume")
-           .join(newest, "symbol", "left")
-           .withColumn("status", F.when(F.col("_newest").isNull() | (F.col("open_time") > F.col("_newest")),
-                                        F.lit("ok")).otherwise(F.lit("stale")))
-           .drop("_newest"))
-    keep = req if parity else req.filter(F.col("status") == "ok")
-    req_rows = keep.withColumn("_is_req", F.lit(True))
-    hist_rows = (keep.select("request_id", "symbol", "user_id", "requested_at", "status")
+    req = requests.select(
+        "request_id", "symbol", "user_id", "requested_at",
+        F.col("requested_at").alias("open_time"),
+        F.col("open_price").alias("open"), F.col("high_price").alias("high"),
+        F.col("low_price").alias("low"), F.col("close_price").alias("close"),
+        "volume", "quote_asset_volume", "number_of_trades",
+        "taker_buy_base_volume", "taker_buy_quote_volume")
+    req_rows = req.withColumn("_is_req", F.lit(True))
+    hist_rows = (req.select("request_id", "symbol", "user_id", "requested_at")
                  .join(hist, "symbol", "inner")
                  .withColumn("_is_req", F.lit(False)))
     return req_rows.unionByName(hist_rows)
 
 
-def request_features(series: DataFrame, ratio_on_zero: str = "zero") -> DataFrame:
-    """Step 3: serving features of each request row (guarded taker ratio, as
-    the serving path computes it)."""
+def request_features(series: DataFrame, ratio_on_zero: str = "zero",
+                     parity: bool = False) -> DataFrame:
+    """Step 3: serving features (guarded taker ratio, as the serving path
+    computes it) and the row to score for each request.
+
+    ``status`` is 'ok' when the request candle is newer than every history
+    candle, else 'stale'. Default: the request row of 'ok' requests. Parity
+    (G10): the newest row of every series, which is a history row when the
+    request is stale, as "latest by open_time" picks it.
+    """
     from pyspark.sql import Window
     w = Window.partitionBy("request_id").orderBy("open_time", F.col("_is_req"))
-    prev = F.lag("close", 1).over(w)
-    out = (series
-           .withColumn("_prev", prev)
-           .withColumn("MA_5", F.avg("close").over(w.rowsBetween(-4, 0)))
-           .withColumn("MA_10", F.avg("close").over(w.rowsBetween(-9, 0)))
-           .withColumn("return_1m", safe_return("close", "_prev"))
-           .withColumn("taker_ratio", taker_ratio(on_zero=ratio_on_zero))
-           .filter(F.col("_is_req"))
-           .drop("_prev", "_is_req"))
-    return out
+    whole = Window.partitionBy("request_id")
+    newest_hist = F.max(F.when(~F.col("_is_req"), F.col("open_time"))).over(whole)
+    out = series.withColumns({
+        "_prev": F.lag("close", 1).over(w),
+        "MA_5": F.avg("close").over(w.rowsBetween(-4, 0)),
+        "MA_10": F.avg("close").over(w.rowsBetween(-9, 0)),
+        "_newest_hist": newest_hist,
+        "request_close": F.max(F.when(F.col("_is_req"), F.col("close"))).over(whole),
+        "_last": F.row_number().over(
+            Window.partitionBy("request_id").orderBy(F.col("open_time").desc(),
+                                                     F.col("_is_req").desc())),
+    })
+    req_time = F.max(F.when(F.col("_is_req"), F.col("open_time"))).over(whole)
+    out = out.withColumn("status", F.when(F.col("_newest_hist").isNull()
+                                          | (req_time > F.col("_newest_hist")), F.lit("ok"))
+                         .otherwise(F.lit("stale")))
+    pick = (F.col("_last") == 1) if parity else (F.col("_is_req") & (F.col("status") == "ok"))
+    return (out.filter(pick)
+            .withColumn("return_1m", safe_return("close", "_prev"))
+            .withColumn("taker_ratio", taker_ratio(on_zero=ratio_on_zero))
+            .drop("_prev", "_is_req", "_newest_hist", "_last"))
 
 
 def score_candidates(history: DataFrame, requests: DataFrame, model: LinearRegressionModel,
@@ -85,14 +97,15 @@ def score_candidates(history: DataFrame, requests: DataFrame, model: LinearRegre
                      model_version: str = MODEL_VERSION, horizon_minutes: int = HORIZON
                      ) -> DataFrame:
     """M-9: prediction rows (the ``predictions`` table shape, plus status)."""
-    feats = request_features(request_series(history, requests, k, parity))
+    feats = request_features(request_series(history, requests, k), parity=parity)
     vec = assemble(feats, FEATURE_COLUMNS, handle_invalid="skip")
     pred = model.transform(vec)
     now = F.col("requested_at")
     return pred.select(
         "request_id", F.col("user_id").cast("long").alias("user_id"), "symbol",
         now.alias("timestamp"), horizon_time(now, horizon_minutes).alias("prediction_for"),
-        F.col("close").alias("current_price"), F.col("prediction").alias("predicted_price"),
+        F.col("request_close").alias("current_price"),
+        F.col("prediction").alias("predicted_price"),
         F.lit(None).cast("double").alias("actual_price"),
         F.lit(None).cast("double").alias("confidence_lower"),
         F.lit(None).cast("double").alias("confidence_upper"),

@@ -21,7 +21,6 @@ from kandela.operators.features import numeric_columns, refit_features
 from kandela.operators.split import chronological_split
 from kandela.plans.model import evaluate, fit_linear, ml_frame, save_model
 from kandela.plans.silver import build_silver
-from kandela.schema import LABEL
 from kandela.session import checkpoint_dir
 
 
@@ -84,5 +83,3 @@ def main(argv=None) -> None:
 
 if __name__ == "__main__":
     main()
-
-_ = LABEL

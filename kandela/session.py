@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,10 +59,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
-        d = tempfile.mkdtemp(prefix="kandela-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster job needs a shared "
+                               "folder for checkpoints and stage tables")
+        d = tempfile.mkdtemp(prefix="kandela-ckpt-")  # local mode only (tests)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core conf may be read-only; setCheckpointDir suffices
+            pass
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
@@ -71,6 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    sub = tempfile.mkdtemp(prefix=f"{name}-", dir=base) if os.path.isdir(base) else \
-        f"{base.rstrip('/')}/{name}-{os.getpid()}-{abs(hash(name)) % 10**8}"
-    return sub
+    if os.path.isdir(base):
+        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -108,10 +108,12 @@ def test_e11_stale_request(spark):
     hist = bars_df(spark, bar_rows([float(i) for i in range(1, 31)], symbol="A"), keyed=True)
     old = dt.datetime(2024, 1, 1, 0, 10)  # older than newest history row
     reqs = [(1, "A", 7, old, 1.0, 1.0, 1.0, 31.0, 2.0, 2.0, 3, 1.0, 0.5)]
-    s = request_series(hist, _requests(spark, reqs)).count()
-    assert s == 0  # rejected by default
-    p = request_series(hist, _requests(spark, reqs), parity=True)
-    assert p.filter("_is_req").first().status == "stale"
+    series = request_series(hist, _requests(spark, reqs))
+    assert request_features(series).count() == 0  # rejected by default
+    p = request_features(series, parity=True).collect()
+    assert len(p) == 1 and p[0].status == "stale"
+    assert p[0].close == 30.0  # parity scores the newest history candle (G10)
+    assert p[0].request_close == 31.0
 
 
 def test_settlement_and_monitor(spark):
