@@ -23,6 +23,16 @@ def indexed(df: DataFrame, time_col: str = "open_time", keys: Sequence[str] = ()
     return out.withColumn("_cut", F.floor(F.col("_n") * F.lit(float(ratio))).cast("long")).drop("_n")
 
 
+def split_indexed(idx: DataFrame, embargo: int = 0, keep_index: bool = False,
+                  drop_cols=()) -> tuple[DataFrame, DataFrame]:
+    """Train/test filters on a frame that already carries ``rn`` and ``_cut``
+    (from :func:`indexed`), e.g. after it was checkpointed: no further shuffle."""
+    train = idx.filter(F.col("rn") <= F.col("_cut"))
+    test = idx.filter(F.col("rn") > F.col("_cut") + F.lit(int(embargo)))
+    drop = ["_cut"] + ([] if keep_index else ["rn"]) + list(drop_cols)
+    return train.drop(*drop), test.drop(*drop)
+
+
 def chronological_split(df: DataFrame, ratio: float = 0.8, time_col: str = "open_time",
                         keys: Sequence[str] = (), embargo: int = 0, keep_index: bool = False,
                         drop_time: bool = False, bucket_unit: str = DEFAULT_BUCKET
@@ -33,7 +43,4 @@ def chronological_split(df: DataFrame, ratio: float = 0.8, time_col: str = "open
     last training labels (G8); 0 is the reference's behaviour.
     """
     idx = indexed(df, time_col, keys, ratio, bucket_unit)
-    train = idx.filter(F.col("rn") <= F.col("_cut"))
-    test = idx.filter(F.col("rn") > F.col("_cut") + F.lit(int(embargo)))
-    drop = ["_cut"] + ([] if keep_index else ["rn"]) + ([time_col] if drop_time else [])
-    return train.drop(*drop), test.drop(*drop)
+    return split_indexed(idx, embargo, keep_index, [time_col] if drop_time else [])

@@ -1,10 +1,10 @@
 """Training job end to end (L2, M-8): one lazy plan from candles to a fitted,
 evaluated and saved model; spark-submit entry in ``main``.
 
-The indexed ML frame is materialized once as a reliable checkpoint in the
-shared ``spark.checkpoint.dir`` (never a local checkpoint), so the fit and the
-evaluation do not recompute the feature windows and a lost executor only costs
-its own partitions.
+The ML frame, with its time index and train/test cut, is materialized once as
+a reliable checkpoint in the shared ``spark.checkpoint.dir`` (never a local
+checkpoint): the fit and the evaluation are plain filters on it, nothing is
+recomputed, and a lost executor only costs re-reading its checkpoint files.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from kandela.operators.features import numeric_columns, refit_features
-from kandela.operators.split import chronological_split
+from kandela.operators.split import indexed, split_indexed
 from kandela.plans.model import evaluate, fit_linear, ml_frame, save_model
 from kandela.plans.silver import build_silver
 from kandela.session import checkpoint_dir
@@ -45,11 +45,11 @@ def run_training(silver_df: DataFrame, keys: Sequence[str] = (), ratio: float =
                  embargo: int = 0, refit: bool = False, model_path: str | None = None,
                  materialize: bool = True, **kw) -> TrainResult:
     df, cols = training_frame(silver_df, keys, refit=refit, **kw)
-    frame = ml_frame(df, cols, keep=["open_time", *keys])
+    frame = indexed(ml_frame(df, cols, keep=["open_time", *keys]), keys=keys, ratio=ratio)
     if materialize:
         checkpoint_dir(frame.sparkSession)
         frame = frame.checkpoint(eager=True)
-    train, test = chronological_split(frame, ratio, keys=keys, embargo=embargo, drop_time=True)
+    train, test = split_indexed(frame, embargo, drop_cols=["open_time"])
     model = fit_linear(train)
     metrics, preds = evaluate(model, test)
     if model_path:
