@@ -158,6 +158,15 @@ SELECT open_time, floor(epoch(open_time))::BIGINT AS open_epoch,
        floor(epoch(close_time))::BIGINT AS close_epoch FROM ({bars_sql('minute')}) b"""
     o["kline_parse"] = f"SELECT *, '0' AS ignore FROM ({bars_sql('minute', True)}) b"
     o["drop_columns"] = bars_sql("hour")
+    refit = f"""
+SELECT * REPLACE (
+         (close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) AS return_1m,
+         avg(close) OVER (ORDER BY open_time ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS MA_5,
+         avg(close) OVER (ORDER BY open_time ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS MA_10,
+         taker_buy_base_volume / nullif(volume, 0) AS taker_ratio)
+FROM ({silver_h}) s WINDOW w AS (ORDER BY open_time)"""
+    nn = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in NUMERIC_SILVER)
+    o["features_refit"] = rounded(f"SELECT * FROM ({refit}) r WHERE {nn}", DERIVED)
     o["numeric_profile"] = rounded(
         f"SELECT {', '.join(NUMERIC_SILVER)} FROM ({silver_h}) s", DERIVED)
     o["lookup_first"] = f"SELECT * FROM ({USERS}) u WHERE username = 'Customer#000000007' LIMIT 1"

@@ -148,6 +148,14 @@ def q_drop_columns(spark, sf_dir):
     return PL.parse_klines(PL.to_payloads(b, per="day")).drop("ignore")
 
 
+@query("features_refit")
+def q_features_refit(spark, sf_dir):
+    """M-1 (training-job form, G5): return, MAs and ratio recomputed on silver,
+    then rows with a NULL/NaN numeric feature or label dropped."""
+    from kandela.operators.features import refit_features
+    return round_doubles(refit_features(_silver_h(spark, sf_dir)))
+
+
 @query("numeric_profile")
 def q_numeric_profile(spark, sf_dir):
     """P-8/M-2: silver restricted to its numeric feature columns + label."""

@@ -122,3 +122,10 @@ def append_predictions(pred: DataFrame, path: str) -> None:
     cols = [f.name for f in PREDICTION.fields]
     (pred.select(*cols).withColumn("dt", F.to_date("timestamp"))
          .write.mode("append").partitionBy("dt").parquet(path))
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """The prediction log with its fixed schema (an empty log reads as empty)."""
+    from pyspark.sql import types as T
+    schema = T.StructType(list(PREDICTION.fields) + [T.StructField("dt", T.DateType())])
+    return spark.read.schema(schema).parquet(path)
