@@ -252,6 +252,10 @@ FROM ({preds}) p""", ["current_price", "predicted_price", "predicted_change"])
     o["assemble_features"] = rounded(
         f"SELECT open_time, {', '.join(FEATURES13)}, close_t_plus_10 FROM ({silver_h}) s", DERIVED
     ).replace("SELECT * REPLACE (", "SELECT * REPLACE (number_of_trades::DOUBLE AS number_of_trades, ", 1)
+    ok13 = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATURES13)
+    o["assemble_skip"] = rounded(
+        f"SELECT open_time, {', '.join(FEATURES13)} FROM ({feat_h}) f WHERE {ok13}", DERIVED
+    ).replace("SELECT * REPLACE (", "SELECT * REPLACE (number_of_trades::DOUBLE AS number_of_trades, ", 1)
     o["ols_one_feature"] = f"""
 SELECT round(regr_slope(close_t_plus_10, close), {R}) AS slope,
        round(regr_intercept(close_t_plus_10, close), {R}) AS intercept

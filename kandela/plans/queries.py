@@ -394,8 +394,8 @@ def q_assemble_features(spark, sf_dir):
 def q_assemble_skip(spark, sf_dir):
     """F-7: assembling the unfiltered feature table with handleInvalid=skip."""
     f = _hour_features(spark, sf_dir)
-    return M.flatten_features(M.assemble(f, handle_invalid="skip")
-                              .select("open_time", "features"))
+    return round_doubles(M.flatten_features(M.assemble(f, handle_invalid="skip")
+                                            .select("open_time", "features")))
 
 
 def _split_h(spark, sf_dir):
