@@ -17,7 +17,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from kandela.session import get_session
+from kandela.session import get_session, pin_utc
 
 KEYS = ["symbol"]
 
@@ -109,6 +109,7 @@ JOBS = {"land": land, "silver": silver, "train": train, "score": score, "settle"
 def main(argv=None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
     spark = spark or get_session(f"kandela-{a.job}")
+    pin_utc(spark)
     JOBS[a.job](spark, a)
 
 

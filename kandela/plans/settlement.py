@@ -11,11 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kandela.session import pin_utc
+
 
 def settle(predictions: DataFrame, bars: DataFrame, unit: str = "minute") -> DataFrame:
     """Fill ``actual_price`` with the close of the candle opening at
     ``date_trunc(unit, prediction_for)``; ``error = predicted - actual``.
     Unsettled rows keep NULLs."""
+    pin_utc(predictions.sparkSession)  # minute truncation of UTC wall-clock times
     target = bars.select("symbol", F.col("open_time").alias("_t"), F.col("close").alias("_actual"))
     p = predictions.drop("actual_price", "error") \
         .withColumn("_t", F.date_trunc(unit, F.col("prediction_for")).cast("timestamp_ntz"))

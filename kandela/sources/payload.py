@@ -17,12 +17,26 @@ from pyspark.sql import functions as F
 from kandela.schema import KLINE_DOUBLE_FIELDS, KLINE_FIELDS
 
 PAYLOAD_TYPE = "array<array<string>>"
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def ntz_from_epoch_millis(ms: Column) -> Column:
+    """Epoch milliseconds -> UTC wall-clock ``timestamp_ntz``, independent of
+    the session time zone (NTZ plus an exact interval)."""
+    secs = ms.cast("decimal(20,3)") / F.lit(1000)
+    return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+
+def epoch_millis_from_ntz(ts: Column) -> Column:
+    """UTC wall-clock ``timestamp_ntz`` -> epoch milliseconds (bigint),
+    independent of the session time zone."""
+    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), ts)
 
 
 def _field(kline: Column, name: str) -> Column:
     x = kline[KLINE_FIELDS.index(name)]
     if name in ("open_time", "close_time"):
-        return F.timestamp_millis(x.cast("bigint")).cast("timestamp_ntz").alias(name)
+        return ntz_from_epoch_millis(x.cast("bigint")).alias(name)
     if name in KLINE_DOUBLE_FIELDS:
         return x.cast("double").alias(name)
     if name == "number_of_trades":
@@ -54,14 +68,14 @@ def to_payloads(bars: DataFrame, keys: Sequence[str] = (), per: str = "day") ->
     minute candles is at most 1,440 klines, so each group is bounded).
     Output: keys..., period, value (JSON text)."""
     kline = F.array(
-        F.unix_millis(F.col("open_time").cast("timestamp")).cast("string"),
+        epoch_millis_from_ntz(F.col("open_time")).cast("string"),
         _num_text("open"), _num_text("high"), _num_text("low"), _num_text("close"),
         _num_text("volume"),
-        F.unix_millis(F.col("close_time").cast("timestamp")).cast("string"),
+        epoch_millis_from_ntz(F.col("close_time")).cast("string"),
         _num_text("quote_asset_volume"), F.col("number_of_trades").cast("string"),
         _num_text("taker_buy_base_volume"), _num_text("taker_buy_quote_volume"),
         F.lit("0"))
-    g = bars.select(*keys, F.date_trunc(per, "open_time").cast("timestamp_ntz").alias("period"),
+    g = bars.select(*keys, F.window("open_time", f"1 {per}").start.alias("period"),
                     F.col("open_time").alias("_t"), kline.alias("_k"))
     agg = g.groupBy(*keys, "period").agg(
         F.sort_array(F.collect_list(F.struct("_t", "_k"))).alias("_ks"))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from kandela.session import pin_utc
 from kandela.sources.payload import parse_klines
 
 
@@ -57,6 +58,7 @@ def land_bronze(spark: SparkSession, payload_dir: str, bronze_dir: str, checkpoi
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """R-1: start the landing query (``availableNow`` drains the backlog and
     stops; otherwise a processing-time trigger, per-minute by default)."""
+    pin_utc(spark)  # file times (zoned) are compared with UTC candle times
     bars = deduplicated(closed_klines(payload_stream(spark, payload_dir, max_files_per_trigger)),
                         delay)
     out = bars.drop("fetched_at").withColumn("dt", F.to_date("open_time"))
