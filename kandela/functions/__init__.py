@@ -1,5 +1,6 @@
 from kandela.functions.scalar import (  # noqa: F401
     candle_close_epoch,
+    candle_close_time,
     epoch_seconds,
     horizon_time,
     iqr_fences,

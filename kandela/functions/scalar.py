@@ -55,6 +55,12 @@ def candle_close_epoch(open_epoch, width_seconds: int = 60) -> Column:
     return _c(open_epoch) + F.lit(width_seconds)
 
 
+def candle_close_time(open_time="open_time", width_seconds: int = 60) -> Column:
+    """Close time of a candidate candle opened at ``open_time`` (NTZ or LTZ):
+    ``open_time + width``, as the serving path sets it for a new candle."""
+    return _c(open_time) + F.expr(f"INTERVAL {int(width_seconds)} SECONDS")
+
+
 def iqr_fences(q1, q3, k: float = 1.5) -> tuple[Column, Column]:
     """Tukey fences (q1 - k*IQR, q3 + k*IQR)."""
     lo, hi = _c(q1), _c(q3)

@@ -270,7 +270,8 @@ f AS (SELECT symbol, open_time, close,
              CASE WHEN volume > 0 THEN taker_buy_base_volume / volume ELSE 0.0 END AS taker_ratio,
              row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) AS rk
       FROM r WINDOW w AS (PARTITION BY symbol ORDER BY open_time))
-SELECT symbol, open_time, close, return_1m, MA_5, MA_10, taker_ratio FROM f WHERE rk = 1""",
+SELECT symbol, open_time, open_time + INTERVAL 60 SECOND AS close_time, close, return_1m, MA_5,
+       MA_10, taker_ratio FROM f WHERE rk = 1""",
         ["return_1m", "MA_5", "MA_10", "taker_ratio"])
     o["settle_predictions"] = rounded(
         _settled(), ["current_price", "predicted_price", "actual_price", "error"])

@@ -476,12 +476,13 @@ def q_score_requests(spark, sf_dir):
 
 @query("request_features")
 def q_request_features(spark, sf_dir):
-    """M-9 feature part: serving features of each request candle."""
+    """M-9 feature part: serving features of each request candle (X-5: its
+    close time is open time + 60 s)."""
     from kandela.plans.scoring import request_features, request_series
     hist, req = fx.requests(spark, sf_dir)
     f = request_features(request_series(hist, req))
-    return round_doubles(f.select("symbol", "open_time", "close", "return_1m", "MA_5",
-                                  "MA_10", "taker_ratio"))
+    return round_doubles(f.select("symbol", "open_time", "close_time", "close", "return_1m",
+                                  "MA_5", "MA_10", "taker_ratio"))
 
 
 @query("prediction_log")

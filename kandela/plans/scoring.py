@@ -24,7 +24,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kandela.functions.scalar import horizon_time, safe_return, taker_ratio
+from kandela.functions.scalar import candle_close_time, horizon_time, safe_return, taker_ratio
 from kandela.operators.topk import latest_k_per_key
 from kandela.plans.model import assemble
 from kandela.schema import FEATURE_COLUMNS, HORIZON, MODEL_VERSION, PREDICTION, REQUEST
@@ -42,10 +42,12 @@ def requests_frame(spark: SparkSession, rows) -> DataFrame:
 def request_series(history: DataFrame, requests: DataFrame, k: int = HISTORY_K) -> DataFrame:
     """Steps 1-2: one (k+1)-row series per request; ``_is_req`` marks the
     request row. The history top-k is computed once and joined once."""
-    hist = latest_k_per_key(history.select("symbol", "open_time", *_VALUES), ["symbol"], k)
+    hist = latest_k_per_key(history.select("symbol", "open_time", "close_time", *_VALUES),
+                            ["symbol"], k)
     req = requests.select(
         "request_id", "symbol", "user_id", "requested_at",
         F.col("requested_at").alias("open_time"),
+        candle_close_time("requested_at", 60).alias("close_time"),
         F.col("open_price").alias("open"), F.col("high_price").alias("high"),
         F.col("low_price").alias("low"), F.col("close_price").alias("close"),
         "volume", "quote_asset_volume", "number_of_trades",

@@ -69,3 +69,14 @@ def test_jdbc_roundtrip_embedded_derby(spark, tmp_dir):
         .withColumn("open_time", F.col("open_time").cast("timestamp_ntz")) \
         .withColumn("close_time", F.col("close_time").cast("timestamp_ntz"))
     assert norm.exceptAll(b).count() == 0
+
+
+def test_missing_inputs_refused(spark, tmp_dir):
+    """S-6: a missing candle table or model path is refused with a clear error."""
+    import pytest
+    from pyspark.errors import AnalysisException
+    from kandela.plans.model import load_model
+    with pytest.raises(AnalysisException):
+        load_bars(spark, os.path.join(tmp_dir, "no-silver"))
+    with pytest.raises(FileNotFoundError):
+        load_model(os.path.join(tmp_dir, "no-model"))
