@@ -156,3 +156,16 @@ def test_ordered_window_rejects_small_blocks(spark):
     with pytest.raises(ValueError):
         ordered_window(b, lambda w: {"x": F.lead("close", 10).over(w)}, ["open_time"],
                        fwd=10, block_rows=5)
+
+
+def test_halo_equals_global_with_duplicate_candles(spark):
+    """Full-row duplicates (re-fetched candles) tie on every order column;
+    the halo result still equals the global window's."""
+    base = bar_rows([float((5 * i) % 11) for i in range(40)], symbol="A")
+    rows = base + base[9:14] + base[30:32]       # duplicates around block edges
+    b = bars_df(spark, rows, keyed=True)
+    cols = ["symbol", "open_time", "close", "close_t_plus_10", "return_1m", "MA_5", "MA_10"]
+    srt = lambda df: sorted(tuple(r[c] for c in cols) for r in df.collect())
+    h = srt(add_features(b, keys=["symbol"], method="halo", block_rows=10))
+    g = srt(add_features(b, keys=["symbol"], method="global"))
+    assert h == g and len(h) == len(rows)
