@@ -540,8 +540,8 @@ def q_stream_features(spark, sf_dir):
     from kandela.streaming.online import online_features
     b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
     src = scratch_path(spark, "bars")
-    b.withColumn("dt", F.to_date("open_time")).write.mode("overwrite").partitionBy("dt") \
-        .parquet(src)
+    (b.withColumn("dt", F.to_date("open_time")).repartition("dt")   # one file per landed day
+     .write.mode("overwrite").partitionBy("dt").parquet(src))
     stream = spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 8).parquet(src)
     out, ck = scratch_path(spark, "online"), scratch_path(spark, "online-ck")
     (online_features(stream).writeStream.format("parquet").option("checkpointLocation", ck)
@@ -553,6 +553,27 @@ def q_stream_features(spark, sf_dir):
         "MA_5 double, MA_10 double, taker_ratio double, late_rows bigint").parquet(out))
 
 
+@query("stream_scoring")
+def q_stream_scoring(spark, sf_dir):
+    """R-4: online features streamed from candle files, scored per micro-batch
+    by foreachBatch into a batch-id-keyed (idempotent) prediction log."""
+    from kandela.operators.split import chronological_split
+    from kandela.streaming.online import online_features
+    from kandela.streaming.scoring import start_scoring
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    tr, _ = chronological_split(M.ml_frame(build_silver(b, ["symbol"]), keep=["open_time", "symbol"]),
+                                0.8, keys=["symbol"])
+    model = M.fit_linear(tr)
+    src = scratch_path(spark, "bars")
+    (b.withColumn("dt", F.to_date("open_time")).repartition("dt")   # one file per landed day
+     .write.mode("overwrite").partitionBy("dt").parquet(src))
+    feats = online_features(spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 8)
+                            .parquet(src))
+    log, ck = scratch_path(spark, "stream-log"), scratch_path(spark, "stream-log-ck")
+    start_scoring(feats, model, log, ck).awaitTermination()
+    return spark.read.parquet(log).drop("batch_id")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return REGISTRY["silver_features"](spark, sf_dir)
 
