@@ -32,7 +32,8 @@ def land(spark: SparkSession, a) -> None:
 def silver(spark: SparkSession, a) -> None:
     from kandela.plans.silver import build_silver, write_silver
     from kandela.sources.tables import load_bars
-    s = build_silver(load_bars(spark, a.bronze, keys=KEYS), KEYS, block_rows=a.block_rows)
+    s = build_silver(load_bars(spark, a.bronze, keys=KEYS), KEYS, method=a.method,
+                     bucket_unit=a.bucket, block_rows=a.block_rows)
     write_silver(s, a.silver, KEYS)
 
 
@@ -80,6 +81,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
     p.add_argument("--block-rows", type=int, default=65_536)
+    p.add_argument("--method", default="edges", choices=["edges", "halo", "global"],
+                   help="edges: one exchange, buckets must hold >> 19 candles; halo: two")
+    p.add_argument("--bucket", default="day", help="time bucket (day for minute candles)")
     p = sub.add_parser("train")
     p.add_argument("--silver", required=True)
     p.add_argument("--model", required=True)

@@ -81,20 +81,20 @@ def dense_index(df: DataFrame, order_by, keys: Sequence[str] = (),
     })
     d = d0.repartition(*part)
 
-    ranked = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order_by)))
+    ranked = d.withColumn("_di_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order_by)))
     # counts from the un-shuffled frame: partial aggregation map-side, so only
     # one row per (map task, key, bucket) crosses the network
-    counts = d0.groupBy(*part).agg(F.count(F.lit(1)).alias("_bn"))
+    counts = d0.groupBy(*part).agg(F.count(F.lit(1)).alias("_di_bn"))
     by_key = Window.partitionBy(*(["_sk"] if keys else []))
     before = by_key.orderBy(F.col("_bnull").desc(), F.col(_BKT)) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(
         *part,
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).cast("long").alias("_off"),
-        *([F.sum("_bn").over(by_key).cast("long").alias(total_col)] if total_col else []))
+        F.coalesce(F.sum("_di_bn").over(before), F.lit(0)).cast("long").alias("_di_off"),
+        *([F.sum("_di_bn").over(by_key).cast("long").alias(total_col)] if total_col else []))
     out = ranked.join(offs, on=part, how="inner")
     keep = [c for c in df.columns] + ([total_col] if total_col else [])
-    return out.select(*keep, (F.col("_off") + F.col("_rn") - F.lit(1)).alias(index_col))
+    return out.select(*keep, (F.col("_di_off") + F.col("_di_rn") - F.lit(1)).alias(index_col))
 
 
 def _min_like(b: Column, bucket_unit) -> Column:
@@ -123,15 +123,20 @@ def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Colu
     functions and ROWS frames reaching at most ``back`` rows behind and ``fwd``
     rows ahead (e.g. ``F.lag(c, 1).over(w)``, ``F.avg(c).over(w.rowsBetween(-9, 0))``).
     ``method="global"`` is the plain partitioned window (one task per key); use
-    it only when every key is known to be small.
+    it only when every key is known to be small. ``method="edges"`` (see
+    :func:`_edge_window`) shuffles the data once instead of twice; it needs time
+    buckets that hold many more than ``back + fwd`` rows (a day of minute
+    candles, a month of hourly ones).
     """
     order_by = _as_list(order_by)
     keys = list(keys)
     if method == "global":
         w = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumns(columns(w))
+    if method == "edges":
+        return _edge_window(df, columns, order_by, keys, back, fwd, block_rows, bucket_unit)
     if method != "halo":
-        raise ValueError(f"method must be 'halo' or 'global', not {method!r}")
+        raise ValueError(f"method must be 'halo', 'edges' or 'global', not {method!r}")
     B = int(block_rows)
     if B < max(back, fwd, 1):
         raise ValueError(f"block_rows={B} must be >= max(back={back}, fwd={fwd})")
@@ -150,3 +155,69 @@ def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Colu
     w = Window.partitionBy(*(["_sk"] if keys else []), "_blk").orderBy(_IDX)
     out = ex.withColumns(columns(w)).filter(F.col("_blk") == F.col("_own"))
     return out.select(*df.columns, *[c for c in out.columns if c not in ex.columns])
+
+
+def _edge_window(df: DataFrame, columns, order_by: list, keys: list, back: int, fwd: int,
+                 block_rows: int, bucket_unit) -> DataFrame:
+    """Bucket-local windows with an edge fix-up: one exchange of the data.
+
+    1. The windows run inside each (keys, time bucket) group after one exchange.
+       A row whose whole frame ``[-back, +fwd]`` lies inside its bucket
+       (``back < rn <= cnt - fwd``) already has its exact value.
+    2. The first and last ``K = back + fwd`` rows of every bucket (all of them
+       if the bucket holds at most 2K) form the edge series. For a row near a
+       bucket edge, every row of its frame is in the edge series and contiguous
+       there. The edge series is numbered without another pass over the data:
+       bucket b contributes ``min(cnt_b, 2K)`` edge rows, and the bucket counts
+       come from a partial-aggregated count of the input (one row per map task,
+       key and bucket). The offsets join the edge rows on exactly the data's
+       partitioning, so the data is not shuffled again.
+    3. The edge rows go through halo blocks of ``block_rows`` (only edge rows
+       are copied and exchanged) for their exact values; they are unioned
+       with the inner rows of 1. No join of the data.
+    """
+    K = back + fwd
+    B = int(block_rows)
+    t0 = order_by[0]
+    t0 = F.col(t0) if isinstance(t0, str) else t0
+    b = _bucket(t0, bucket_unit)
+    sk = ["_sk"] if keys else []
+    part = sk + ["_bnull", _BKT]
+    d = df.withColumns({
+        **({"_sk": F.struct(*[F.col(k) for k in keys])} if keys else {}),
+        "_bnull": b.isNull(),
+        _BKT: F.coalesce(b, _min_like(b, bucket_unit)),
+    })
+    # edge-series offsets per bucket, from a partial-aggregated count
+    counts = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_ec"))
+    before = Window.partitionBy(*sk).orderBy(F.col("_bnull").desc(), F.col(_BKT)) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*part, F.coalesce(F.sum(F.least(F.col("_ec"), F.lit(2 * K))).over(before),
+                                           F.lit(0)).cast("long").alias("_eoff"))
+
+    local = Window.partitionBy(*part).orderBy(*order_by)
+    feats = columns(local)
+    names = list(feats)
+    d = d.withColumns({**feats, "_lrn": F.row_number().over(local),
+                       "_lcnt": F.count(F.lit(1)).over(Window.partitionBy(*part))})
+    rn, cnt = F.col("_lrn"), F.col("_lcnt")
+    inner = (rn > F.lit(back)) & (rn <= cnt - F.lit(fwd))
+    base = [c for c in df.columns if c not in names]
+    main = d.filter(inner).select(*base, *names)
+
+    edge = d.filter((rn <= F.lit(K)) | (rn > cnt - F.lit(K))).select(*base, *part, "_lrn", "_lcnt")
+    pos = F.when(rn <= F.lit(K), rn - 1).otherwise(
+        F.lit(K) + rn - F.greatest(F.lit(K + 1), cnt - F.lit(K - 1)))
+    e = edge.join(offs, on=part, how="inner").withColumn(_IDX, F.col("_eoff") + pos)
+    own = F.expr(f"{_IDX} div {B}")
+    p_ = F.pmod(F.col(_IDX), F.lit(B))
+    copies = F.array(
+        own,
+        F.when(p_ >= F.lit(B - back), own + 1) if back > 0 else F.lit(None).cast("long"),
+        F.when((p_ < F.lit(fwd)) & (own > 0), own - 1) if fwd > 0 else F.lit(None).cast("long"))
+    ex = e.select(*base, *sk, "_lrn", "_lcnt", F.col(_IDX), own.alias("_own"),
+                  F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_blk"))
+    w = Window.partitionBy(*sk, "_blk").orderBy(_IDX)
+    fixed = (ex.withColumns(columns(w))
+               .filter((F.col("_blk") == F.col("_own")) & ~inner))
+    return main.unionByName(fixed.select(*base, *names))

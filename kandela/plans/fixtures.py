@@ -15,6 +15,14 @@ from kandela.sources.tables import table
 
 HOUR = "1 hour"
 MINUTE = "1 minute"
+# time bucket per candle width for the one-exchange ("edges") windows: each
+# bucket must hold many more than back + fwd = 19 candles
+BUCKET = {HOUR: "month", MINUTE: "day"}
+
+
+def edges(width: str) -> dict:
+    """Window-method arguments for candles of ``width``."""
+    return {"method": "edges", "bucket_unit": BUCKET[width]}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +67,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kandela.functions.scalar import horizon_time
     from kandela.operators.features import add_features
     n_users = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
-    f = add_features(bronze(spark, sf_dir, MINUTE, keyed=True), keys=["symbol"])
+    f = add_features(bronze(spark, sf_dir, MINUTE, keyed=True), keys=["symbol"], **edges(MINUTE))
     t = F.col("open_time")
     minute = F.expr("unix_timestamp(open_time) div 60")
     return f.select(

@@ -67,6 +67,7 @@ def build() -> dict[str, str]:
     o: dict[str, str] = {}
     o["silver_features"] = silver_rounded("hour")
     o["features_halo"] = silver_rounded("minute", keyed=True)
+    o["features_edges"] = silver_rounded("minute", keyed=True)
     o["scan_bars"] = bars_sql("minute")
     o["project_bars"] = f"""
 SELECT floor(epoch(open_time))::BIGINT AS open_time, open, high, low, close, volume,

@@ -50,7 +50,7 @@ def query(name: str):
 @query("silver_features")
 def q_silver_features(spark, sf_dir):
     """M-1 flagship: hourly bars of all events -> features -> null drop."""
-    return round_doubles(build_silver(fx.bronze(spark, sf_dir, fx.HOUR)))
+    return round_doubles(build_silver(fx.bronze(spark, sf_dir, fx.HOUR), **fx.edges(fx.HOUR)))
 
 
 @query("features_halo")
@@ -60,8 +60,17 @@ def q_features_halo(spark, sf_dir):
     return round_doubles(build_silver(b, keys=["symbol"], block_rows=1000))
 
 
+@query("features_edges")
+def q_features_edges(spark, sf_dir):
+    """W-6, one-exchange form: keyed minute series, windows inside (symbol,
+    day) with the edge rows fixed through the halo path."""
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    return round_doubles(build_silver(b, keys=["symbol"], method="edges", bucket_unit="day",
+                                      block_rows=1000))
+
+
 def _hour_features(spark, sf_dir):
-    return add_features(fx.bronze(spark, sf_dir, fx.HOUR))
+    return add_features(fx.bronze(spark, sf_dir, fx.HOUR), **fx.edges(fx.HOUR))
 
 
 @query("target_lead10")
@@ -123,7 +132,7 @@ def q_project_bars(spark, sf_dir):
 
 
 def _silver_h(spark, sf_dir):
-    return build_silver(fx.bronze(spark, sf_dir, fx.HOUR))
+    return build_silver(fx.bronze(spark, sf_dir, fx.HOUR), **fx.edges(fx.HOUR))
 
 
 @query("epoch_seconds")
@@ -264,7 +273,7 @@ def q_approx_median(spark, sf_dir):
 def q_dropna_subset(spark, sf_dir):
     """F-4: minute features, rows with NULL/NaN in any numeric column or the
     label dropped (the training job's rule)."""
-    f = add_features(fx.bronze(spark, sf_dir, fx.MINUTE))
+    f = add_features(fx.bronze(spark, sf_dir, fx.MINUTE), **fx.edges(fx.MINUTE))
     return round_doubles(f.na.drop(subset=numeric_columns(f) + [LABEL]))
 
 
@@ -440,8 +449,9 @@ def q_evaluate_model(spark, sf_dir):
 def q_train_job(spark, sf_dir):
     """M-8: whole training job (keyed minute candles, DAG feature refit)."""
     from kandela.plans.training import run_training
-    s = build_silver(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"])
-    res = run_training(s, ["symbol"], refit=True, model_path=scratch_path(spark, "model"))
+    s = build_silver(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"], **fx.edges(fx.MINUTE))
+    res = run_training(s, ["symbol"], refit=True, model_path=scratch_path(spark, "model"),
+                       **fx.edges(fx.MINUTE))
     return res.metrics
 
 
@@ -463,7 +473,7 @@ def _score(spark, sf_dir):
     from kandela.plans.scoring import score_candidates
     from kandela.plans.training import run_training
     hist, req = fx.requests(spark, sf_dir)
-    s = build_silver(hist, ["symbol"])
+    s = build_silver(hist, ["symbol"], **fx.edges(fx.MINUTE))
     res = run_training(s, ["symbol"])
     return score_candidates(hist, req, res.model)
 
@@ -561,8 +571,8 @@ def q_stream_scoring(spark, sf_dir):
     from kandela.streaming.online import online_features
     from kandela.streaming.scoring import start_scoring
     b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
-    tr, _ = chronological_split(M.ml_frame(build_silver(b, ["symbol"]), keep=["open_time", "symbol"]),
-                                0.8, keys=["symbol"])
+    s = build_silver(b, ["symbol"], **fx.edges(fx.MINUTE))
+    tr, _ = chronological_split(M.ml_frame(s, keep=["open_time", "symbol"]), 0.8, keys=["symbol"])
     model = M.fit_linear(tr)
     src = scratch_path(spark, "bars")
     (b.withColumn("dt", F.to_date("open_time")).repartition("dt")   # one file per landed day

@@ -54,5 +54,9 @@ def load_bars(spark: SparkSession, path: str, schema: StructType | None = BRONZE
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"candle table at {path} lacks columns {missing}")
-    return df.select(*[df[c].cast(schema[c].dataType) if c in schema.names else df[c]
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    # cast only where the stored type differs (no-op casts leave aliases that
+    # keep Spark from reusing an exchange between two branches of one plan)
+    return df.select(*[df[c].cast(schema[c].dataType).alias(c)
+                       if c in schema.names and types[c] != schema[c].dataType else df[c]
                        for c in cols])

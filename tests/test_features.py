@@ -16,7 +16,7 @@ def _by_time(df, cols):
     return [tuple(r[c] for c in cols) for r in df.orderBy(*[c for c in ("symbol", "open_time") if c in df.columns]).collect()]
 
 
-@pytest.mark.parametrize("method", ["halo", "global"])
+@pytest.mark.parametrize("method", ["halo", "global", "edges"])
 def test_e1_target_and_moving_averages(spark, method):
     b = bars_df(spark, bar_rows([float(i) for i in range(1, 13)]))
     f = add_features(b, method=method, block_rows=16).orderBy("open_time").collect()
@@ -94,7 +94,10 @@ def _compare_halo(spark, series, block_rows):
     cols = ["symbol", "open_time", "close_t_plus_10", "return_1m", "MA_5", "MA_10"]
     h = _by_time(add_features(b, keys=["symbol"], method="halo", block_rows=block_rows), cols)
     g = _by_time(add_features(b, keys=["symbol"], method="global"), cols)
+    e = _by_time(add_features(b, keys=["symbol"], method="edges", block_rows=block_rows,
+                              bucket_unit="hour"), cols)
     assert h == g
+    assert e == g
 
 
 @pytest.mark.parametrize("B", [10, 16])
@@ -168,4 +171,6 @@ def test_halo_equals_global_with_duplicate_candles(spark):
     srt = lambda df: sorted(tuple(r[c] for c in cols) for r in df.collect())
     h = srt(add_features(b, keys=["symbol"], method="halo", block_rows=10))
     g = srt(add_features(b, keys=["symbol"], method="global"))
+    e = srt(add_features(b, keys=["symbol"], method="edges", block_rows=10, bucket_unit="hour"))
     assert h == g and len(h) == len(rows)
+    assert e == g
