@@ -174,3 +174,18 @@ def test_halo_equals_global_with_duplicate_candles(spark):
     e = srt(add_features(b, keys=["symbol"], method="edges", block_rows=10, bucket_unit="hour"))
     assert h == g and len(h) == len(rows)
     assert e == g
+
+
+def test_edges_shuffles_the_data_once(spark, tmp_dir):
+    """The edge branch reads the main (keys, bucket) exchange again
+    (ReusedExchange): the candle data is shuffled once; only edge rows and
+    per-bucket counts move again."""
+    import os
+    from kandela.plans import fixtures as fx
+    from kandela.sources.tables import load_bars
+    path = os.path.join(tmp_dir, "bronze")
+    fx.bronze(spark, "/root/testdata/sf0.001", fx.MINUTE, keyed=True).write.parquet(path)
+    df = silver(load_bars(spark, path, keys=["symbol"]), ["symbol"], method="edges")
+    df.collect()
+    final = _plan(df).split("Initial Plan")[0]
+    assert "isFinalPlan=true" in final and "ReusedExchange" in final
