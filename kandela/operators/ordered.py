@@ -142,6 +142,21 @@ def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Colu
         raise ValueError(f"block_rows={B} must be >= max(back={back}, fwd={fwd})")
 
     idx = dense_index(df, order_by, keys, bucket_unit)
+    if keys:
+        idx = idx.withColumn("_sk", F.struct(*[F.col(k) for k in keys]))
+    out = _halo_blocks(idx, columns, ["_sk"] if keys else [], back, fwd, B)
+    return out.select(*df.columns, *[c for c in out.columns if c not in idx.columns])
+
+
+def _halo_blocks(idx: DataFrame, columns, sk: list, back: int, fwd: int, B: int) -> DataFrame:
+    """Windows over halo blocks of a frame carrying the dense index ``_i``.
+
+    Each row goes to its block ``_i div B``, and also to the next block when it
+    is among its block's last ``back`` rows, and to the previous block when it
+    is among the first ``fwd``. The windows run per (sk, block) ordered by
+    ``_i``; only rows in their own block are returned (with ``idx``'s columns
+    plus the window columns).
+    """
     i = F.col(_IDX)
     own = F.expr(f"{_IDX} div {B}")
     pos = F.pmod(i, F.lit(B))
@@ -150,11 +165,10 @@ def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Colu
         F.when(pos >= F.lit(B - back), own + 1) if back > 0 else F.lit(None).cast("long"),
         F.when((pos < F.lit(fwd)) & (own > 0), own - 1) if fwd > 0 else F.lit(None).cast("long"))
     ex = idx.select(*idx.columns, own.alias("_own"),
-                    *([F.struct(*[F.col(k) for k in keys]).alias("_sk")] if keys else []),
                     F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_blk"))
-    w = Window.partitionBy(*(["_sk"] if keys else []), "_blk").orderBy(_IDX)
+    w = Window.partitionBy(*sk, "_blk").orderBy(_IDX)
     out = ex.withColumns(columns(w)).filter(F.col("_blk") == F.col("_own"))
-    return out.select(*df.columns, *[c for c in out.columns if c not in ex.columns])
+    return out.drop("_blk", "_own")
 
 
 def _edge_window(df: DataFrame, columns, order_by: list, keys: list, back: int, fwd: int,
@@ -208,16 +222,7 @@ def _edge_window(df: DataFrame, columns, order_by: list, keys: list, back: int,
     edge = d.filter((rn <= F.lit(K)) | (rn > cnt - F.lit(K))).select(*base, *part, "_lrn", "_lcnt")
     pos = F.when(rn <= F.lit(K), rn - 1).otherwise(
         F.lit(K) + rn - F.greatest(F.lit(K + 1), cnt - F.lit(K - 1)))
-    e = edge.join(offs, on=part, how="inner").withColumn(_IDX, F.col("_eoff") + pos)
-    own = F.expr(f"{_IDX} div {B}")
-    p_ = F.pmod(F.col(_IDX), F.lit(B))
-    copies = F.array(
-        own,
-        F.when(p_ >= F.lit(B - back), own + 1) if back > 0 else F.lit(None).cast("long"),
-        F.when((p_ < F.lit(fwd)) & (own > 0), own - 1) if fwd > 0 else F.lit(None).cast("long"))
-    ex = e.select(*base, *sk, "_lrn", "_lcnt", F.col(_IDX), own.alias("_own"),
-                  F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_blk"))
-    w = Window.partitionBy(*sk, "_blk").orderBy(_IDX)
-    fixed = (ex.withColumns(columns(w))
-               .filter((F.col("_blk") == F.col("_own")) & ~inner))
+    e = (edge.join(offs, on=part, how="inner")
+             .select(*base, *sk, "_lrn", "_lcnt", (F.col("_eoff") + pos).alias(_IDX)))
+    fixed = _halo_blocks(e, columns, sk, back, fwd, B).filter(~inner)
     return main.unionByName(fixed.select(*base, *names))
