@@ -35,18 +35,28 @@ OUTPUT_SCHEMA = (
 STATE_SCHEMA = "last_us long, n long, late long, " + ", ".join(f"c{i} double" for i in range(HISTORY))
 
 
+def _trailing_mean(c: np.ndarray, k: int, start: int) -> np.ndarray:
+    """Mean of the last ``k`` values (fewer at the series start) for positions
+    ``start..`` of ``c``; vectorized, each window summed in order."""
+    n = len(c)
+    out = np.empty(n - start)
+    full_from = max(start, k - 1)
+    for j, i in enumerate(range(start, min(full_from, n))):   # partial frames (< k rows)
+        out[j] = c[: i + 1].mean()
+    if n > full_from:
+        win = np.lib.stride_tricks.sliding_window_view(c, k)[full_from - k + 1:]
+        out[full_from - start:] = win.mean(axis=1)
+    return out
+
+
 def _features(closes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Return, MA_5, MA_10 for positions ``start..`` of the close history."""
     n = len(closes)
-    ret = np.full(n - start, np.nan)
-    ma5 = np.empty(n - start)
-    ma10 = np.empty(n - start)
-    for j, i in enumerate(range(start, n)):
-        if i >= 1 and closes[i - 1] != 0 and not np.isnan(closes[i - 1]):
-            ret[j] = (closes[i] - closes[i - 1]) / closes[i - 1]
-        ma5[j] = closes[max(0, i - 4): i + 1].mean()
-        ma10[j] = closes[max(0, i - 9): i + 1].mean()
-    return ret, ma5, ma10
+    prev = np.concatenate([[np.nan], closes[:-1]])[start:n]
+    cur = closes[start:n]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ret = np.where((prev != 0) & ~np.isnan(prev), (cur - prev) / prev, np.nan)
+    return ret, _trailing_mean(closes, 5, start), _trailing_mean(closes, 10, start)
 
 
 def make_update(ratio_on_zero: str = "zero"):
@@ -59,13 +69,12 @@ def make_update(ratio_on_zero: str = "zero"):
         pdf = pd.concat(list(pdfs), ignore_index=True)
         pdf = pdf.sort_values("open_time", kind="stable")
         t_us = pdf["open_time"].astype("datetime64[us]").astype("int64").to_numpy()
+        # sorted by time: keep a candle if newer than the state's last one and
+        # than the previous candle of the batch (first copy of a repeated time)
         keep = np.ones(len(pdf), dtype=bool)
-        cur = last_us
-        for i, t in enumerate(t_us):  # drop candles not newer than the last one
-            if cur is not None and t <= cur:
-                keep[i] = False
-            else:
-                cur = t
+        if last_us is not None:
+            keep &= t_us > last_us
+        keep[1:] &= t_us[1:] > t_us[:-1]
         late += int((~keep).sum())
         pdf = pdf[keep]
         if len(pdf) == 0:
