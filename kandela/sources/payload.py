@@ -52,10 +52,14 @@ def parse_klines(payloads: DataFrame, column: str = "value",
 
 
 def read_payload_files(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
-    """Payload files: one JSON document per file (``whole_file``) or per line.
-    ``symbol`` is taken from a ``symbol=...`` folder when present."""
+    """Batch read of landed payload files: one JSON document per file
+    (``whole_file``) or per line, with ``symbol`` taken from a ``symbol=...``
+    folder and the file's modification time as ``fetched_at``."""
     df = spark.read.option("wholetext", str(whole_file).lower()).text(path)
-    return df
+    return df.select(
+        "value",
+        F.regexp_extract(F.col("_metadata.file_path"), r"symbol=([^/]+)", 1).alias("symbol"),
+        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at"))
 
 
 def _num_text(c: str) -> Column:

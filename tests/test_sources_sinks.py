@@ -80,3 +80,14 @@ def test_missing_inputs_refused(spark, tmp_dir):
         load_bars(spark, os.path.join(tmp_dir, "no-silver"))
     with pytest.raises(FileNotFoundError):
         load_model(os.path.join(tmp_dir, "no-model"))
+
+
+def test_batch_payload_files(spark, tmp_dir):
+    """Payload files landed per symbol and day read back in batch."""
+    from kandela.streaming.ingest import write_payload_files
+    b = fx.bronze(spark, SF_SMALL, fx.MINUTE, keyed=True)
+    src = os.path.join(tmp_dir, "payloads")
+    write_payload_files(payload.to_payloads(b, ["symbol"], per="day"), src)
+    docs = payload.read_payload_files(spark, src)
+    parsed = payload.parse_klines(docs, keep=["symbol"]).drop("ignore")
+    assert parsed.exceptAll(b).count() == 0 and b.exceptAll(parsed).count() == 0
