@@ -55,8 +55,13 @@ def read_payload_files(spark: SparkSession, path: str, whole_file: bool = True)
     """Batch read of landed payload files: one JSON document per file
     (``whole_file``) or per line, with ``symbol`` taken from a ``symbol=...``
     folder and the file's modification time as ``fetched_at``."""
-    df = spark.read.option("wholetext", str(whole_file).lower()).text(path)
-    return df.select(
+    return with_file_info(spark.read.option("wholetext", str(whole_file).lower()).text(path))
+
+
+def with_file_info(docs: DataFrame) -> DataFrame:
+    """Payload text plus ``symbol`` (from a ``symbol=...`` folder) and
+    ``fetched_at`` (file modification time, UTC wall clock under a UTC session)."""
+    return docs.select(
         "value",
         F.regexp_extract(F.col("_metadata.file_path"), r"symbol=([^/]+)", 1).alias("symbol"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at"))

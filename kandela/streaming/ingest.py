@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kandela.session import pin_utc
-from kandela.sources.payload import parse_klines
+from kandela.sources.payload import parse_klines, with_file_info
 
 
 def payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
@@ -29,11 +29,7 @@ def payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     r = spark.readStream.format("text").option("wholetext", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.load(path)
-    return df.select(
-        "value",
-        F.regexp_extract(F.col("_metadata.file_path"), r"symbol=([^/]+)", 1).alias("symbol"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at"))
+    return with_file_info(r.load(path))
 
 
 def closed_klines(payloads: DataFrame) -> DataFrame:
