@@ -7,22 +7,27 @@ task. Here a series (optionally keyed, e.g. by symbol) is processed as:
 1. **Dense index** ``_i`` (0-based, exact and deterministic): rank inside
    (keys, time bucket) with an ordinary partitioned ``row_number``, plus the
    number of rows in earlier buckets of the same key. The data is exchanged
-   once on (keys, bucket); the per-bucket counts (one row per key and bucket)
-   are aggregated on that same partitioning, their running sum is a window over
-   the small count frame, and the offsets join back on (keys, bucket). AQE
-   broadcasts the offsets at run time when they are small; otherwise only the
-   offsets are shuffled to meet the data's partitioning.
-2. **Halo blocks.** ``block = _i div B``. A row is also copied into the next
-   block when it lies in the last ``back`` positions of its block (history for
-   lag / trailing frames) and into the previous block when it lies in the first
-   ``fwd`` positions (future for lead). At most three copies, and only
-   ``(back + fwd) / B`` of the rows are copies.
-3. The caller's window expressions run over ``partitionBy(keys, block)
-   .orderBy(_i)``; only rows whose own block is the window block are kept.
+   once on (keys, bucket). The per-bucket counts are partial-aggregated before
+   their own small exchange; their running sum is a window over the count frame
+   (one row per key and bucket), and the offsets join back on (keys, bucket).
+   AQE broadcasts the offsets at run time when they are small; otherwise only
+   the offsets are shuffled to meet the data's partitioning.
+2. **Halo blocks** (``method="halo"``). ``block = _i div B``. A row is also
+   copied into the next block when it lies in the last ``back`` positions of
+   its block (history for lag / trailing frames) and into the previous block
+   when it lies in the first ``fwd`` positions (future for lead). At most three
+   copies, and only ``(back + fwd) / B`` of the rows are copies. The caller's
+   window expressions run over ``partitionBy(keys, block).orderBy(_i)``; only
+   rows whose own block is the window block are kept.
+3. **Edge fix-up** (``method="edges"``, one exchange of the data): the windows
+   run inside each (keys, bucket); only the ``back + fwd`` rows nearest each
+   bucket edge need neighbours from other buckets, and those edge rows alone go
+   through 1 and 2 (see :func:`_edge_window`).
 
 Exact for offset functions (lag/lead) with offsets up to ``back``/``fwd`` and for
 ROWS frames inside ``[-back, fwd]``. A hot key that holds a third of all rows is
-spread over ``n / B`` blocks instead of one task.
+spread over ``n / B`` blocks (halo) or over its buckets (edges) instead of one
+task.
 """
 
 from __future__ import annotations
