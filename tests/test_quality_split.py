@@ -94,3 +94,22 @@ def test_relations(spark):
     v = J.unique_violations(users, ["username", "email"]).collect()
     assert [(r.key_name, r.key_value, r.occurrences) for r in v] == [("email", "a@x", 2)]
     assert J.lookup_first(users, "username", "u2").first().user_id == 2
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.integers(0, 60), st.sampled_from([0.5, 0.8, 0.9]), st.sets(st.integers(0, 60), max_size=6))
+def test_split_property(spark, n, ratio, gaps):
+    import math
+    b = bars_df(spark, bar_rows([float(i) for i in range(n)], gaps=tuple(gaps),
+                                start="2024-01-01 23:30:00", step_minutes=7))
+    tr, te = chronological_split(b, ratio, bucket_unit="hour")
+    t_tr = [r.open_time for r in tr.collect()]
+    t_te = [r.open_time for r in te.collect()]
+    assert len(t_tr) == math.floor(n * ratio) and len(t_tr) + len(t_te) == n
+    assert not set(t_tr) & set(t_te)
+    if t_tr and t_te:
+        assert max(t_tr) < min(t_te)
