@@ -170,6 +170,10 @@ FROM ({silver_h}) s WINDOW w AS (ORDER BY open_time)"""
     o["features_refit"] = rounded(f"SELECT * FROM ({refit}) r WHERE {nn}", DERIVED)
     o["numeric_profile"] = rounded(
         f"SELECT {', '.join(NUMERIC_SILVER)} FROM ({silver_h}) s", DERIVED)
+    o["schema_table"] = f"""
+SELECT (row_number() OVER ())::INTEGER AS pos, column_name AS name,
+       CASE column_type WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type
+FROM (DESCRIBE {silver_h})"""
     o["lookup_first"] = f"SELECT * FROM ({USERS}) u WHERE username = 'Customer#000000007' LIMIT 1"
     o["bronze_merge"] = bars_sql("hour", True)
     o["silver_roundtrip"] = silver_rounded("hour")
