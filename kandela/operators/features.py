@@ -35,6 +35,12 @@ def add_features(bars: DataFrame, keys: Sequence[str] = (), time_col: str = "ope
     ROWS semantics like the reference (G3, E7): the target is the close
     ``horizon`` *rows* ahead and the first rows use partial MA frames. Nothing is
     dropped here; see :func:`silver`.
+
+    ``method``: ``"halo"`` (default; any series density, two exchanges),
+    ``"edges"`` (one exchange; ``bucket_unit`` must hold many more than
+    ``horizon + max(ma) - 1`` rows, e.g. "day" for minute candles, "month" for
+    hourly ones) or ``"global"`` (plain per-key window; small keys only). All
+    three return the same rows.
     """
     ma = list(ma)
 
