@@ -419,8 +419,8 @@ def q_ols_one_feature(spark, sf_dir):
     tr, _ = chronological_split(M.assemble(s, ["close"]).select("open_time", "features", LABEL),
                                 0.8)
     m = M.fit_linear(tr)
-    return spark.createDataFrame([(round(float(m.coefficients[0]), 6), round(float(m.intercept), 6))],
-                                 "slope double, intercept double")
+    return round_doubles(spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept))],
+                                               "slope double, intercept double"))
 
 
 @query("train_ols")
@@ -521,6 +521,17 @@ def q_monitor_daily(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
+def _land_days_in_order(bars: DataFrame, path: str) -> None:
+    """Land candle files one day after the other, as a fetcher would: the file
+    stream then reads them in time order (file modification order). One small
+    write per day of the fixture's range."""
+    d = bars.withColumn("dt", F.to_date("open_time"))
+    days = [r[0] for r in d.select("dt").distinct().orderBy("dt").collect()]
+    for day in days:
+        d.filter(F.col("dt") == F.lit(day)).coalesce(1).write.mode("append") \
+            .partitionBy("dt").parquet(path)
+
+
 def _payload_dir(spark, sf_dir, per="day"):
     """Payload files of keyed minute candles, written twice (two overlapping
     fetches), in a fresh folder under the shared checkpoint folder."""
@@ -550,8 +561,7 @@ def q_stream_features(spark, sf_dir):
     from kandela.streaming.online import online_features
     b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
     src = scratch_path(spark, "bars")
-    (b.withColumn("dt", F.to_date("open_time")).repartition("dt")   # one file per landed day
-     .write.mode("overwrite").partitionBy("dt").parquet(src))
+    _land_days_in_order(b, src)
     stream = spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 8).parquet(src)
     out, ck = scratch_path(spark, "online"), scratch_path(spark, "online-ck")
     (online_features(stream).writeStream.format("parquet").option("checkpointLocation", ck)
@@ -567,16 +577,13 @@ def q_stream_features(spark, sf_dir):
 def q_stream_scoring(spark, sf_dir):
     """R-4: online features streamed from candle files, scored per micro-batch
     by foreachBatch into a batch-id-keyed (idempotent) prediction log."""
-    from kandela.operators.split import chronological_split
+    from kandela.plans.training import run_training
     from kandela.streaming.online import online_features
     from kandela.streaming.scoring import start_scoring
     b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
-    s = build_silver(b, ["symbol"], **fx.edges(fx.MINUTE))
-    tr, _ = chronological_split(M.ml_frame(s, keep=["open_time", "symbol"]), 0.8, keys=["symbol"])
-    model = M.fit_linear(tr)
+    model = run_training(build_silver(b, ["symbol"], **fx.edges(fx.MINUTE)), ["symbol"]).model
     src = scratch_path(spark, "bars")
-    (b.withColumn("dt", F.to_date("open_time")).repartition("dt")   # one file per landed day
-     .write.mode("overwrite").partitionBy("dt").parquet(src))
+    _land_days_in_order(b, src)
     feats = online_features(spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 8)
                             .parquet(src))
     log, ck = scratch_path(spark, "stream-log"), scratch_path(spark, "stream-log-ck")

@@ -21,6 +21,7 @@ from kandela.operators.features import numeric_columns, refit_features
 from kandela.operators.split import indexed, split_indexed
 from kandela.plans.model import evaluate, fit_linear, ml_frame, save_model
 from kandela.plans.silver import build_silver
+from kandela.schema import LABEL
 from kandela.session import checkpoint_dir
 
 
@@ -38,7 +39,9 @@ def training_frame(silver_df: DataFrame, keys: Sequence[str] = (), refit: bool =
     DAG variant that recomputes features on silver (G5)."""
     df = refit_features(silver_df, keys, **kw) if refit else silver_df
     cols = numeric_columns(df)
-    return df, cols
+    # the DAG's rule: no row with a NULL/NaN feature or label reaches the
+    # assembler (silver keeps rows whose taker ratio is NULL on zero volume, G4)
+    return df.na.drop(subset=cols + [LABEL]), cols
 
 
 def run_training(silver_df: DataFrame, keys: Sequence[str] = (), ratio: float = 0.8,
