@@ -113,3 +113,34 @@ def test_split_property(spark, n, ratio, gaps):
     assert not set(t_tr) & set(t_te)
     if t_tr and t_te:
         assert max(t_tr) < min(t_te)
+
+
+def test_rounding_matches_duckdb_on_ties(spark):
+    """Exact decimal ties (prices with 2 decimals make them common) round the
+    same in Spark and DuckDB."""
+    import random
+
+    import duckdb
+    from kandela.plans.common import round_half_away
+    random.seed(7)
+    xs = [(32.89 - 6.4) / 6.4, 1.0000005, -2.5e-7, 0.0, 123.4567895] + \
+        [(a / 100 - b) / b for a in range(1, 4000, 13) for b in (6.4, 0.8, 1.6, 2.5, 1.25)] + \
+        [random.uniform(-1e3, 1e3) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r.r for r in df.select(round_half_away("x").alias("r")).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT round(?::DOUBLE, 6)", [x]).fetchone()[0] for x in xs]
+    assert got == want
+
+
+def test_training_skips_rows_with_null_features(spark):
+    """Silver keeps zero-volume candles (NULL taker ratio, G4); the training
+    job drops them before assembling instead of failing."""
+    from kandela.operators.features import silver as build
+    from kandela.plans.training import run_training
+    rows = bar_rows([float(i % 7 + 1) for i in range(40)], symbol="A")
+    rows[20] = dict(rows[20], volume=0.0)
+    s = build(bars_df(spark, rows, keyed=True), ["symbol"], block_rows=16)
+    assert s.filter("taker_ratio IS NULL").count() == 1
+    res = run_training(s, ["symbol"], materialize=False)
+    assert res.metrics.first().n > 0
