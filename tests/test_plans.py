@@ -42,3 +42,19 @@ def test_scoring_windows_are_per_request(spark):
 def test_keyed_feature_build_has_no_single_partition(spark):
     for key in ("features_halo", "features_edges", "time_index"):
         assert "SinglePartition" not in _plan(E.queries()[key](spark, SF_SMALL)), key
+
+
+EAGER = {"train_job", "model_roundtrip", "prediction_log", "score_requests", "ols_one_feature",
+         "train_ols", "score_test", "evaluate_model", "silver_roundtrip", "sink_recount"}
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                "MapInPandas", "FlatMapGroupsInPandasWithState")
+
+
+def test_batch_queries_stay_in_the_jvm(spark):
+    """No Python UDF / pandas node in any batch query plan (the only Python
+    code is the streaming state function)."""
+    for key, q in sorted(E.queries().items()):
+        if key in EAGER or key.startswith("stream_"):
+            continue
+        p = _plan(q(spark, SF_SMALL))
+        assert not any(n in p for n in PYTHON_NODES), key
