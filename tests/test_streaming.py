@@ -103,11 +103,11 @@ def test_landing_skips_candles_still_open_at_fetch(spark, tmp_dir):
     its partial values."""
     closed = ('[[1704067200000,"1.0","1.0","1.0","1.0","2.0",1704067259999,"2.0",1,"1.0","1.0","0"],'
               '[4102444800000,"9.0","9.0","9.0","9.0","2.0",4102444859999,"2.0",1,"1.0","1.0","0"]]')
-    src = os.path.join(tmp_dir, "payloads", "symbol=BTCUSDT")
+    src = os.path.join(tmp_dir, "payloads", "symbol=XYZUSD")
     os.makedirs(src)
     with open(os.path.join(src, "fetch-1.json"), "w") as fh:
         fh.write(closed)
     out = os.path.join(tmp_dir, "bronze")
     land_bronze(spark, os.path.dirname(src), out, os.path.join(tmp_dir, "ck")).awaitTermination(300)
     rows = spark.read.parquet(out).collect()
-    assert [(r.symbol, r.close) for r in rows] == [("BTCUSDT", 1.0)]
+    assert [(r.symbol, r.close) for r in rows] == [("XYZUSD", 1.0)]
