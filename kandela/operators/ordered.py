@@ -170,7 +170,7 @@ def _halo_blocks(idx: DataFrame, columns, sk: list, back: int, fwd: int, B: int)
         F.when(pos >= F.lit(B - back), own + 1) if back > 0 else F.lit(None).cast("long"),
         F.when((pos < F.lit(fwd)) & (own > 0), own - 1) if fwd > 0 else F.lit(None).cast("long"))
     ex = idx.select(*idx.columns, own.alias("_own"),
-                    F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_blk"))
+                    F.explode(F.array_compact(copies)).alias("_blk"))
     w = Window.partitionBy(*sk, "_blk").orderBy(_IDX)
     out = ex.withColumns(columns(w)).filter(F.col("_blk") == F.col("_own"))
     return out.drop("_blk", "_own")

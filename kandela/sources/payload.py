@@ -89,4 +89,4 @@ def to_payloads(bars: DataFrame, keys: Sequence[str] = (), per: str = "day") ->
     agg = g.groupBy(*keys, "period").agg(
         F.sort_array(F.collect_list(F.struct("_t", "_k"))).alias("_ks"))
     return agg.select(*keys, "period",
-                      F.to_json(F.transform("_ks", lambda s: s["_k"])).alias("value"))
+                      F.to_json(F.col("_ks._k")).alias("value"))
