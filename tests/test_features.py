@@ -189,3 +189,14 @@ def test_edges_shuffles_the_data_once(spark, tmp_dir):
     df.collect()
     final = _plan(df).split("Initial Plan")[0]
     assert "isFinalPlan=true" in final and "ReusedExchange" in final
+
+
+def test_dense_index_numeric_order_column(spark):
+    """A numeric order column is bucketed by floor(t / n)."""
+    df = spark.range(0, 200, 3).select((F.col("id") * 2).alias("t"),
+                                       (F.col("id") % 2).cast("string").alias("k"))
+    idx = dense_index(df, ["t"], ["k"], bucket_unit=17, total_col="n").collect()
+    for k in ("0", "1"):
+        rows = sorted((r.t, r._i, r.n) for r in idx if r.k == k)
+        assert [r[1] for r in rows] == list(range(len(rows)))
+        assert {r[2] for r in rows} == {len(rows)}
