@@ -50,7 +50,8 @@ def score(spark: SparkSession, a) -> None:
     from kandela.sources.tables import load_bars
     pred = score_candidates(load_bars(spark, a.bronze, keys=KEYS), spark.read.parquet(a.requests),
                             load_model(a.model), parity=a.parity)
-    append_predictions(pred.filter("status = 'ok'") if not a.parity else pred, a.log)
+    append_predictions(pred.filter("status = 'ok'") if not a.parity else pred, a.log,
+                       batch_id=a.batch_id)
 
 
 def settle(spark: SparkSession, a) -> None:
@@ -96,6 +97,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--model", required=True)
     p.add_argument("--log", required=True)
     p.add_argument("--parity", action="store_true")
+    p.add_argument("--batch-id", default=None,
+                   help="idempotent re-runs: the batch's rows replace any earlier run of it")
     p = sub.add_parser("settle")
     p.add_argument("--log", required=True)
     p.add_argument("--bronze", required=True)

@@ -117,13 +117,20 @@ def score_candidates(history: DataFrame, requests: DataFrame, model: LinearRegre
         "status")
 
 
-def append_predictions(pred: DataFrame, path: str) -> None:
-    """K-7: append prediction rows to the log (Parquet, partitioned by day).
-    Spark's output commit makes each batch all-or-nothing; the unique key is
-    (request_id) / (user_id, timestamp, model_version)."""
+def append_predictions(pred: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """K-7: add prediction rows to the log (Parquet, partitioned by day).
+
+    Spark's output commit makes each write all-or-nothing. With ``batch_id``
+    the rows go to ``<path>/batch_id=<id>`` with overwrite, so re-running the
+    same scoring batch after a failure replaces its rows instead of adding them
+    twice (the streaming sink does the same per micro-batch)."""
     cols = [f.name for f in PREDICTION.fields]
-    (pred.select(*cols).withColumn("dt", F.to_date("timestamp"))
-         .write.mode("append").partitionBy("dt").parquet(path))
+    out = pred.select(*cols).withColumn("dt", F.to_date("timestamp"))
+    if batch_id is None:
+        out.write.mode("append").partitionBy("dt").parquet(path)
+    else:
+        out.write.mode("overwrite").partitionBy("dt") \
+            .parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -29,8 +29,9 @@ def test_jobs_end_to_end(spark, tmp_dir):
     log = read_predictions(spark, p("log"))
     # each request candle is already in bronze, so it is not newer than history: stale
     assert log.count() == 0
-    cli.main(["score", "--bronze", p("bronze"), "--requests", p("requests"), "--model", p("model"),
-              "--log", p("log"), "--parity"], spark)
+    for _ in range(2):  # the same batch twice: the re-run replaces, no duplicates
+        cli.main(["score", "--bronze", p("bronze"), "--requests", p("requests"), "--model",
+                  p("model"), "--log", p("log"), "--parity", "--batch-id", "7"], spark)
     assert read_predictions(spark, p("log")).count() == req.count()
     cli.main(["settle", "--log", p("log"), "--bronze", p("bronze"), "--out", p("settled")], spark)
     cli.main(["monitor", "--settled", p("settled"), "--out", p("monitor")], spark)
