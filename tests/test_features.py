@@ -200,3 +200,20 @@ def test_dense_index_numeric_order_column(spark):
         rows = sorted((r.t, r._i, r.n) for r in idx if r.k == k)
         assert [r[1] for r in rows] == list(range(len(rows)))
         assert {r[2] for r in rows} == {len(rows)}
+
+
+def test_methods_agree_with_null_times_and_keys(spark):
+    """NULL symbols form their own series and NULL times sort first, as in the
+    plain window; halo and edges give the same rows."""
+    rows = [{"symbol": None, **r} for r in bar_rows([float(i % 9 + 1) for i in range(30)])] + \
+        bar_rows([float(i % 5 + 1) for i in range(25)], symbol="B")
+    rows += [dict(rows[3], open_time=None), dict(rows[40], open_time=None)]
+    b = bars_df(spark, rows, keyed=True)
+    cols = ["symbol", "open_time", "close", "close_t_plus_10", "return_1m", "MA_5", "MA_10"]
+
+    def srt(df):
+        return sorted((tuple((v is None, v) for v in (r[c] for c in cols)) for r in df.collect()))
+    g = srt(add_features(b, keys=["symbol"], method="global"))
+    assert srt(add_features(b, keys=["symbol"], method="halo", block_rows=10)) == g
+    assert srt(add_features(b, keys=["symbol"], method="edges", block_rows=10,
+                            bucket_unit="hour")) == g
