@@ -58,3 +58,9 @@ def test_batch_queries_stay_in_the_jvm(spark):
             continue
         p = _plan(q(spark, SF_SMALL))
         assert not any(n in p for n in PYTHON_NODES), key
+
+
+def test_package_api():
+    import kandela
+    for name in kandela.__all__:
+        assert callable(getattr(kandela, name)), name
