@@ -8,7 +8,6 @@ only invents a folder when none is set (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,10 +73,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for a stage table."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if os.path.isdir(base):
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared checkpoint folder for a stage table (a URI
+    of the same file system; made by whoever writes there)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
