@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, url_filter
+from . import mixing, packing, quality, sharding, url_filter
 from .common import table
 
 #: Host, path and verdict of each rule.
@@ -20,6 +20,14 @@ URL_RULES = [
 ]
 
 
+def op5_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,8 @@ def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_configuration_packing": op5_configuration_packing,
+    "op6_ftrl_quality": op6_ftrl_quality,
     "op7_pivotal_mixing": op7_pivotal_mixing,
     "op8_stratified_shards": op8_stratified_shards,
     "op9_bloom_cascade": op9_bloom_cascade,
