@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,16 @@ from kandela.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: The folder that holds the package.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the corpus folder."""
+    """A table of the corpus folder. Python workers of a session that was started elsewhere are told
+    where the package is; a cluster gets it with ``--py-files``."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
