@@ -23,6 +23,20 @@ fit AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
+OP2 = """
+WITH codes AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.bits, c.bits), lambda p: CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+  FROM codes q JOIN codes c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id, distance FROM pairs)
+SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_multi_index_hamming": OP2,
     "op9_bloom_cascade": OP9,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, sharding, url_filter
+from . import hamming, minhash, mixing, packing, quality, sharding, url_filter
 from .common import table
 
 #: Host, path and verdict of each rule.
@@ -20,6 +20,10 @@ URL_RULES = [
 ]
 
 
+def op2_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.top_k(table(spark, sf_dir, "embeddings"), k=10)
+
+
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -46,6 +50,7 @@ def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_multi_index_hamming": op2_multi_index_hamming,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op5_configuration_packing": op5_configuration_packing,
     "op6_ftrl_quality": op6_ftrl_quality,
