@@ -36,7 +36,27 @@ ranked AS (
 SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
 """
 
+OP10 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND list_count(e) = len(e) AND list_bool_and(list_transform(e, lambda x: isfinite(x))) AND list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM v
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c AS component_id, vec_id = c AS kept
+FROM v JOIN comp ON comp.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_multi_index_hamming": OP2,
     "op9_bloom_cascade": OP9,
+    "op10_cover_tree": OP10,
 }

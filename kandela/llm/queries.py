@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hamming, minhash, mixing, packing, quality, sharding, url_filter
+from . import covertree, hamming, minhash, mixing, packing, quality, sharding, url_filter
 from .common import table
 
 #: Host, path and verdict of each rule.
@@ -49,6 +49,10 @@ def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multi_index_hamming": op2_multi_index_hamming,
     "op3_tensored_minhash": op3_tensored_minhash,
@@ -57,4 +61,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pivotal_mixing": op7_pivotal_mixing,
     "op8_stratified_shards": op8_stratified_shards,
     "op9_bloom_cascade": op9_bloom_cascade,
+    "op10_cover_tree": op10_cover_tree,
 }
