@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, hamming, minhash, mixing, packing, quality, sharding, url_filter
+from . import covertree, hamming, minhash, mixing, packing, quality, sharding, spans, url_filter
 from .common import table
 
 #: Host, path and verdict of each rule.
@@ -20,6 +20,10 @@ URL_RULES = [
 ]
 
 
+def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_multi_index_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.top_k(table(spark, sf_dir, "embeddings"), k=10)
 
@@ -54,6 +58,7 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentence_spans": op1_sentence_spans,
     "op2_multi_index_hamming": op2_multi_index_hamming,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op5_configuration_packing": op5_configuration_packing,
