@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, hamming, minhash, mixing, packing, quality, sharding, spans, url_filter
+from . import covertree, hamming, minhash, mixing, packing, quality, secrets, sharding, spans, url_filter
 from .common import table
 
 #: Host, path and verdict of each rule.
@@ -32,6 +32,10 @@ def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
 def op5_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_spans": op1_sentence_spans,
     "op2_multi_index_hamming": op2_multi_index_hamming,
     "op3_tensored_minhash": op3_tensored_minhash,
+    "op4_forest_secrets": op4_forest_secrets,
     "op5_configuration_packing": op5_configuration_packing,
     "op6_ftrl_quality": op6_ftrl_quality,
     "op7_pivotal_mixing": op7_pivotal_mixing,
