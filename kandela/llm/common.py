@@ -28,6 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(df: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` with every column but the ``used`` ones renamed by its place (of equal names the first is
+    meant), so that none can clash with an operator's own; and the columns that restore all names."""
+    names, seen = [], set()
+    for i, c in enumerate(df.columns):
+        names.append(c if c in used and c not in seen else f"_{i}")
+        seen.add(c)
+    return df.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)]
+
+
+def narrow(df: DataFrame, *used: str) -> DataFrame:
+    """The ``used`` columns alone, whatever else is there."""
+    return set_aside(df, *used)[0].select(*used)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder of ``spark.checkpoint.dir`` and read it back.
 

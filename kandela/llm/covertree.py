@@ -37,15 +37,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import narrow, stage
 from .components import components
 
 COSINE, LEAF, CHILDREN, SAMPLE, MAX_LEVELS = 0.98, 512, 32, 2048, 12
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
-    v = np.stack([np.frombuffer(r, "<f8") for r in raw])
-    return v / np.linalg.norm(v, axis=1, keepdims=True)
+    return _scaled(np.stack([np.frombuffer(r, "<f8") for r in raw]))
+
+
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows at unit length, also those whose squares are too small or too large for a double."""
+    with np.errstate(over="ignore", under="ignore"):
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+        out = (n < 1e-140) | (n > 1e140)
+    if out.any():
+        v = np.where(out, v / np.abs(v).max(axis=1, keepdims=True), v)
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+    return v / n
 
 
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,20 +66,19 @@ def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = x.as_py()
             v = np.array(x, "<f8") if x and None not in x else None
             if v is not None:
-                with np.errstate(over="ignore"):
-                    v = v if np.isfinite(v).all() and 0 < np.linalg.norm(v) < np.inf else None
+                v = v if np.isfinite(v).all() and v.any() else None
             out.append(None if v is None else v.tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(out, pa.binary())], names=["id", "label", "raw"])
 
 
-def _centres(pdf: pd.DataFrame, radius: float) -> pd.DataFrame:
+def _centres(pdf: pd.DataFrame, radius: float, leaf: int) -> pd.DataFrame:
     """Farthest-first centres of a node, from a bounded sample of its vectors."""
     node, size = pdf["node"].iloc[0], int(pdf["size"].iloc[0])
     pdf = pdf.sort_values("h")
     v = _unit(pdf["raw"].tolist())
-    want = min(CHILDREN, max(2, math.ceil(2 * size / LEAF)))
+    want = min(CHILDREN, max(2, math.ceil(2 * size / leaf)))
     picked, far = [0], np.linalg.norm(v - v[0], axis=1)
-    while len(picked) < want and far.max() > 0 and (far.max() > radius / 2 or len(picked) < 2 or size / len(picked) > LEAF):
+    while len(picked) < want and far.max() > 0 and (far.max() > radius / 2 or len(picked) < 2 or size / len(picked) > leaf):
         picked.append(int(far.argmax()))
         far = np.minimum(far, np.linalg.norm(v - v[picked[-1]], axis=1))
     return pd.DataFrame({"node": [node], "centres": [v[picked].tobytes()], "dim": [v.shape[1]]})
@@ -81,8 +90,7 @@ def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         child, far = [], []
         for raw, centres, dim in zip(batch.column("raw").to_pylist(), batch.column("centres").to_pylist(), batch.column("dim").to_pylist(), strict=True):
             c = np.frombuffer(centres, "<f8").reshape(-1, dim)
-            v = np.frombuffer(raw, "<f8")
-            d = np.linalg.norm(c - v / np.linalg.norm(v), axis=1)
+            d = np.linalg.norm(c - _unit([raw]), axis=1)
             child.append(int(d.argmin()))
             far.append(float(d.min()))
         keep = [batch.column(c) for c in ("rep", "weight", "raw", "node", "h", "dim", "centres")]
@@ -142,7 +150,7 @@ def _hang(hit: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, same: bool) ->
         lab_a, lab_b = new_a, new_b
 
 
-def linked(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
+def linked(rows: DataFrame, cosine: float = COSINE, leaf: int = LEAF) -> DataFrame:
     """``rep, links, to`` for ``rows`` of distinct vectors (``rep, weight, raw, tree``): in each row how many
     vectors a vector links with in some leaf pair, and the smallest id that it reaches there."""
     threshold = math.sqrt(2 - 2 * cosine) + 1e-9
@@ -152,7 +160,7 @@ def linked(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     roots = todo.select("node").distinct().select(F.col("node").alias("a"), F.col("node").alias("b"))
     for level in range(MAX_LEVELS + 1):
         counts = todo.groupBy("node").agg(F.count("*").alias("size"))
-        large = stage(counts.where(F.col("size") > LEAF), "large") if level < MAX_LEVELS else None
+        large = stage(counts.where(F.col("size") > leaf), "large") if level < MAX_LEVELS else None
         split = large is not None and bool(large.take(1))
         done = todo.join(large.select("node"), "node", "left_anti") if split else todo
         done = done.select("node", "rep", "weight", "raw", "h")
@@ -162,7 +170,7 @@ def linked(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
         inside = todo.join(large, "node")
         sample = inside.withColumn("i", F.row_number().over(W.partitionBy("node").orderBy("h", "rep"))).where(F.col("i") <= SAMPLE)
         radius = 2.0 ** (1 - level)
-        centres = stage(sample.select("node", "size", "h", "raw").groupBy("node").applyInPandas(lambda p, radius=radius: _centres(p, radius), "node long, centres binary, dim int"), "centres")
+        centres = stage(sample.select("node", "size", "h", "raw").groupBy("node").applyInPandas(lambda p, radius=radius: _centres(p, radius, leaf), "node long, centres binary, dim int"), "centres")
         dealt = inside.join(centres, "node").select("rep", "weight", "raw", "node", "h", "dim", "centres")
         dealt = dealt.mapInArrow(_nearest, "rep long, weight long, raw binary, node long, h long, dim int, centres binary, child int, far double")
         dealt = stage(dealt.withColumn("parent", F.col("node")).withColumn("node", F.xxhash64("node", "child")).drop("centres", "dim"), "dealt")
@@ -174,7 +182,7 @@ def linked(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
         todo = dealt.select("rep", "weight", "raw", "node", "h")
     # leaves that could not be split further are cut by rank into parts of the same node
     size = leaves.groupBy("node").agg(F.count("*").alias("size"))
-    blocks = leaves.join(size, "node").withColumn("part", F.pmod("h", F.ceil(F.col("size") / LEAF)).cast("int"))
+    blocks = leaves.join(size, "node").withColumn("part", F.pmod("h", F.ceil(F.col("size") / leaf)).cast("int"))
     blocks = blocks.groupBy("node", "part").agg(F.sort_array(F.collect_list(F.struct("rep", "weight", "raw"))).alias("v"))
     blocks = stage(blocks.select("node", "part", F.xxhash64("node", "part").alias("block"), F.col("v.rep").alias("ids"), F.col("v.weight").alias("weights"), F.col("v.raw").alias("raw")), "blocks")
     pairs = stage(roots, "pairs")
@@ -194,14 +202,14 @@ def linked(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     return stage(of.join(right, "b").join(left, "a").mapInArrow(_compare(cosine), "rep long, links long, to long"), "links")
 
 
-def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", cosine: float = COSINE) -> DataFrame:
+def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", cosine: float = COSINE, leaf: int = LEAF) -> DataFrame:
     """``<id>, n_links, component_id, kept`` of each row."""
-    rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), F.col(label_column).cast("string").alias("label"), F.col(vector_column).alias("v"))
+    rows = narrow(vectors, id_column, vector_column, label_column).select(F.col(id_column).cast("bigint").alias("id"), F.col(label_column).cast("string").alias("label"), F.col(vector_column).alias("v"))
     rows = stage(rows.mapInArrow(_bytes, "id long, label string, raw binary"), "vectors")
     can = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("raw").isNotNull()
     classes = rows.where(can).groupBy("label", "raw").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
     classes = stage(classes.withColumn("tree", F.concat_ws("/", F.length("raw").cast("string"), "label")), "classes")
-    found = linked(classes, cosine)
+    found = linked(classes, cosine, leaf)
     sums = found.groupBy("rep").agg(F.sum("links").alias("links"))
     comp = components(found.select(F.col("rep").alias("a"), F.col("to").alias("b")))
     named = classes.join(sums, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")

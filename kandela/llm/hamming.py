@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import narrow, stage
 
 TOP, EVERY = 10, 50
 #: Widest segment, so that its values fit a non-negative int.
@@ -72,7 +72,7 @@ def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "e
     """``query_id, rank, <id>, distance``: for each query the k other vectors of smallest Hamming distance, ties by id."""
     spark = vectors.sparkSession
     query = F.pmod(F.col("id"), F.lit(EVERY)) == 0 if is_query is None else is_query
-    rows = vectors.select(F.col(id_column).alias("id"), F.col(vector_column).alias("v")).where(
+    rows = narrow(vectors, id_column, vector_column).toDF("id", "v").where(
         F.col("id").isNotNull() & F.exists("v", lambda x: x.isNotNull()))
     bits, n = rows.agg(F.max(F.size("v")), F.approx_count_distinct("v")).first()
     if not n:

@@ -15,10 +15,12 @@ keys of two minhashes, six in a million pairs of similarity 0.85, and fewer abov
 3. In every table bucket the smallest class is the hub. A class is compared with the smallest of its
    hubs; sets are compared in full. Links make components. This is repeated ``STAR_ROUNDS`` times with the
    hubs that are not yet in the class's component.
-4. Buckets that still hold several components are compared completely: all pairs of different
-   components that size doesn't rule out. A bucket with too many such pairs is first split by a second
-   family of half keys of its members, again and again; so a passage that very many documents share
-   doesn't make all their pairs. What is left after ``DEPTH`` splits is compared whatever its size.
+4. Buckets that still hold several components are compared completely, but not pair by pair: classes
+   that such buckets connect are dealt to blocks by set size (a step of sizes for each ratio that a
+   link allows, so links lie within a step or between neighbouring ones) and by a hash, at most about
+   ``BLOCK`` shingles in a block. Two blocks that meet in a bucket are compared as matrices: the product
+   of their 0/1 rows over the shingles they hold gives all intersections. From a pair of blocks comes
+   one link for each two components that it joins.
 
 Results: no words or a null text: set size 0, linked with nothing. A null doc_id names no component:
 such a document is in its class and links others, but only the ids that are not null count for the
@@ -28,6 +30,7 @@ a row. An empty table gives no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import narrow, set_aside, stage
 from .components import components
 from .words import U, _mix, chunks, shingles, texts_of, word_hashes
 
 WORDS, PERCENT, HALVES, JOINT = 5, 85, 10, 2
-STAR_ROUNDS, DEPTH = 2, 3
-#: Most pairs of different components that a bucket may have: so many, or so many for each member.
-BUCKET_PAIRS, MEMBER_PAIRS = 20_000, 8
+STAR_ROUNDS, BLOCK = 2, 1 << 16
 #: Ids of candidate classes up to this number (16 MB) are broadcast to the scan that reads their texts.
 MAX_BROADCAST = 1_000_000
 
@@ -122,26 +123,65 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(inter, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "both", "either"])
 
 
-def _resigned(seed: int):
+def _joined(percent: int):
+    """Links between components of two blocks, one for each two components."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(v.as_buffer(), U) for v in batch.column("set")]
-            if sets:
-                first = np.cumsum([0, *map(len, sets)])[:-1]
-                halves = _half_keys(np.concatenate(sets), first, seed).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * 2 * HALVES, pa.int32()), pa.array(halves.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("key"), lists], names=["key", "halves"])
+            for r in range(batch.num_rows):
+                same = batch.column("x")[r].as_py() == batch.column("y")[r].as_py()
+                one, two = ([m.as_py() for m in batch.column(c)[r].values] for c in ("one", "two"))
+                one_sets, two_sets = ([np.frombuffer(m["set"], U) for m in side] for side in (one, two))
+                n1, n2 = np.array([len(v) for v in one_sets]), np.array([len(v) for v in two_sets])
+                # only shingles that both sides have can meet
+                shared = np.intersect1d(np.concatenate(one_sets), np.concatenate(two_sets))
+                m1, m2 = _rows(one_sets, shared), _rows(two_sets, shared)
+                both = np.zeros((len(one), len(two)), np.float32)
+                for a in range(0, len(shared), COLUMNS):
+                    both += _dense(*m1, len(one), a) @ _dense(*m2, len(two), a).T
+                both = np.rint(both).astype(np.int64)
+                c1, c2 = np.array([m["c"] for m in one], np.int64), np.array([m["c"] for m in two], np.int64)
+                hit = (100 * both >= percent * (n1[:, None] + n2[None, :] - both)) & (c1[:, None] != c2[None, :])
+                if same:
+                    hit = np.triu(hit, 1)
+                i, j = np.nonzero(hit)
+                if len(i):
+                    keep = np.unique(np.stack([np.minimum(c1[i], c2[j]), np.maximum(c1[i], c2[j])]), axis=1, return_index=True)[1]
+                    i, j = i[keep], j[keep]
+                    ends = [pa.array([side[k]["key"] for k in at], pa.int64()) for side, at in ((one, i), (two, j))]
+                    inter = both[i, j]
+                    yield pa.RecordBatch.from_arrays([*ends, pa.array(inter), pa.array(n1[i] + n2[j] - inter)], names=["a", "b", "both", "either"])
     return run
 
 
-def _tables(rows: DataFrame, within: list[str]) -> DataFrame:
-    """Table keys ``t`` of ``rows`` (``key, n, halves`` and ``within``) for pairs of half keys that are not alone."""
-    half = rows.select(*within, "key", "n", F.posexplode("halves").alias("i", "x")).withColumn("x", F.xxhash64(*within, "i", "x"))
+#: Columns of the 0/1 matrices that are filled in at a time.
+COLUMNS = 4096
+
+
+def _rows(sets: list[np.ndarray], shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each shingle of ``sets`` that is among the sorted ``shared`` ones."""
+    all_ = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
+    at = np.searchsorted(shared, all_)
+    at[at == len(shared)] = 0
+    keep = shared[at] == all_ if len(shared) else np.zeros(len(all_), bool)
+    return row[keep], at[keep]
+
+
+def _dense(row: np.ndarray, at: np.ndarray, n: int, first: int) -> np.ndarray:
+    own = (at >= first) & (at < first + COLUMNS)
+    out = np.zeros((n, COLUMNS), np.float32)
+    out[row[own], at[own] - first] = 1
+    return out
+
+
+def _tables(rows: DataFrame) -> DataFrame:
+    """Table keys ``t`` of ``rows`` (``key, n, halves``) for pairs of half keys that are not alone."""
+    half = rows.select("key", "n", F.posexplode("halves").alias("i", "x")).withColumn("x", F.xxhash64("i", "x"))
     met = half.groupBy("x").agg(F.count("*").alias("c")).where("c > 1").select("x")
     half = half.join(met, "x")
-    first = half.where(F.col("i") < HALVES).select(*within, "key", "n", F.col("x").alias("u"))
-    second = half.where(F.col("i") >= HALVES).select(*within, "key", F.col("x").alias("v"))
-    return first.join(second, [*within, "key"]).select(F.xxhash64("u", "v").alias("t"), "key", "n")
+    first = half.where(F.col("i") < HALVES).select("key", "n", F.col("x").alias("u"))
+    second = half.where(F.col("i") >= HALVES).select("key", F.col("x").alias("v"))
+    return first.join(second, "key").select(F.xxhash64("u", "v").alias("t"), "key", "n")
 
 
 def _same_size(a: str, b: str, percent: int):
@@ -164,10 +204,10 @@ def _labelled(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame | None]:
     """``doc_id, n, key`` of each row, and ``node, component`` of the keys that have a link (None without any)."""
-    signed = stage(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        _signed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, key long, halves array<bigint>"), "signed")
+    docs = narrow(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
+    signed = stage(docs.mapInArrow(_signed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, key long, halves array<bigint>"), "signed")
     classes = stage(signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.first("halves").alias("halves")), "classes")
-    rows = stage(_tables(classes.select("key", "n", "halves"), []), "tables")
+    rows = stage(_tables(classes.select("key", "n", "halves")), "tables")
     # a bucket's own members only: a table key needs two
     rows = rows.join(rows.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t"), "t")
     rows = stage(rows, "buckets")
@@ -179,7 +219,7 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
         return signed, None
     wanted = members.select(F.col("first_doc").alias("doc_id"), "key")
     wanted = F.broadcast(wanted) if count <= MAX_BROADCAST else wanted
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(wanted.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
+    texts = docs.join(wanted.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
     sets = stage(texts.mapInArrow(_sets, "key long, set binary").groupBy("key").agg(F.first("set").alias("set")), "sets")
     tested, comp = None, None
 
@@ -198,25 +238,30 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
         pairs = named.join(hubs, "t").where((F.col("c") != F.col("hub.c")) & _same_size("n", "hub.n", percent)).select(F.col("hub.key").alias("a"), F.col("key").alias("b"))
         pairs = untested(pairs.distinct()).groupBy("b").agg(F.min("a").alias("a"))
         test(pairs)
-    for depth in range(DEPTH + 1):
-        named = stage(_labelled(rows, comp), "named")
-        parts = named.groupBy("t", "c").agg(F.count("*").alias("m"))
-        buckets = parts.groupBy("t").agg(F.max(F.struct("m", "c")).alias("top"), F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
-        cross = (F.col("all") * F.col("all") - F.col("squares")) / 2
-        large = (cross > BUCKET_PAIRS) & (cross > F.col("all") * MEMBER_PAIRS) & F.lit(depth < DEPTH)
-        buckets = stage(buckets.select("t", F.col("top.c").alias("top"), large.alias("large")), "mixed")
-        few = buckets.where("not large").select("t", "top")
-        right = named.join(few, "t").select("t", F.col("key").alias("k2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-        left = named.join(few, "t").where("c <> top")
-        pairs = left.join(right, "t").where((F.col("c") != F.col("c2")) & _same_size("n", "n2", percent)).select(F.least("key", "k2").alias("a"), F.greatest("key", "k2").alias("b"))
-        test(stage(untested(pairs.distinct()), "pairs"))
-        many = named.join(buckets.where("large").select("t"), "t").select(F.col("t").alias("old"), "key", "n")
-        many = stage(many, "many")
-        if not many.take(1):
-            break
-        again = sets.join(many.select("key").distinct(), "key", "left_semi").mapInArrow(_resigned(depth + 1), "key long, halves array<bigint>")
-        rows = stage(_tables(many.join(again, "key"), ["old"]), "tables")
-    return signed, comp
+    rest = stage(_blocks_meeting(_labelled(rows, comp), percent), "blocks")
+    if not rest.take(1):
+        return signed, comp
+    held = _labelled(rest.select("key", "n", "block").distinct(), comp).join(sets, "key")
+    held = held.groupBy("block").agg(F.collect_list(F.struct("key", "c", "set")).alias("members"))  # BLOCK shingles or one set
+    meet = rest.select("t", "block", "step")
+    other = meet.select("t", F.col("block").alias("y"), F.col("step").alias("step_y")).distinct()
+    meet = meet.select("t", F.col("block").alias("x"), "step").distinct().join(other, "t").where("x <= y and abs(step - step_y) <= 1").select("x", "y").distinct()
+    held = stage(held, "held")
+    both = meet.join(held.select(F.col("block").alias("y"), F.col("members").alias("two")), "y").join(held.select(F.col("block").alias("x"), F.col("members").alias("one")), "x")
+    found = stage(both.select("x", "y", "one", "two").mapInArrow(_joined(percent), "a long, b long, both long, either long"), "joined")
+    return signed, stage(components((found if tested is None else tested.unionAll(found)).where(f"100 * both >= {percent} * either").select("a", "b")), "components")
+
+
+def _blocks_meeting(rows: DataFrame, percent: int) -> DataFrame:
+    """``t, key, n, block, step`` of the buckets that hold several components."""
+    mixed = rows.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("key").alias("hub")).where("low < high").select("t", "hub")
+    rows = stage(rows.select("t", "key", "n").join(mixed, "t"), "mixed")
+    groups = components(rows.select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()).withColumnRenamed("node", "key").withColumnRenamed("component", "group")
+    members = rows.select("key", "n").distinct().join(groups, "key")
+    members = members.withColumn("step", F.floor(F.log(F.col("n")) / F.lit(-1.000001 * math.log(percent / 100))).cast("int"))
+    blocks = members.groupBy("group", "step").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    members = members.join(blocks, ["group", "step"]).withColumn("block", F.xxhash64("group", "step", F.pmod(F.xxhash64("key"), F.col("blocks"))))
+    return rows.select("t", "key").join(members.select("key", "n", "block", "step"), "key")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -237,8 +282,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest doc_id, of equal
     rows with that id one."""
-    names = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"_{i}") for i, c in enumerate(names)])
-    judged = near_duplicates(plain.select("doc_id", "text"), percent).where("not kept").select("doc_id", F.lit(True).alias("_gone")).distinct()
-    kept = plain.join(judged.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    return kept.select(*[F.col(c if c in ("doc_id", "text") else f"_{i}").alias(c) for i, c in enumerate(names)])
+    plain, back = set_aside(docs, "doc_id", "text")
+    judged = near_duplicates(plain, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    kept = plain.join(judged, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    return kept.select(*back)

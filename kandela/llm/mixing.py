@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, nullable_key, stage, uniform
+from .common import WORD, narrow, nullable_key, set_aside, stage, uniform
 
 FAN = 64
 #: Weights of the sources in the order of their names, repeating; share of all words; most copies.
@@ -86,7 +86,7 @@ def mixture(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     """``doc_id, source, size, source_size, target, rows, extra, copies`` of each set of equal rows:
     ``rows`` of them are taken ``copies`` times each, the first ``extra`` of them once more."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    classes = stage(docs.select("doc_id", "source", size.alias("size")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "mix-sizes")
+    classes = stage(narrow(docs, "doc_id", "source", "text").select("doc_id", "source", size.alias("size")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "mix-sizes")
     sizes = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("classes"))
     targets = source_targets(sizes.select("source", "source_size"), weights, share, most).join(
         sizes.select(F.col("source").alias("s"), "classes"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -129,13 +129,13 @@ def mixed_sizes(docs: DataFrame, **parameters) -> DataFrame:
 
 def mix(docs: DataFrame, **parameters) -> DataFrame:
     """The rows of ``docs``, each as many times as the mixture takes it."""
-    names = docs.columns
-    m = mixture(docs, **parameters).select(F.col("doc_id").alias("_id"), nullable_key(F.col("source")).alias("_key"), F.col("size").alias("_size"),
-                                           F.col("rows").alias("_rows"), F.col("extra").alias("_extra"), F.col("copies").alias("_copies"))
+    docs, back = set_aside(docs, "doc_id", "source", "text")
+    m = mixture(docs, **parameters).select(F.col("doc_id").alias("m_id"), nullable_key(F.col("source")).alias("m_key"), F.col("size").alias("m_size"),
+                                           F.col("rows").alias("m_rows"), F.col("extra").alias("m_extra"), F.col("copies").alias("m_copies"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    rows = docs.join(m, F.col("doc_id").eqNullSafe(F.col("_id")) & (nullable_key(F.col("source")) == F.col("_key")) & (size == F.col("_size")))
-    single = rows.where("_rows = 1").withColumn("_i", F.lit(1))
+    rows = docs.join(m, F.col("doc_id").eqNullSafe(F.col("m_id")) & (nullable_key(F.col("source")) == F.col("m_key")) & (size == F.col("m_size")))
+    single = rows.where("m_rows = 1").withColumn("m_i", F.lit(1))
     # equal rows only: which of them are the first does not matter
-    several = rows.where("_rows > 1").withColumn("_i", F.row_number().over(W.partitionBy("_id", "_key", "_size").orderBy(F.lit(0))))
-    rows = single.unionByName(several).withColumn("_n", (F.col("_copies") + F.when(F.col("_i") <= F.col("_extra"), 1).otherwise(0)).cast("int"))
-    return rows.where("_n > 0").withColumn("_c", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).select(*names)
+    several = rows.where("m_rows > 1").withColumn("m_i", F.row_number().over(W.partitionBy("m_id", "m_key", "m_size").orderBy(F.lit(0))))
+    rows = single.unionByName(several).withColumn("m_n", (F.col("m_copies") + F.when(F.col("m_i") <= F.col("m_extra"), 1).otherwise(0)).cast("int"))
+    return rows.where("m_n > 0").withColumn("m_c", F.explode(F.array_repeat(F.lit(0), F.col("m_n")))).select(*back)

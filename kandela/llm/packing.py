@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import stage
+from .common import narrow, stage
 
 SEQUENCE, END_ID, UNIT, ROUNDS, STEP = 4096, 1, 16, 1500, 0.25
 VOCABULARY = "word_bpe_49k.json"
@@ -152,6 +152,7 @@ def cut_pieces(docs: DataFrame, path: str | None = None, sequence: int = SEQUENC
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays(out + [pa.array(held, pa.binary())] * ids, names=names + ["ids"] * ids)
 
+    docs = narrow(docs, "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids)

@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import stage
+from .common import narrow, set_aside, stage
 from .words import U, _mix, chunks, hash_spans, lowered, texts_of, word_spans
 
 BITS, MAX_TRAIN, PARTS, EPOCHS = 18, 8192, 4, 3
@@ -133,6 +134,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> np.ndarray:
     """Weights of the 2^BITS places and the bias."""
+    labels, docs = narrow(labels, "doc_id", "quality"), narrow(docs, "doc_id", "text")
     seen = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"), F.xxhash64("doc_id").alias("h"))
     seen = stage(seen.orderBy("h", "doc_id", "quality").limit(max_train), "quality-labels")
     rows = docs.select("doc_id", "text").join(F.broadcast(seen), "doc_id")  # at most max_train rows of 20 bytes
@@ -146,10 +148,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> np.
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted`` in front of its own columns of the same names."""
+    """``docs`` with ``score`` and ``predicted``; it must not have these columns."""
     model = docs.sparkSession.sparkContext.broadcast(weights)  # 4 * 2^BITS bytes
-    own = [c for c in docs.columns if c not in ("score", "predicted")]
-    schema = docs.select(*own).schema.add("score", "double", False)
+    own = docs.columns
+    schema = StructType([*docs.schema.fields, StructField("score", DoubleType(), False)])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.value
@@ -158,22 +160,21 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             out = np.full(batch.num_rows, float(w[-1]))
             for a, b in chunks(at):
                 place, value, ahead = features(data, at[a:b + 1])
-                sums = np.concatenate([[0.0], np.cumsum(w[place] * value)])
-                out[a:b] += sums[ahead[1:]] - sums[ahead[:-1]]
+                has = np.flatnonzero(np.diff(ahead))
+                if len(has):  # each text's products are summed for themselves, so its score doesn't depend on its neighbours
+                    out[a + has] += np.add.reduceat(w[place] * value, ahead[has])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_sigmoid(out))], names=[*own, "score"])
 
-    return docs.select(*own).mapInArrow(scored, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.mapInArrow(scored, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``."""
-    out = score(docs.select("doc_id", "text"), train(docs, labels, **parameters))
+    out = score(narrow(docs, "doc_id", "text"), train(docs, labels, **parameters))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **parameters) -> DataFrame:
     """The rows of ``docs`` that the classifier doesn't reject."""
-    names = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(c if c == "text" else f"_{i}") for i, c in enumerate(names)])
-    out = score(plain, train(docs, labels, **parameters)).where("predicted = 1")
-    return out.select(*[F.col(c if c == "text" else f"_{i}").alias(c) for i, c in enumerate(names)])
+    plain, back = set_aside(docs, "text")
+    return score(plain, train(docs, labels, **parameters)).where("predicted = 1").select(*back)

@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import narrow, set_aside, stage
 from .packing import vocabulary_path
 
 TREES, TREE_DEPTH, MAX_TRAIN, SEED = 24, 6, 10_000, 4
@@ -138,6 +138,7 @@ def find_candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text_key").take(at), *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True))],
                                              names=["doc_id", "text_key", "start", "length", "value", "named", "features"])
 
+    docs = narrow(docs, "doc_id", "source", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), text.alias("text"), F.xxhash64(text).alias("text_key"))
@@ -205,10 +206,9 @@ def _masked(names: list[str]):
 
 def mask_secrets(docs: DataFrame, **parameters) -> DataFrame:
     """The rows of ``docs`` with ``[SECRET]`` in the place of every secret of their text."""
-    own = docs.columns
-    names = [c if c in ("doc_id", "text", "source") else f"_{i}" for i, c in enumerate(own)]
-    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(own, names, strict=True)])
+    plain, back = set_aside(docs, "doc_id", "source", "text")
+    names = plain.columns
     spans = scan(plain, **parameters).where("is_secret").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
-    spans = stage(spans.withColumnRenamed("doc_id", "_id"), "secrets")
-    rows = plain.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("text_key")), "left").select(*names, "spans")
-    return rows.mapInArrow(_masked(names), plain.schema).select(*[F.col(n).alias(c) for c, n in zip(own, names, strict=True)])
+    spans = stage(spans.withColumnRenamed("doc_id", "id"), "secrets")
+    rows = plain.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_key")), "left").select(*names, "spans")
+    return rows.mapInArrow(_masked(names), plain.schema).select(*back)

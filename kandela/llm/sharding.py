@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import nullable_key, stage, uniform
+from .common import narrow, nullable_key, stage, uniform
 
 RANGE_ROWS = 20_000
 
@@ -41,7 +41,7 @@ def _ranks(rows: DataFrame, group: list[str], by: str, ranges: int, order: list[
 def shard_rows(docs: DataFrame, shards: int = 24, seed: int = 8) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard, source`` of each row of ``docs``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", F.col("source").alias("source"), nullable_key(F.col("source")).alias("stratum"),
+    rows = narrow(docs, "doc_id", "source", "text").select("doc_id", "source", nullable_key(F.col("source")).alias("stratum"),
                        (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
     same = rows.groupBy(*rows.columns).agg(F.count("*").alias("m"))
     rows = same.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m")))).drop("m")

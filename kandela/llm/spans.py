@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import stage
+from .common import narrow, set_aside, stage
 from .words import U, _mix, chunks, hash_spans, lowered, texts_of, word_spans
 
 SENTENCES, MIN_WORDS, CUT = 3, 16, 32
@@ -144,13 +144,13 @@ def _rewritten(names: list[str]):
                 removed[i], words_removed[i] = out.sum(), size[out].sum()
             if len(new):
                 text = pc.replace_with_mask(text, pa.array(mask), pa.array(new, text.type))
-            yield pa.RecordBatch.from_arrays([*(text if c == "text" else batch.column(c) for c in names), pa.array(removed), pa.array(words_removed)], names=[*names, "_removed", "_words"])
+            yield pa.RecordBatch.from_arrays([*(text if c == "text" else batch.column(c) for c in names), pa.array(removed), pa.array(words_removed)], names=[*names, "n_removed", "words_removed"])
     return run
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, pos, many``: spans (first sentence, number of sentences) to be removed."""
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = narrow(docs, "doc_id", "text").select("doc_id", F.col("text").cast("string").alias("text"))
     repeated = texts.select("text").mapInArrow(_counted, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h")
     repeated = stage(repeated, "repeated")
     n = repeated.count()
@@ -170,11 +170,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated spans cut out of ``text``, and ``n_removed`` sentences, ``words_removed``."""
-    own = [c for c in docs.columns if c not in ("n_removed", "words_removed")]
-    names = [c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(own)]
-    plain = docs.select(*[(F.col(f"`{c}`").cast("string") if c == "text" else F.col(f"`{c}`")).alias(n) for c, n in zip(own, names, strict=True)])
+    plain, back = set_aside(docs, "doc_id", "text")
+    plain = plain.withColumn("text", F.col("text").cast("string"))
+    names = plain.columns
     gone = repeated_spans(plain).groupBy("doc_id").agg(F.collect_set(F.struct("pos", "many")).alias("gone"))
-    rows = plain.join(gone.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(*names, "gone")
-    schema = StructType([*plain.schema.fields, StructField("_removed", LongType()), StructField("_words", LongType())])
+    rows = plain.join(gone.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left").select(*names, "gone")
+    schema = StructType([*plain.schema.fields, StructField("n_removed", LongType()), StructField("words_removed", LongType())])
     out = rows.mapInArrow(_rewritten(names), schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(own, names, strict=True)], F.col("_removed").alias("n_removed"), F.col("_words").alias("words_removed"))
+    return out.select(*back, "n_removed", "words_removed")

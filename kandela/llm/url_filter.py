@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import narrow, stage
 
 #: Most listed keys that are held in literals; longer lists are joined instead.
 MAX_LISTED = 100_000
@@ -117,7 +117,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
     rules = rules.groupBy("key").agg(F.min("verdict").alias("verdict"), F.first("labels").alias("labels"), F.first("chars").alias("chars"))
     seen = rules.agg(F.count("*"), F.collect_set("labels"), F.collect_set("chars"), F.collect_set("verdict")).first()
     host, path = url_parts(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = narrow(pages, "page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
     if not seen[0]:
         return rows.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     keys = candidate_keys(F.col("host"), F.col("path"), sorted(seen[1]), sorted(seen[2]))
