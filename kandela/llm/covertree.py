@@ -84,6 +84,10 @@ def _centres(pdf: pd.DataFrame, radius: float, leaf: int) -> pd.DataFrame:
     return pd.DataFrame({"node": [node], "centres": [v[picked].tobytes()], "dim": [v.shape[1]]})
 
 
+def _chosen(radius: float, leaf: int):
+    return lambda pdf: _centres(pdf, radius, leaf)
+
+
 def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each vector's nearest centre and its distance."""
     for batch in batches:
@@ -169,8 +173,7 @@ def linked(rows: DataFrame, cosine: float = COSINE, leaf: int = LEAF) -> DataFra
             break
         inside = todo.join(large, "node")
         sample = inside.withColumn("i", F.row_number().over(W.partitionBy("node").orderBy("h", "rep"))).where(F.col("i") <= SAMPLE)
-        radius = 2.0 ** (1 - level)
-        centres = stage(sample.select("node", "size", "h", "raw").groupBy("node").applyInPandas(lambda p, radius=radius: _centres(p, radius, leaf), "node long, centres binary, dim int"), "centres")
+        centres = stage(sample.select("node", "size", "h", "raw").groupBy("node").applyInPandas(_chosen(2.0 ** (1 - level), leaf), "node long, centres binary, dim int"), "centres")
         dealt = inside.join(centres, "node").select("rep", "weight", "raw", "node", "h", "dim", "centres")
         dealt = dealt.mapInArrow(_nearest, "rep long, weight long, raw binary, node long, h long, dim int, centres binary, child int, far double")
         dealt = stage(dealt.withColumn("parent", F.col("node")).withColumn("node", F.xxhash64("node", "child")).drop("centres", "dim"), "dealt")
