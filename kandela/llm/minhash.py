@@ -13,10 +13,10 @@ keys of two minhashes, six in a million pairs of similarity 0.85, and fewer abov
    works on classes. So copies cost nothing, however many there are.
 2. Half keys that a single class has are dropped, and the rest are paired to table keys.
 3. In every table bucket the smallest class is the hub. A class is compared with the smallest of its
-   hubs; sets are compared in full. Links make components. This is repeated ``STAR_ROUNDS`` times with the
-   hubs that are not yet in the class's component.
-4. Buckets that still hold several components are compared completely, but not pair by pair: classes
-   that such buckets connect are dealt to blocks by set size (a step of sizes for each ratio that a
+   hubs; sets are compared in full. Links make components, so a large group of near copies is mostly
+   one component after as many comparisons as it has classes.
+4. Buckets that still hold several components are compared completely, but not pair by pair: their
+   classes are dealt to blocks by set size (a step of sizes for each ratio that a
    link allows, so links lie within a step or between neighbouring ones) and by a hash, at most about
    ``BLOCK`` shingles in a block. Two blocks that meet in a bucket are compared as matrices: the product
    of their 0/1 rows over the shingles they hold gives all intersections. From a pair of blocks comes
@@ -43,7 +43,7 @@ from .components import components
 from .words import U, _mix, chunks, shingles, texts_of, word_hashes
 
 WORDS, PERCENT, HALVES, JOINT = 5, 85, 10, 2
-STAR_ROUNDS, BLOCK = 2, 1 << 16
+BLOCK = 1 << 16
 #: Ids of candidate classes up to this number (16 MB) are broadcast to the scan that reads their texts.
 MAX_BROADCAST = 1_000_000
 
@@ -147,9 +147,7 @@ def _joined(percent: int):
                 if len(i):
                     keep = np.unique(np.stack([np.minimum(c1[i], c2[j]), np.maximum(c1[i], c2[j])]), axis=1, return_index=True)[1]
                     i, j = i[keep], j[keep]
-                    ends = [pa.array([side[k]["key"] for k in at], pa.int64()) for side, at in ((one, i), (two, j))]
-                    inter = both[i, j]
-                    yield pa.RecordBatch.from_arrays([*ends, pa.array(inter), pa.array(n1[i] + n2[j] - inter)], names=["a", "b", "both", "either"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c1[i]), pa.array(c2[j])], names=["a", "b"])
     return run
 
 
@@ -196,85 +194,67 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stage(pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(_compared, "a long, b long, both long, either long"), "compared")
 
 
-def _labelled(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
-    if comp is None:
-        return rows.withColumn("c", F.col("key"))
-    return rows.join(comp.select(F.col("node").alias("key"), F.col("component").alias("c0")), "key", "left").withColumn("c", F.coalesce("c0", "key")).drop("c0")
+def _labelled(rows: DataFrame, *maps: DataFrame) -> DataFrame:
+    """``rows`` with the component ``c`` of their key."""
+    rows = rows.withColumn("c", F.col("key"))
+    for m in maps:
+        rows = rows.join(m.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component")
+    return rows
 
 
-def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame | None]:
-    """``doc_id, n, key`` of each row, and ``node, component`` of the keys that have a link (None without any)."""
+def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, list[DataFrame]]:
+    """``doc_id, n, key`` of each row, and maps ``node, component`` that lead a key, one after the other,
+    to the name of its component; a key that is in none of them is its own."""
     docs = narrow(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
     signed = stage(docs.mapInArrow(_signed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, key long, halves array<bigint>"), "signed")
     classes = stage(signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.first("halves").alias("halves")), "classes")
     rows = stage(_tables(classes.select("key", "n", "halves")), "tables")
     # a bucket's own members only: a table key needs two
-    rows = rows.join(rows.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t"), "t")
-    rows = stage(rows, "buckets")
-    members = classes.select("key", "first_doc").join(rows.select("key").distinct(), "key", "left_semi")
-    members = stage(members, "members")
+    buckets = rows.groupBy("t").agg(F.count("*").alias("c"), F.min(F.struct("key", "n")).alias("hub")).where("c > 1").select("t", "hub")
+    rows = stage(rows.join(buckets, "t"), "buckets")
+    members = stage(classes.select("key", "first_doc").join(rows.select("key").distinct(), "key", "left_semi"), "members")
     count = members.count()
     signed = signed.select("doc_id", "n", "key")
     if not count:
-        return signed, None
-    wanted = members.select(F.col("first_doc").alias("doc_id"), "key")
+        return signed, []
+    wanted = members.select(F.col("first_doc").alias("_id"), "key")
     wanted = F.broadcast(wanted) if count <= MAX_BROADCAST else wanted
-    texts = docs.join(wanted.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
     sets = stage(texts.mapInArrow(_sets, "key long, set binary").groupBy("key").agg(F.first("set").alias("set")), "sets")
-    tested, comp = None, None
-
-    def test(pairs: DataFrame) -> None:
-        nonlocal tested, comp
-        done = _verify(pairs, sets)
-        tested = done if tested is None else tested.unionAll(done)
-        comp = stage(components(tested.where(f"100 * both >= {percent} * either").select("a", "b")), "components")
-
-    def untested(pairs: DataFrame) -> DataFrame:
-        return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-    for _ in range(STAR_ROUNDS):
-        named = _labelled(rows, comp)
-        hubs = named.groupBy("t").agg(F.min(F.struct("key", "n", "c")).alias("hub"))
-        pairs = named.join(hubs, "t").where((F.col("c") != F.col("hub.c")) & _same_size("n", "hub.n", percent)).select(F.col("hub.key").alias("a"), F.col("key").alias("b"))
-        pairs = untested(pairs.distinct()).groupBy("b").agg(F.min("a").alias("a"))
-        test(pairs)
-    rest = stage(_blocks_meeting(_labelled(rows, comp), percent), "blocks")
+    pairs = rows.where((F.col("key") != F.col("hub.key")) & _same_size("n", "hub.n", percent)).groupBy(F.col("key").alias("b")).agg(F.min("hub.key").alias("a"))
+    tested = _verify(pairs, sets)
+    maps = [stage(components(tested.where(f"100 * both >= {percent} * either").select("a", "b")), "components")]
+    rest = stage(_blocks_meeting(_labelled(rows, maps[0]), percent), "blocks")
     if not rest.take(1):
-        return signed, comp
-    held = _labelled(rest.select("key", "n", "block").distinct(), comp).join(sets, "key")
-    held = held.groupBy("block").agg(F.collect_list(F.struct("key", "c", "set")).alias("members"))  # BLOCK shingles or one set
-    meet = rest.select("t", "block", "step")
-    other = meet.select("t", F.col("block").alias("y"), F.col("step").alias("step_y")).distinct()
-    meet = meet.select("t", F.col("block").alias("x"), "step").distinct().join(other, "t").where("x <= y and abs(step - step_y) <= 1").select("x", "y").distinct()
-    held = stage(held, "held")
+        return signed, maps
+    held = rest.select("key", "c", "block").distinct().join(sets, "key")
+    held = stage(held.groupBy("block").agg(F.collect_list(F.struct("c", "set")).alias("members")), "held")  # BLOCK shingles or one set
+    meet = rest.select("t", "block", "step").distinct()
+    other = meet.select("t", F.col("block").alias("y"), F.col("step").alias("step_y"))
+    meet = meet.withColumnRenamed("block", "x").join(other, "t").where("x <= y and abs(step - step_y) <= 1").select("x", "y").distinct()
     both = meet.join(held.select(F.col("block").alias("y"), F.col("members").alias("two")), "y").join(held.select(F.col("block").alias("x"), F.col("members").alias("one")), "x")
-    found = stage(both.select("x", "y", "one", "two").mapInArrow(_joined(percent), "a long, b long, both long, either long"), "joined")
-    return signed, stage(components((found if tested is None else tested.unionAll(found)).where(f"100 * both >= {percent} * either").select("a", "b")), "components")
+    found = stage(both.select("x", "y", "one", "two").mapInArrow(_joined(percent), "a long, b long"), "joined")
+    return signed, [*maps, stage(components(found), "components")]
 
 
 def _blocks_meeting(rows: DataFrame, percent: int) -> DataFrame:
-    """``t, key, n, block, step`` of the buckets that hold several components."""
-    mixed = rows.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("key").alias("hub")).where("low < high").select("t", "hub")
-    rows = stage(rows.select("t", "key", "n").join(mixed, "t"), "mixed")
-    groups = components(rows.select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()).withColumnRenamed("node", "key").withColumnRenamed("component", "group")
-    members = rows.select("key", "n").distinct().join(groups, "key")
-    members = members.withColumn("step", F.floor(F.log(F.col("n")) / F.lit(-1.000001 * math.log(percent / 100))).cast("int"))
+    """``t, key, c, block, step`` of the buckets that hold several components. Classes that have their
+    smallest hub in common lie together."""
+    mixed = rows.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("t")
+    rows = stage(rows.select("t", "key", "n", "c", F.col("hub.key").alias("hub")).join(mixed, "t"), "mixed")
+    members = rows.groupBy("key", "n").agg(F.min("hub").alias("group"))
+    members = stage(members.withColumn("step", F.floor(F.log(F.col("n")) / F.lit(-1.000001 * math.log(percent / 100))).cast("int")), "mixed-members")
     blocks = members.groupBy("group", "step").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
     members = members.join(blocks, ["group", "step"]).withColumn("block", F.xxhash64("group", "step", F.pmod(F.xxhash64("key"), F.col("blocks"))))
-    return rows.select("t", "key").join(members.select("key", "n", "block", "step"), "key")
+    return rows.select("t", "key", "c").join(members.select("key", "block", "step"), "key")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row of ``docs``, and the class's key."""
-    signed, comp = links(docs, percent)
-    groups = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_doc"))
-    if comp is not None:
-        groups = _labelled(groups, comp)
-        smallest = groups.groupBy("c").agg(F.min("first_doc").alias("component_id"))
-        groups = groups.join(smallest, "c").select("key", "component_id")
-    else:
-        groups = groups.withColumnRenamed("first_doc", "component_id")
-    out = signed.join(groups, "key", "left")
+    signed, maps = links(docs, percent)
+    rows = _labelled(signed, *maps)  # a null key has no component
+    smallest = rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(smallest, "c", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.col("key").alias("set_key"))
 
