@@ -164,7 +164,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     kind = texts.schema["doc_id"].dataType.simpleString()
     found = stage(texts.mapInArrow(_occurrences(model, bits), f"h long, doc_id {kind}, pos int, many int"), "spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pos")
-    firsts = found.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    # written, so that the join below has plain rows on both sides and Spark can split a hot hash
+    firsts = stage(found.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
     return found.join(firsts, "h").where(place != F.col("first")).select("doc_id", "pos", "many")
 
 
