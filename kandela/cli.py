@@ -3,9 +3,10 @@
 Each job is one lazy plan between tables in shared storage:
 
 * ``land``    payload files -> bronze (Structured Streaming, ``availableNow`` or every minute)
+* ``ingest``  payload files -> bronze, as one batch (same merge)
 * ``silver``  bronze -> silver (features, label, null drop; partitioned by symbol and day)
 * ``train``   silver -> model (+ metrics printed as JSON)
-* ``score``   requests + bronze history + model -> prediction log (append)
+* ``score``   requests + bronze history + model -> prediction log (rows already logged are skipped)
 * ``settle``  prediction log + bronze -> settled predictions
 * ``monitor`` settled predictions -> daily RMSE/MAE per model version
 """
@@ -24,11 +25,16 @@ KEYS = ["symbol"]
 
 def land(spark: SparkSession, a) -> None:
     from kandela.streaming.ingest import land_bronze
-    q = land_bronze(spark, a.payloads, a.bronze, a.checkpoint, delay=a.delay,
+    q = land_bronze(spark, a.payloads, a.bronze, a.checkpoint,
                     available_now=not a.continuous, max_files_per_trigger=a.max_files)
     q.awaitTermination()
 
 
+def ingest(spark: SparkSession, a) -> None:
+    from kandela.streaming.ingest import ingest_bronze
+    ingest_bronze(spark, a.payloads, a.bronze)
+
+
 def silver(spark: SparkSession, a) -> None:
     from kandela.plans.silver import build_silver, write_silver
     from kandela.sources.tables import load_bars
@@ -39,7 +45,9 @@ def silver(spark: SparkSession, a) -> None:
 
 def train(spark: SparkSession, a) -> None:
     from kandela.plans.training import run_training
-    s = spark.read.parquet(a.silver).drop("dt")
+    from kandela.plans.silver import SILVER
+    from kandela.sources.tables import load_bars
+    s = load_bars(spark, a.silver, SILVER, KEYS)
     res = run_training(s, KEYS, a.ratio, a.embargo, refit=a.refit, model_path=a.model)
     print(json.dumps(res.metrics.first().asDict()))
 
@@ -48,19 +56,16 @@ def score(spark: SparkSession, a) -> None:
     from kandela.plans.model import load_model
     from kandela.plans.scoring import append_predictions, score_candidates
     from kandela.sources.tables import load_bars
-    pred = score_candidates(load_bars(spark, a.bronze, keys=KEYS), spark.read.parquet(a.requests),
+    pred = score_candidates(load_bars(spark, a.bronze, keys=[*KEYS, "dt"]), spark.read.parquet(a.requests),
                             load_model(a.model), parity=a.parity)
-    append_predictions(pred.filter("status = 'ok'") if not a.parity else pred, a.log,
-                       batch_id=a.batch_id)
+    append_predictions(pred, a.log)
 
 
 def settle(spark: SparkSession, a) -> None:
     from kandela.plans.scoring import read_predictions
-    from kandela.plans.settlement import settle as settle_df
+    from kandela.plans.settlement import settle_log
     from kandela.sources.tables import load_bars
-    p = read_predictions(spark, a.log)
-    settle_df(p, load_bars(spark, a.bronze, keys=KEYS)).write.mode("overwrite") \
-        .partitionBy("dt").parquet(a.out)
+    settle_log(read_predictions(spark, a.log), load_bars(spark, a.bronze, keys=[*KEYS, "dt"]), a.out)
 
 
 def monitor(spark: SparkSession, a) -> None:
@@ -75,9 +80,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--payloads", required=True)
     p.add_argument("--bronze", required=True)
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--delay", default="1 day")
     p.add_argument("--max-files", type=int, default=None)
     p.add_argument("--continuous", action="store_true", help="per-minute trigger instead of availableNow")
+    p = sub.add_parser("ingest")
+    p.add_argument("--payloads", required=True)
+    p.add_argument("--bronze", required=True)
     p = sub.add_parser("silver")
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
@@ -97,8 +104,6 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--model", required=True)
     p.add_argument("--log", required=True)
     p.add_argument("--parity", action="store_true")
-    p.add_argument("--batch-id", default=None,
-                   help="idempotent re-runs: the batch's rows replace any earlier run of it")
     p = sub.add_parser("settle")
     p.add_argument("--log", required=True)
     p.add_argument("--bronze", required=True)
@@ -109,7 +114,7 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
-JOBS = {"land": land, "silver": silver, "train": train, "score": score, "settle": settle,
+JOBS = {"land": land, "ingest": ingest, "silver": silver, "train": train, "score": score, "settle": settle,
         "monitor": monitor}
 
 

@@ -30,9 +30,13 @@ def width_seconds(width: str) -> int:
 
 def bars(events: DataFrame, width: str = "1 hour", time_col: str = "ts",
          price_col: str = "value", taker_col: str = "user_id",
-         symbol_col: str | None = None, decimals: int = 6) -> DataFrame:
+         symbol_col: str | None = None, decimals: int = 6, tie_col: str | None = "event_id") -> DataFrame:
     """Candles of ``width`` from tick rows; keyed by ``symbol`` when
-    ``symbol_col`` is given. Columns follow the bronze schema."""
+    ``symbol_col`` is given. Columns follow the bronze schema. Ticks of the same
+    time are ordered by ``tie_col`` (then by price), so open and close are the
+    same in every run."""
+    tie = [F.col(tie_col).alias("_i")] if tie_col and tie_col in events.columns else []
+    order = F.struct("_t", *["_i" for _ in tie], "_p")
     secs = width_seconds(width)
     span = f"{secs} seconds"
     price = F.col(price_col)
@@ -40,13 +44,13 @@ def bars(events: DataFrame, width: str = "1 hour", time_col: str = "ts",
     keys = [F.col(symbol_col).alias("symbol")] if symbol_col else []
     start = F.window(time_col, span).start.alias("open_time")
     agg = (events
-           .select(*keys, start, F.col(time_col).alias("_t"), price.alias("_p"),
+           .select(*keys, start, F.col(time_col).alias("_t"), *tie, price.alias("_p"),
                    taker.alias("_tk"))
            .groupBy(*(["symbol"] if symbol_col else []), "open_time")
-           .agg(F.min_by("_p", "_t").alias("open"),
+           .agg(F.min_by("_p", order).alias("open"),
                 F.max("_p").alias("high"),
                 F.min("_p").alias("low"),
-                F.max_by("_p", "_t").alias("close"),
+                F.max_by("_p", order).alias("close"),
                 F.round(F.sum("_p"), decimals).alias("volume"),
                 F.round(F.sum(F.col("_p") * F.col("_p")), decimals).alias("quote_asset_volume"),
                 F.count(F.lit(1)).alias("number_of_trades"),

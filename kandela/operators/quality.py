@@ -30,13 +30,6 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
-def null_profile_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """A-2 in long form: (column_name, null_count)."""
-    wide = null_profile(df, columns)
-    cols = list(columns or df.columns)
-    return wide.unpivot([], cols, "column_name", "null_count")
-
-
 def distinct_profile(df: DataFrame) -> DataFrame:
     """A-3: row count, distinct whole rows and duplicate rows, in one shuffle
     (group by all columns; NULLs compare equal, like ``dropDuplicates``). The
@@ -48,28 +41,30 @@ def distinct_profile(df: DataFrame) -> DataFrame:
         .withColumn("duplicate_count", F.col("row_count") - F.col("distinct_rows"))
 
 
-def deduplicate(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """Remove duplicates on ``keys`` (all columns when None); separate from the
-    profile, which only counts (G12)."""
-    return df.dropDuplicates(list(keys) if keys else None)
-
-
 def describe_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """A-4: count, mean, sample stddev, min, max per numeric column, from one
-    aggregate, unpivoted to (column_name, count, mean, stddev, min, max)."""
-    cols = list(columns or [c for c, t in df.dtypes if t in NUMERIC])
-    aggs = []
+    """A-4: count, mean, sample stddev, min, max per numeric or text column,
+    from one aggregate, unpivoted to (column_name, count, mean, stddev, min,
+    max, min_text, max_text). Numbers have min and max as doubles; texts have
+    them as texts, and no mean (other than ``df.describe()``, which tries to
+    read texts as numbers)."""
+    kinds = dict(df.dtypes)
+    cols = list(columns or [c for c, t in df.dtypes if t in NUMERIC or t == "string"])
+    aggs, rows = [], []
+    number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
-                     F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-            for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*rows)))
+        own = [F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count")]
+        if kinds[c] == "string":
+            aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+            rest = [number, number, number, number, F.col(f"lo{i}"), F.col(f"hi{i}")]
+        else:
+            x = F.col(c).cast("double")
+            aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                     F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
+                     F.max(x).alias(f"hi{i}")]
+            rest = [F.col(f"m{i}"), F.col(f"s{i}"), F.col(f"lo{i}"), F.col(f"hi{i}"), text, text]
+        names = ("mean", "stddev", "min", "max", "min_text", "max_text")
+        rows.append(F.struct(*own, *[v.alias(n) for v, n in zip(rest, names)]))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def quartiles(df: DataFrame, column: str, accuracy: int = 10000) -> DataFrame:
@@ -121,19 +116,19 @@ def outlier_count(df: DataFrame, column: str, **kw) -> DataFrame:
 
 def quality_profile(df: DataFrame) -> DataFrame:
     """M-11: one-row data-quality summary: rows, distinct rows, duplicates,
-    NULL cells over all columns, rows with any NULL."""
+    NULL cells over all columns, rows with any NULL. One scan and one group-by
+    of whole rows; NULLs are counted in the distinct rows and weighted by how
+    often each occurs."""
     cols = df.columns
     any_null = F.lit(False)
     n_null = F.lit(0)
     for c in cols:
         any_null = any_null | F.col(c).isNull()
         n_null = n_null + F.col(c).isNull().cast("int")
-    nulls = df.agg(F.coalesce(F.sum(n_null), F.lit(0)).cast("long").alias("null_cells"),
-                   F.count_if(any_null).alias("rows_with_null"))
-    d = distinct_profile(df)
-    # two one-row frames side by side: each is a scalar subquery, no join
-    return d.select("row_count", "distinct_rows", "duplicate_count",
-                    nulls.select(F.struct("null_cells", "rows_with_null")).scalar().alias("_n")) \
-        .select("row_count", "distinct_rows", "duplicate_count",
-                F.col("_n.null_cells").alias("null_cells"),
-                F.col("_n.rows_with_null").alias("rows_with_null"))
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return g.agg(total("_n").alias("row_count"), F.count(F.lit(1)).alias("distinct_rows"),
+                 total(n_null * F.col("_n")).alias("null_cells"),
+                 total(F.when(any_null, F.col("_n"))).alias("rows_with_null")) \
+        .select("row_count", "distinct_rows", (F.col("row_count") - F.col("distinct_rows")).alias("duplicate_count"),
+                "null_cells", "rows_with_null")

@@ -17,9 +17,10 @@ from kandela.operators.ordered import DEFAULT_BUCKET, time_index
 
 
 def indexed(df: DataFrame, time_col: str = "open_time", keys: Sequence[str] = (),
-            ratio: float = 0.8, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
-    """Add ``rn`` (1-based time rank per key) and ``_cut`` (last train rank)."""
-    out = time_index(df, [time_col], keys, name="rn", bucket_unit=bucket_unit, total_col="_n")
+            ratio: float = 0.8, bucket_unit: str = DEFAULT_BUCKET, ties: Sequence[str] = ()) -> DataFrame:
+    """Add ``rn`` (1-based time rank per key; equal times by ``ties``) and ``_cut``
+    (last train rank)."""
+    out = time_index(df, [time_col, *ties], keys, name="rn", bucket_unit=bucket_unit, total_col="_n")
     return out.withColumn("_cut", F.floor(F.col("_n") * F.lit(float(ratio))).cast("long")).drop("_n")
 
 
@@ -33,6 +34,15 @@ def split_indexed(idx: DataFrame, embargo: int = 0, keep_index: bool = False,
     return train.drop(*drop), test.drop(*drop)
 
 
+def pooled_split(df: DataFrame, ratio: float = 0.8, time_col: str = "open_time",
+                 series: Sequence[str] = ("symbol",), embargo: int = 0, keep_index: bool = False,
+                 bucket_unit: str = DEFAULT_BUCKET) -> tuple[DataFrame, DataFrame]:
+    """One cut through all series together, for a model that is fitted on all of
+    them: the earliest ``floor(n*ratio)`` of all rows train. So no training row
+    is newer than any test row, however unevenly the series end."""
+    return split_indexed(indexed(df, time_col, (), ratio, bucket_unit, series), embargo, keep_index)
+
+
 def chronological_split(df: DataFrame, ratio: float = 0.8, time_col: str = "open_time",
                         keys: Sequence[str] = (), embargo: int = 0, keep_index: bool = False,
                         drop_time: bool = False, bucket_unit: str = DEFAULT_BUCKET

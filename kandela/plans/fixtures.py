@@ -7,7 +7,7 @@ driver tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kandela.operators.bars import bars
@@ -99,3 +99,29 @@ def requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         "taker_buy_base_volume", "taker_buy_quote_volume")
     history = b.join(newest.select("symbol", "open_time"), ["symbol", "open_time"], "left_anti")
     return history, req
+
+
+def request_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(history, requests) of a scoring batch that grows with ``customer``: each
+    customer asks for one symbol (every 11th for one without candles), one
+    minute before to two minutes after its newest candle, so a part of the
+    requests is stale; every 13th lacks the open price. History is every candle."""
+    from kandela.operators.topk import latest_row
+    b = bronze(spark, sf_dir, MINUTE, keyed=True)
+    newest = latest_row(b, ["symbol"])
+    symbols = newest.withColumn("_k", F.row_number().over(Window.orderBy("symbol")) - 1)  # a row for each symbol
+    n = symbols.agg(F.count(F.lit(1))).scalar()
+    key = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select(key, F.when(key % 11 != 0, (key % n).cast("int")).alias("_k"))
+    rows = c.join(symbols, "_k", "left")
+    at = F.coalesce("open_time", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    return b, rows.select(
+        key.alias("request_id"), F.coalesce("symbol", F.lit("none")).alias("symbol"), key.alias("user_id"),
+        (at + F.make_dt_interval(mins=(key % 4 - 1).cast("int"))).alias("requested_at"),
+        F.when(key % 13 != 0, F.coalesce("open", F.lit(1.0))).alias("open_price"),
+        F.coalesce("high", F.lit(1.0)).alias("high_price"), F.coalesce("low", F.lit(1.0)).alias("low_price"),
+        (F.coalesce("close", F.lit(1.0)) + key % 10).alias("close_price"),
+        F.coalesce("volume", F.lit(1.0)).alias("volume"), F.coalesce("quote_asset_volume", F.lit(1.0)).alias("quote_asset_volume"),
+        F.coalesce("number_of_trades", F.lit(1)).alias("number_of_trades"),
+        F.coalesce("taker_buy_base_volume", F.lit(1.0)).alias("taker_buy_base_volume"),
+        F.coalesce("taker_buy_quote_volume", F.lit(1.0)).alias("taker_buy_quote_volume"))

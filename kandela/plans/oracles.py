@@ -68,7 +68,7 @@ def build() -> dict[str, str]:
     o["silver_features"] = silver_rounded("hour")
     o["features_halo"] = silver_rounded("minute", keyed=True)
     o["features_edges"] = silver_rounded("minute", keyed=True)
-    o["scan_bars"] = bars_sql("minute")
+    o["scan_bars"] = f"SELECT *, CAST(open_time AS DATE) AS dt FROM ({bars_sql('minute', True)}) b"
     o["project_bars"] = f"""
 SELECT floor(epoch(open_time))::BIGINT AS open_time, open, high, low, close, volume,
        floor(epoch(close_time))::BIGINT AS close_time, quote_asset_volume, number_of_trades,
@@ -151,6 +151,42 @@ LEFT JOIN ({bars_sql('minute', True)}) b
   ON b.symbol = p.symbol AND b.open_time = date_trunc('minute', p.prediction_for)"""
 
 
+def request_features_sql() -> str:
+    """Serving features and status of every request of the batch fixture."""
+    return f"""
+WITH b AS ({bars_sql('minute', True)}),
+last AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1),
+newest AS (SELECT *, row_number() OVER (ORDER BY symbol) - 1 AS k FROM last),
+req AS (
+  SELECT c_custkey AS request_id, coalesce(symbol, 'none') AS symbol,
+         coalesce(open_time, TIMESTAMP '2024-01-01 00:00:00') + to_minutes(CAST(c_custkey % 4 - 1 AS INTEGER)) AS open_time,
+         CASE WHEN c_custkey % 13 <> 0 THEN coalesce(open, 1.0) END AS open, coalesce(close, 1.0) + c_custkey % 10 AS close,
+         coalesce(volume, 1.0) AS volume, coalesce(taker_buy_base_volume, 1.0) AS taker_buy_base_volume
+  FROM customer LEFT JOIN newest ON c_custkey % 11 <> 0 AND k = c_custkey % (SELECT count(*) FROM newest)),
+hist AS (SELECT symbol, open_time, close, row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) AS i FROM b
+         QUALIFY i <= 10),
+h AS (SELECT symbol, max(open_time) AS newest, max(CASE WHEN i = 1 THEN close END) AS prev,
+             sum(CASE WHEN i <= 4 THEN close END) AS s4, count(CASE WHEN i <= 4 THEN close END) AS n4,
+             sum(CASE WHEN i <= 9 THEN close END) AS s9, count(CASE WHEN i <= 9 THEN close END) AS n9 FROM hist GROUP BY symbol),
+f AS (
+  SELECT request_id, req.symbol, req.open_time, req.open_time + INTERVAL 60 SECOND AS close_time, req.open, req.close, newest,
+         (req.close - prev) / nullif(prev, 0) AS return_1m,
+         (coalesce(s4, 0) + req.close) / (coalesce(n4, 0) + 1) AS MA_5, (coalesce(s9, 0) + req.close) / (coalesce(n9, 0) + 1) AS MA_10,
+         CASE WHEN volume > 0 THEN taker_buy_base_volume / volume ELSE 0.0 END AS taker_ratio
+  FROM req LEFT JOIN h USING (symbol))
+SELECT *, CASE WHEN newest IS NULL THEN 'no_history' WHEN open_time <= newest THEN 'stale'
+               WHEN open IS NULL OR return_1m IS NULL THEN 'invalid' ELSE 'ok' END AS status FROM f"""
+
+
+def _scored_requests_sql() -> str:
+    fit = (f"SELECT regr_slope(close_t_plus_10, close) AS a, regr_intercept(close_t_plus_10, close) AS b "
+           f"FROM ({silver_sql('minute', True)}) t")
+    return f"""
+SELECT request_id, request_id AS user_id, symbol, open_time AS timestamp, open_time + INTERVAL 10 MINUTE AS prediction_for,
+       close AS current_price, CASE WHEN status = 'ok' THEN a * close + b END AS predicted_price, status
+FROM ({request_features_sql()}) r, ({fit}) f"""
+
+
 def _more(o: dict) -> None:
     silver_h = silver_sql("hour")
     feat_h = features_sql(bars_sql("hour"), False)
@@ -170,12 +206,13 @@ FROM ({silver_h}) s WINDOW w AS (ORDER BY open_time)"""
     o["features_refit"] = rounded(f"SELECT * FROM ({refit}) r WHERE {nn}", DERIVED)
     o["numeric_profile"] = rounded(
         f"SELECT {', '.join(NUMERIC_SILVER)} FROM ({silver_h}) s", DERIVED)
-    o["schema_table"] = f"""
-SELECT (row_number() OVER ())::INTEGER AS pos, column_name AS name,
-       CASE column_type WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type
-FROM (DESCRIBE {silver_h})"""
+    kinds = {"open_time": "timestamp_ntz", "close_time": "timestamp_ntz", "number_of_trades": "bigint"}
+    o["schema_table"] = f"WITH s AS ({silver_h}) " + " UNION ALL ".join(
+        f"SELECT {i + 1} AS pos, '{c}' AS name, '{kinds.get(c, 'double')}' AS type, count({c}) AS values FROM s"
+        for i, c in enumerate(FEATURE_TABLE))
     o["lookup_first"] = f"SELECT * FROM ({USERS}) u WHERE username = 'Customer#000000007' LIMIT 1"
-    o["bronze_merge"] = bars_sql("hour", True)
+    o["bronze_merge"] = (f"SELECT * REPLACE (CASE WHEN hour(open_time) % 2 = 0 THEN close + 1 ELSE close END AS close) "
+                         f"FROM ({bars_sql('hour', True)}) b")
     o["silver_roundtrip"] = silver_rounded("hour")
     o["sink_recount"] = f"""
 SELECT count(*) AS source_rows, count(*) AS target_rows, 0::BIGINT AS missing_rows,
@@ -183,6 +220,12 @@ SELECT count(*) AS source_rows, count(*) AS target_rows, 0::BIGINT AS missing_ro
     o["preview_ordered"] = f"SELECT * FROM ({silver_rounded('hour')}) s ORDER BY open_time LIMIT 5"
     o["split_train"] = _split("<=")
     o["split_test"] = _split(">")
+    o["split_pooled_train"] = f"""
+SELECT symbol, open_time, close, close_t_plus_10, rn FROM (
+  SELECT symbol, open_time, close, close_t_plus_10,
+         row_number() OVER (ORDER BY open_time, symbol) AS rn, count(*) OVER () AS n
+  FROM ({silver_sql('minute', True)}) s) i
+WHERE rn <= floor(n * 0.8)"""
     o["outlier_flag"] = _flag()
     o["outlier_rows"] = f"SELECT * FROM ({_flag()}) f WHERE is_outlier"
     o["outlier_count"] = f"SELECT count_if(is_outlier)::BIGINT AS outlier_count FROM ({_flag()}) f"
@@ -210,8 +253,28 @@ SELECT (SELECT count(*) FROM r) - (SELECT count(*) FROM (SELECT DISTINCT * FROM
         x = f"{c}::DOUBLE"
         parts.append(f"SELECT '{c}' AS column_name, count({x}) AS count, round(avg({x}), {R}) AS mean, "
                      f"round(stddev_samp({x}), {R}) AS stddev, round(min({x}), {R}) AS min, "
-                     f"round(max({x}), {R}) AS max FROM s")
-    o["describe_stats"] = f"WITH s AS ({silver_h}) " + " UNION ALL ".join(parts)
+                     f"round(max({x}), {R}) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM s")
+    parts.append("SELECT 'symbol', count(symbol), NULL, NULL, NULL, NULL, min(symbol), max(symbol) FROM s")
+    o["describe_stats"] = f"WITH s AS ({silver_sql('minute', True)}) " + " UNION ALL ".join(parts)
+    o["approx_median"] = f"SELECT count(close_t_plus_10) AS rows, true AS within_error FROM ({silver_h}) s"
+    fit = (f"SELECT regr_slope(close_t_plus_10, close) AS a, regr_intercept(close_t_plus_10, close) AS b "
+           f"FROM ({_split('<=')}) t")
+    test = f"SELECT open_time, close_t_plus_10, a * close + b AS prediction FROM ({_split('>')}) t, ({fit}) f"
+    o["score_one_feature"] = rounded(test, ["prediction"])
+    o["evaluate_one_feature"] = f"""
+SELECT count(*) AS n, round(sqrt(avg((prediction - close_t_plus_10) ^ 2)), {R}) AS rmse,
+       round(avg(abs(prediction - close_t_plus_10)), {R}) AS mae,
+       round(1 - avg((prediction - close_t_plus_10) ^ 2) / var_pop(close_t_plus_10), {R}) AS r2
+FROM ({test}) s"""
+    o["ols_optimality"] = " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS uncorrelated" for c in FEATURES13)
+    scored = _scored_requests_sql()
+    o["score_requests_one_feature"] = rounded(
+        f"SELECT request_id, symbol, timestamp, prediction_for, current_price, predicted_price, status FROM ({scored}) s",
+        ["current_price", "predicted_price"])
+    o["prediction_log"] = rounded(f"""
+SELECT request_id, user_id, symbol, timestamp, prediction_for, current_price, predicted_price, NULL::DOUBLE AS actual_price,
+       NULL::DOUBLE AS confidence_lower, NULL::DOUBLE AS confidence_upper, 'v1.0.0' AS model_version, NULL::DOUBLE AS error,
+       CAST(timestamp AS DATE) AS dt FROM ({scored}) s WHERE status = 'ok'""", ["current_price", "predicted_price"])
     nul = " + ".join(f"({c} IS NULL)::INT" for c in FEATURE_TABLE)
     anyn = " OR ".join(f"{c} IS NULL" for c in FEATURE_TABLE)
     o["quality_profile"] = f"""
@@ -265,19 +328,9 @@ FROM ({preds}) p""", ["current_price", "predicted_price", "predicted_change"])
 SELECT round(regr_slope(close_t_plus_10, close), {R}) AS slope,
        round(regr_intercept(close_t_plus_10, close), {R}) AS intercept
 FROM ({_split('<=')}) t"""
-    o["request_features"] = rounded(f"""
-WITH r AS (SELECT * FROM ({bars_sql('minute', True)}) b
-           QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 11),
-f AS (SELECT symbol, open_time, close,
-             (close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) AS return_1m,
-             avg(close) OVER (PARTITION BY symbol ORDER BY open_time ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS MA_5,
-             avg(close) OVER (PARTITION BY symbol ORDER BY open_time ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS MA_10,
-             CASE WHEN volume > 0 THEN taker_buy_base_volume / volume ELSE 0.0 END AS taker_ratio,
-             row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) AS rk
-      FROM r WINDOW w AS (PARTITION BY symbol ORDER BY open_time))
-SELECT symbol, open_time, open_time + INTERVAL 60 SECOND AS close_time, close, return_1m, MA_5,
-       MA_10, taker_ratio FROM f WHERE rk = 1""",
-        ["return_1m", "MA_5", "MA_10", "taker_ratio"])
+    o["request_features"] = rounded(
+        f"SELECT request_id, symbol, open_time, close_time, close, return_1m, MA_5, MA_10, taker_ratio, status "
+        f"FROM ({request_features_sql()}) f", ["close", *DERIVED])
     o["settle_predictions"] = rounded(
         _settled(), ["current_price", "predicted_price", "actual_price", "error"])
     o["stream_dedup"] = bars_sql("minute", True)

@@ -117,8 +117,12 @@ def q_time_index(spark, sf_dir):
 # ---------------------------------------------------------------- scans
 @query("scan_bars")
 def q_scan_bars(spark, sf_dir):
-    """S-2: the bronze candle table (minute bars of all events)."""
-    return fx.bronze(spark, sf_dir, fx.MINUTE)
+    """S-2: minute candles written as a partitioned bronze table and scanned with
+    its fixed schema."""
+    from kandela.sources.tables import load_bars
+    path = scratch_path(spark, "bronze")
+    SK.write_bronze(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), path)
+    return load_bars(spark, path, keys=["symbol", "dt"])
 
 
 @query("project_bars")
@@ -174,10 +178,12 @@ def q_numeric_profile(spark, sf_dir):
 
 @query("schema_table")
 def q_schema_table(spark, sf_dir):
-    """P-9: (pos, name, type) of the silver schema."""
+    """P-9: (pos, name, type, values) of each silver column, with the number of
+    values that the scanned table has there."""
     s = _silver_h(spark, sf_dir)
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(s.schema.fields)]
-    return spark.createDataFrame(rows, "pos int, name string, type string")
+    wide = s.agg(*[F.struct(F.lit(i + 1).alias("pos"), F.lit(c).alias("name"), F.lit(t).alias("type"),
+                            F.count(c).alias("values")).alias(c) for i, (c, t) in enumerate(s.dtypes)])
+    return wide.select(F.inline(F.array(*s.columns)))
 
 
 @query("lookup_first")
@@ -190,9 +196,11 @@ def q_lookup_first(spark, sf_dir):
 @query("bronze_merge")
 def q_bronze_merge(spark, sf_dir):
     """K-1: two overlapping fetches of keyed hourly candles merged on
-    (symbol, open_time), latest fetch winning."""
+    (symbol, open_time), latest fetch winning: the second has other closes for
+    every other hour and lacks the rest."""
     b = fx.bronze(spark, sf_dir, fx.HOUR, keyed=True)
-    return SK.merge_bronze(b.withColumn("_fetch", F.lit(1)), b.withColumn("_fetch", F.lit(2)))
+    second = b.filter(F.hour("open_time") % 2 == 0).withColumn("close", F.col("close") + 1)
+    return SK.merge_bronze(b.withColumn("_fetch", F.lit(1)), second.withColumn("_fetch", F.lit(2)))
 
 
 @query("silver_roundtrip")
@@ -237,6 +245,16 @@ def q_split_test(spark, sf_dir):
     return te
 
 
+@query("split_pooled_train")
+def q_split_pooled_train(spark, sf_dir):
+    """M-4/M-8: one cut through all series by time: the earliest floor(0.8 n) of
+    all keyed silver rows."""
+    from kandela.operators.split import pooled_split
+    s = build_silver(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"], **fx.edges(fx.MINUTE))
+    tr, _ = pooled_split(s.select("symbol", "open_time", "close", LABEL), 0.8, keep_index=True)
+    return tr
+
+
 @query("outlier_flag")
 def q_outlier_flag(spark, sf_dir):
     """F-3: IQR flag on the target (fences from percentile_approx)."""
@@ -265,8 +283,14 @@ def q_iqr_bounds(spark, sf_dir):
 
 @query("approx_median")
 def q_approx_median(spark, sf_dir):
-    """A-6: median of the target with relative error 0.1."""
-    return Q.approx_median(_silver_h(spark, sf_dir), LABEL, 0.1)
+    """A-6: median of the target with relative error 0.1: whether its rank lies
+    within that error of the middle."""
+    s = _silver_h(spark, sf_dir).select(LABEL)
+    median = Q.approx_median(s, LABEL, 0.1).scalar()
+    m = s.select(LABEL, median.alias("m"))
+    below, most = F.count_if(F.col(LABEL) < F.col("m")), F.count_if(F.col(LABEL) <= F.col("m"))
+    n = F.count(LABEL)
+    return m.agg(n.alias("rows"), ((below <= 0.6 * n) & (most >= 0.4 * n)).alias("within_error"))
 
 
 @query("dropna_subset")
@@ -303,8 +327,10 @@ def q_duplicate_count(spark, sf_dir):
 
 @query("describe_stats")
 def q_describe_stats(spark, sf_dir):
-    """A-4: count/mean/stddev/min/max per numeric silver column."""
-    return round_doubles(Q.describe_long(_silver_h(spark, sf_dir)))
+    """A-4: count/mean/stddev/min/max per numeric and text column of keyed
+    minute silver."""
+    s = build_silver(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"], **fx.edges(fx.MINUTE))
+    return round_doubles(Q.describe_long(s))
 
 
 @query("quality_profile")
@@ -423,6 +449,42 @@ def q_ols_one_feature(spark, sf_dir):
                                                "slope double, intercept double"))
 
 
+def _one_feature(spark, sf_dir):
+    """(model of the target on close, test rows) of the hourly training split."""
+    frame = M.assemble(_silver_h(spark, sf_dir), ["close"]).select("open_time", "features", LABEL)
+    tr, te = chronological_split(frame, 0.8)
+    return M.fit_linear(tr), te
+
+
+@query("score_one_feature")
+def q_score_one_feature(spark, sf_dir):
+    """M-6/S-5/K-6: test rows scored by the saved and loaded one-feature model."""
+    m, te = _one_feature(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    M.save_model(m, path)
+    return round_doubles(M.score(M.load_model(path), te).select("open_time", LABEL, "prediction"))
+
+
+@query("evaluate_one_feature")
+def q_evaluate_one_feature(spark, sf_dir):
+    """M-7: metrics of the one-feature model on the test split."""
+    m, te = _one_feature(spark, sf_dir)
+    return round_doubles(M.evaluate(m, te)[0])
+
+
+@query("ols_optimality")
+def q_ols_optimality(spark, sf_dir):
+    """M-5: the 13-feature fit is the least-squares one: on its training rows the
+    residuals are uncorrelated with every feature (0 at 4 decimals)."""
+    from pyspark.ml.functions import vector_to_array
+    from kandela.schema import FEATURE_COLUMNS
+    tr, _ = _split_h(spark, sf_dir)
+    r = M.score(M.fit_linear(tr), tr).select((F.col(LABEL) - F.col("prediction")).alias("r"), vector_to_array("features").alias("x"))
+    wide = r.agg(*[F.abs(F.corr("r", F.col("x")[i])).alias(c) for i, c in enumerate(FEATURE_COLUMNS)])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), (F.round(F.col(c), 4) == 0).alias("uncorrelated")) for c in FEATURE_COLUMNS])
+    return wide.select(F.inline(rows))
+
+
 @query("train_ols")
 def q_train_ols(spark, sf_dir):
     """M-5: the 13-feature model's coefficients."""
@@ -469,39 +531,50 @@ def q_model_roundtrip(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- scoring / log
-def _score(spark, sf_dir):
+def _score(spark, sf_dir, features=None):
     from kandela.plans.scoring import score_candidates
     from kandela.plans.training import run_training
-    hist, req = fx.requests(spark, sf_dir)
+    hist, req = fx.request_batch(spark, sf_dir)
     s = build_silver(hist, ["symbol"], **fx.edges(fx.MINUTE))
-    res = run_training(s, ["symbol"])
-    return score_candidates(hist, req, res.model)
+    if features:
+        model = M.fit_linear(M.assemble(s, features).select("features", LABEL))
+        return score_candidates(hist, req, model, features=features)
+    return score_candidates(hist, req, run_training(s, ["symbol"]).model)
 
 
 @query("score_requests")
 def q_score_requests(spark, sf_dir):
-    """M-9: set-based scoring of the newest candle of every symbol."""
+    """M-9: set-based scoring: a row with its status for every request."""
     return _score(spark, sf_dir).drop("created_at", "updated_at")
 
 
+@query("score_requests_one_feature")
+def q_score_requests_one_feature(spark, sf_dir):
+    """M-9: the same with a model of close alone, whose predictions SQL can give."""
+    return round_doubles(_score(spark, sf_dir, ["close"]).select(
+        "request_id", "symbol", "timestamp", "prediction_for", "current_price", "predicted_price", "status"))
+
+
 @query("request_features")
 def q_request_features(spark, sf_dir):
-    """M-9 feature part: serving features of each request candle (X-5: its
+    """M-9 feature part: serving features and status of each request (X-5: its
     close time is open time + 60 s)."""
-    from kandela.plans.scoring import request_features, request_series
-    hist, req = fx.requests(spark, sf_dir)
-    f = request_features(request_series(hist, req))
-    return round_doubles(f.select("symbol", "open_time", "close_time", "close", "return_1m",
-                                  "MA_5", "MA_10", "taker_ratio"))
+    from kandela.plans.scoring import request_features
+    hist, req = fx.request_batch(spark, sf_dir)
+    return round_doubles(request_features(hist, req).select(
+        "request_id", "symbol", "open_time", "close_time", "close", "return_1m", "MA_5", "MA_10", "taker_ratio", "status"))
 
 
 @query("prediction_log")
 def q_prediction_log(spark, sf_dir):
-    """K-7: scored requests appended to the Parquet log and read back."""
-    from kandela.plans.scoring import append_predictions
+    """K-7: scored requests added to the Parquet log, twice, and read back: the
+    second time adds nothing. Predictions are those of the one-feature model."""
+    from kandela.plans.scoring import append_predictions, read_predictions
     path = scratch_path(spark, "predlog")
-    append_predictions(_score(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    scored = _score(spark, sf_dir, ["close"])
+    append_predictions(scored, path)
+    append_predictions(scored, path)
+    return round_doubles(read_predictions(spark, path).drop("created_at", "updated_at"))
 
 
 @query("settle_predictions")
@@ -545,13 +618,14 @@ def _payload_dir(spark, sf_dir, per="day"):
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """R-1/R-2: payload files landed by Structured Streaming (availableNow),
-    closed candles only, duplicates dropped within the watermark."""
+    """R-1/R-2: payload files of two overlapping fetches landed by Structured
+    Streaming (availableNow), closed candles only, in several micro-batches."""
+    from kandela.sources.tables import load_bars
     from kandela.streaming.ingest import land_bronze
     src = _payload_dir(spark, sf_dir)
     out, ck = scratch_path(spark, "landed"), scratch_path(spark, "landed-ck")
-    land_bronze(spark, src, out, ck).awaitTermination()
-    return spark.read.parquet(out).drop("dt")
+    land_bronze(spark, src, out, ck, max_files_per_trigger=200).awaitTermination()
+    return load_bars(spark, out, keys=["symbol"])
 
 
 @query("stream_features")
@@ -588,7 +662,7 @@ def q_stream_scoring(spark, sf_dir):
                             .parquet(src))
     log, ck = scratch_path(spark, "stream-log"), scratch_path(spark, "stream-log-ck")
     start_scoring(feats, model, log, ck).awaitTermination()
-    return spark.read.parquet(log).drop("batch_id")
+    return spark.read.parquet(log).drop("created_at", "updated_at")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,30 +8,68 @@ partitioned on the same keys, no skew beyond one candle per key).
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kandela.session import pin_utc
+from kandela.session import pin_utc, scratch_path
 
 
 def settle(predictions: DataFrame, bars: DataFrame, unit: str = "minute") -> DataFrame:
     """Fill ``actual_price`` with the close of the candle opening at
     ``date_trunc(unit, prediction_for)``; ``error = predicted - actual``.
-    Unsettled rows keep NULLs."""
+    Unsettled rows keep NULLs. Both columns are there whether or not the log
+    has them. Where the candle table has a ``dt`` partition column, the join
+    also asks for the day of the horizon, so days without predictions are pruned."""
     pin_utc(predictions.sparkSession)  # minute truncation of UTC wall-clock times
-    target = bars.select("symbol", F.col("open_time").alias("_t"), F.col("close").alias("_actual"))
+    day = ["_d"] if "dt" in bars.columns else []
+    target = bars.select("symbol", F.col("open_time").alias("_t"), F.col("close").alias("_actual"),
+                         *([F.col("dt").alias("_d")] if day else []))
     p = predictions.drop("actual_price", "error") \
         .withColumn("_t", F.date_trunc(unit, F.col("prediction_for")).cast("timestamp_ntz"))
-    out = p.join(target, on=["symbol", "_t"], how="left")
-    cols = []
-    for c in predictions.columns:
-        if c == "actual_price":
-            cols.append(F.col("_actual").alias("actual_price"))
-        elif c == "error":
-            cols.append((F.col("predicted_price") - F.col("_actual")).alias("error"))
-        else:
-            cols.append(F.col(c))
-    return out.select(*cols)
+    if day:
+        p = p.withColumn("_d", F.to_date("_t"))
+    out = p.join(target, on=["symbol", "_t", *day], how="left").withColumns(
+        {"actual_price": F.col("_actual"), "error": F.col("predicted_price") - F.col("_actual")})
+    own = predictions.columns
+    return out.select(*own, *[c for c in ("actual_price", "error") if c not in own])
+
+
+#: Most distinct days whose candles are asked for by literals.
+MAX_DAYS = 1000
+
+
+def settle_log(log: DataFrame, bars: DataFrame, out: str) -> None:
+    """Settle the days of the log (partition ``dt``) that ``out`` doesn't have
+    completely, and replace just these days. A day is complete there once all
+    its rows have an actual price and none was added since."""
+    spark = log.sparkSession
+    try:
+        done = spark.read.parquet(out).groupBy("dt").agg(
+            F.count("*").alias("_n"), F.count("actual_price").alias("_m")).where("_n = _m")
+        counts = log.groupBy("dt").agg(F.count("*").alias("_n"))
+        open_days = counts.join(done.select("dt", "_n"), ["dt", "_n"], "left_anti").select("dt")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        open_days = log.select("dt").distinct()
+    days = [r[0] for r in open_days.limit(MAX_DAYS + 1).collect()]
+    if not days:
+        return
+    if len(days) <= MAX_DAYS:
+        log = log.filter(F.col("dt").isin(days))
+        # a horizon lies at most a day after its prediction's day
+        ends = sorted({d + dt.timedelta(days=k) for d in days for k in (0, 1)})
+        bars = bars.filter(F.col("dt").isin(ends)) if "dt" in bars.columns else bars
+    else:
+        log = log.join(open_days, "dt", "left_semi")
+    settled = settle(log, bars)
+    stage = scratch_path(spark, "settled")  # it may read what it replaces
+    settled.write.parquet(stage)
+    spark.read.schema(settled.schema).parquet(stage).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(out)
 
 
 def monitor_daily(settled: DataFrame) -> DataFrame:

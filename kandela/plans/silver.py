@@ -6,7 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql import types as T
+
 from kandela.operators.features import silver
+from kandela.schema import BRONZE, DERIVED_COLUMNS
+
+#: Silver: the candle columns, the label and the derived features.
+SILVER = T.StructType([*BRONZE.fields, *(T.StructField(c, T.DoubleType()) for c in DERIVED_COLUMNS)])
 
 
 def build_silver(bronze: DataFrame, keys: Sequence[str] = (), **kw) -> DataFrame:

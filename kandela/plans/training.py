@@ -1,10 +1,10 @@
 """Training job end to end (L2, M-8): one lazy plan from candles to a fitted,
 evaluated and saved model; spark-submit entry in ``main``.
 
-The ML frame, with its time index and train/test cut, is materialized once as
-a reliable checkpoint in the shared ``spark.checkpoint.dir`` (never a local
-checkpoint): the fit and the evaluation are plain filters on it, nothing is
-recomputed, and a lost executor only costs re-reading its checkpoint files.
+The training frame, with its time index and train/test cut, is written once as
+Parquet in the shared folder of ``spark.checkpoint.dir``: the fit and the
+evaluation are plain filters on it, nothing is recomputed, and a lost executor
+only costs reading its files again.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from kandela.operators.features import numeric_columns, refit_features
 from kandela.operators.split import indexed, split_indexed
 from kandela.plans.model import evaluate, fit_linear, ml_frame, save_model
-from kandela.plans.silver import build_silver
-from kandela.schema import LABEL
-from kandela.session import checkpoint_dir
+from kandela.plans.silver import SILVER, build_silver
+from kandela.schema import FEATURE_COLUMNS, LABEL
+from kandela.session import scratch_path
+from kandela.sources.tables import load_bars
 
 
 @dataclass
@@ -33,12 +34,23 @@ class TrainResult:
     feature_columns: list
 
 
+def checked_features(df: DataFrame) -> list[str]:
+    """P-8: the model's feature columns in training order. The model is
+    positional, so a frame whose numeric columns are not exactly these and the
+    label is refused."""
+    found = set(numeric_columns(df)) - {LABEL}
+    if found != set(FEATURE_COLUMNS):
+        raise ValueError(f"feature columns differ: missing {sorted(set(FEATURE_COLUMNS) - found)}, "
+                         f"unexpected {sorted(found - set(FEATURE_COLUMNS))}")
+    return list(FEATURE_COLUMNS)
+
+
 def training_frame(silver_df: DataFrame, keys: Sequence[str] = (), refit: bool = False,
                    **kw) -> tuple[DataFrame, list]:
     """(frame with features + label, feature columns). ``refit=True`` is the
     DAG variant that recomputes features on silver (G5)."""
     df = refit_features(silver_df, keys, **kw) if refit else silver_df
-    cols = numeric_columns(df)
+    cols = checked_features(df)
     # the DAG's rule: no row with a NULL/NaN feature or label reaches the
     # assembler (silver keeps rows whose taker ratio is NULL on zero volume, G4)
     return df.na.drop(subset=cols + [LABEL]), cols
@@ -48,11 +60,13 @@ def run_training(silver_df: DataFrame, keys: Sequence[str] = (), ratio: float =
                  embargo: int = 0, refit: bool = False, model_path: str | None = None,
                  materialize: bool = True, **kw) -> TrainResult:
     df, cols = training_frame(silver_df, keys, refit=refit, **kw)
-    frame = indexed(ml_frame(df, cols, keep=["open_time", *keys]), keys=keys, ratio=ratio)
+    # one model for all series, so one cut through all of them by time
+    frame = indexed(df.select("open_time", *keys, *cols, LABEL), ratio=ratio, ties=keys)
     if materialize:
-        checkpoint_dir(frame.sparkSession)
-        frame = frame.checkpoint(eager=True)
-    train, test = split_indexed(frame, embargo, drop_cols=["open_time"])
+        path = scratch_path(frame.sparkSession, "training")
+        frame.write.parquet(path)
+        frame = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    train, test = (ml_frame(part, cols, keep=keys) for part in split_indexed(frame, embargo, drop_cols=["open_time"]))
     model = fit_linear(train)
     metrics, preds = evaluate(model, test)
     if model_path:
@@ -75,7 +89,7 @@ def main(argv=None) -> None:
     spark: SparkSession = get_session("kandela-train")
     keys = ["symbol"] if a.keyed else []
     if a.silver:
-        silver_df = spark.read.parquet(a.silver)
+        silver_df = load_bars(spark, a.silver, SILVER, keys)
     else:
         ev = spark.read.parquet(a.events)
         silver_df = build_silver(bars(ev, a.width, symbol_col="event_type" if a.keyed else None),

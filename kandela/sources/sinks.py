@@ -1,41 +1,103 @@
 """Sinks (K-1, K-2, K-5): bronze merge, Parquet round trip, write check.
 
 Bronze in the reference is one Parquet file replaced on every fetch, so history
-is only the last fetch. Here bronze is appended and merged on
-(symbol, open_time): overlapping fetches collapse to one candle per key, the
-latest fetch winning (a candle still open at an earlier fetch is replaced by
-its final values).
+is only the last fetch. Here a fetch is merged on (symbol, open_time) into the
+(symbol, dt) partitions that it touches: overlapping fetches collapse to one
+candle per key, the latest fetch winning.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kandela.schema import BRONZE, with_keys
+from kandela.session import scratch_path
 
 
 def merge_bronze(existing: DataFrame, incoming: DataFrame,
                  keys: Sequence[str] = ("symbol", "open_time"),
-                 order_col: str = "_fetch") -> DataFrame:
+                 order_col: str = "_fetch", keep_order: bool = False) -> DataFrame:
     """K-1: union two candle sets and keep one row per key, the row with the
-    greatest ``order_col`` (fetch sequence). One partial-aggregated group-by
-    (``max_by`` of a struct), so a key fetched many times is combined map-side."""
+    greatest ``order_col`` (fetch time or sequence; ties: the greatest values,
+    so the result does not depend on the order of rows or batches). One
+    partial-aggregated group-by (``max`` of a struct), so a key fetched many
+    times is combined map-side."""
     cols = [c for c in existing.columns if c not in keys and c != order_col]
     a = existing if order_col in existing.columns else existing.withColumn(order_col, F.lit(0))
     b = incoming if order_col in incoming.columns else incoming.withColumn(order_col, F.lit(1))
     u = a.unionByName(b)
-    agg = u.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r"))
-    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    agg = u.groupBy(*keys).agg(F.max(F.struct(order_col, *cols)).alias("_r"))
+    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols + [order_col] * keep_order])
 
 
 def write_bronze(df: DataFrame, path: str, keys: Sequence[str] = ("symbol",),
                  mode: str = "append") -> None:
-    """Append candles partitioned by key and day (partition pruning on read)."""
+    """Write candles partitioned by key and day (partition pruning on read)."""
     (df.withColumn("dt", F.to_date("open_time"))
        .write.mode(mode).partitionBy(*keys, "dt").parquet(path))
 
 
+#: Most distinct days or symbols of a fetch that go into the scan as literals.
+MAX_LITERALS = 1000
+
+
+def touched(table: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Rows of ``table`` in the (symbol, dt) partitions that ``incoming`` has
+    rows for. The days and symbols are literals of the scan's partition filter
+    (a range of days if there are very many), so no other partition is read."""
+    days, lo, hi, symbols = incoming.agg(
+        F.slice(F.collect_set("dt"), 1, MAX_LITERALS + 1), F.min("dt"), F.max("dt"),
+        F.slice(F.collect_set("symbol"), 1, MAX_LITERALS + 1)).first()
+    if lo is None:
+        return table.limit(0)
+    rows = table.filter(F.col("dt").isin(days) if len(days) <= MAX_LITERALS else F.col("dt").between(lo, hi))
+    if len(symbols) <= MAX_LITERALS:
+        rows = rows.filter(F.col("symbol").isin(symbols))
+    return rows.join(incoming.select("symbol", "dt").distinct(), ["symbol", "dt"], "left_semi")
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame | None:
+    """The bronze table with its fixed schema (string symbols, ``fetched_at``
+    and ``dt``); None where nothing has landed yet."""
+    schema = T.StructType([*with_keys(BRONZE).fields, T.StructField("fetched_at", T.TimestampNTZType()),
+                           T.StructField("dt", T.DateType())])
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def land_candles(incoming: DataFrame, path: str) -> None:
+    """K-1/R-1: merge fetched candles (``symbol``, bronze columns and
+    ``fetched_at``) into the bronze table at ``path``.
+
+    Only the (symbol, dt) partitions that the fetch has rows for are read and
+    replaced; in them the candle of the latest fetch wins. The merged rows are
+    staged in the shared folder first, so a partition is replaced by rows that
+    no longer depend on it. Landing the same fetch again changes nothing, and
+    neither does the order of fetches, so backfills and replays are safe."""
+    spark = incoming.sparkSession
+    incoming = incoming.withColumn("dt", F.to_date("open_time")).select(
+        *with_keys(BRONZE).names, "fetched_at", "dt")
+    stage = scratch_path(spark, "landing")
+    incoming.write.parquet(f"{stage}/in")
+    incoming = spark.read.schema(incoming.schema).parquet(f"{stage}/in")
+    there = read_bronze(spark, path)
+    old = incoming.limit(0) if there is None else touched(there, incoming).select(*incoming.columns)
+    merged = merge_bronze(old, incoming, order_col="fetched_at", keep_order=True)
+    merged.write.parquet(f"{stage}/out")
+    merged = spark.read.schema(merged.schema).parquet(f"{stage}/out")
+    (merged.repartition("symbol", "dt").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "dt").parquet(path))
+
+
 def roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """K-2: overwrite-write then read back with the written schema."""
     w = df.write.mode("overwrite")
@@ -49,10 +111,12 @@ def roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Dat
 
 def write_check(source: DataFrame, target: DataFrame) -> DataFrame:
     """K-5: one row: source rows, target rows, and rows of each side missing
-    from the other (``exceptAll``, so duplicates count)."""
-    s = source.agg(F.count(F.lit(1)).alias("source_rows"))
-    t = target.agg(F.count(F.lit(1)).alias("target_rows")).scalar()
-    missing = source.exceptAll(target).agg(F.count(F.lit(1)).alias("n")).scalar()
-    extra = target.exceptAll(source).agg(F.count(F.lit(1)).alias("n")).scalar()
-    return s.select("source_rows", t.alias("target_rows"),
-                    missing.alias("missing_rows"), extra.alias("extra_rows"))
+    from the other (duplicates count). Both sides go through one group-by of
+    whole rows, with +1 and -1 for the side, so one shuffle gives all four."""
+    side = lambda df, n, m: df.select(*source.columns, F.lit(n).alias("_s"), F.lit(m).alias("_t"))
+    g = (side(source, 1, 0).unionAll(side(target, 0, 1)).groupBy(*source.columns)
+         .agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t")))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return g.agg(total("_s").alias("source_rows"), total("_t").alias("target_rows"),
+                 total(F.greatest(F.col("_s") - F.col("_t"), F.lit(0))).alias("missing_rows"),
+                 total(F.greatest(F.col("_t") - F.col("_s"), F.lit(0))).alias("extra_rows"))

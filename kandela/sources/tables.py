@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from kandela.schema import BRONZE
 
@@ -17,46 +17,29 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_SCANS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str,
-          schema: StructType | None = None, refresh: bool = False) -> DataFrame:
-    """One driver table (``events``, ``customer``, ...).
-
-    The scan DataFrame (file listing + footer schema) is reused within a
-    session for read-only input tables; ``refresh=True`` lists the files again.
-    The data itself is never cached: every action reads the files.
-    """
-    path = table_path(sf_dir, name)
-    key = (id(spark), spark.sparkContext.applicationId, path, schema.json() if schema else None)
-    if not refresh and key in _SCANS:
-        return _SCANS[key]
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(path)
-    _SCANS[key] = df
-    return df
+          schema: StructType | None = None) -> DataFrame:
+    """One driver table (``events``, ``customer``, ...)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def load_bars(spark: SparkSession, path: str, schema: StructType | None = BRONZE,
               keys=()) -> DataFrame:
-    """Scan a candle table with a fixed schema (no footer inference).
-
-    Extra key or partition columns (``symbol``, ``dt``) are kept when present in
-    ``keys``. Partition pruning applies to filters on ``symbol``/``dt``.
+    """Scan a candle table with a fixed schema: key columns are strings whatever
+    they look like (a ticker ``007`` stays ``007``, also as a partition folder),
+    ``dt`` is a date. Partition pruning applies to filters on ``symbol``/``dt``.
+    The stored columns are looked up once, to refuse a table that lacks some.
     """
-    df = spark.read.parquet(path)
-    cols = list(keys) + [f.name for f in (schema.fields if schema else [])]
     if schema is None:
-        return df
-    missing = [c for c in cols if c not in df.columns]
+        return spark.read.parquet(path)
+    stored = spark.read.parquet(path).schema
+    fields = [StructField(k, DateType() if k == "dt" else StringType()) for k in keys] + list(schema.fields)
+    missing = [f.name for f in fields if f.name not in stored.names]
     if missing:
         raise ValueError(f"candle table at {path} lacks columns {missing}")
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    # cast only where the stored type differs (no-op casts leave aliases that
-    # keep Spark from reusing an exchange between two branches of one plan)
-    return df.select(*[df[c].cast(schema[c].dataType).alias(c)
-                       if c in schema.names and types[c] != schema[c].dataType else df[c]
-                       for c in cols])
+    # files of another numeric type are cast by name; partition folders are read with the given type
+    typed = StructType([f if f.name in keys else StructField(f.name, stored[f.name].dataType) for f in fields])
+    df = spark.read.schema(typed).parquet(path)
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) if typed[f.name].dataType != f.dataType
+                       else df[f.name] for f in fields])

@@ -1,16 +1,17 @@
-"""Streaming landing of kline payload files into bronze (R-1, R-2).
+"""Landing of kline payload files into bronze, as a stream or a batch (R-1, R-2).
 
 ``readStream.text`` over a folder that a fetcher fills with payload files (one
 JSON document per file, under ``symbol=<SYMBOL>/``), parsed JVM-side like the
 batch path, then:
 
 * only candles that were closed when their file was written are kept (the
-  newest candle of a fetch may still be open; a first-wins de-duplication
-  would otherwise keep its partial values);
-* ``dropDuplicatesWithinWatermark(symbol, open_time)`` removes candles that
-  overlapping fetches deliver again; state is bounded by the watermark;
-* appended to Parquet partitioned by symbol and day, exactly once through the
-  checkpoint.
+  newest candle of a fetch may still be open; a later fetch has its final
+  values);
+* every micro-batch is merged into the (symbol, dt) partitions that it touches
+  (``sources.sinks.land_candles``), the latest fetch winning. There is no
+  watermark and nothing is late: candles of any age land, in whatever batches
+  the files come, and a replayed batch changes nothing. So the table does not
+  depend on ``max_files_per_trigger``.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kandela.session import pin_utc
-from kandela.sources.payload import parse_klines, with_file_info
+from kandela.sources.payload import parse_klines, read_payload_files, with_file_info
+from kandela.sources.sinks import land_candles
 
 
 def payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
@@ -38,31 +40,23 @@ def closed_klines(payloads: DataFrame) -> DataFrame:
     return k.filter(F.col("close_time") < F.col("fetched_at")).drop("ignore")
 
 
-def deduplicated(klines: DataFrame, delay: str = "1 day") -> DataFrame:
-    """R-2: first delivery of each (symbol, open_time) within the watermark.
-    The watermark column must be a (zoned) timestamp, so ``open_time`` is
-    mirrored as ``_event_time``."""
-    return (klines.withColumn("_event_time", F.col("open_time").cast("timestamp"))
-            .withWatermark("_event_time", delay)
-            .dropDuplicatesWithinWatermark(["symbol", "open_time"])
-            .drop("_event_time"))
-
-
 def land_bronze(spark: SparkSession, payload_dir: str, bronze_dir: str, checkpoint: str,
-                delay: str = "1 day", available_now: bool = True,
-                processing_time: str = "1 minute",
+                available_now: bool = True, processing_time: str = "1 minute",
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """R-1: start the landing query (``availableNow`` drains the backlog and
+    """R-1/R-2: start the landing query (``availableNow`` drains the backlog and
     stops; otherwise a processing-time trigger, per-minute by default)."""
     pin_utc(spark)  # file times (zoned) are compared with UTC candle times
-    bars = deduplicated(closed_klines(payload_stream(spark, payload_dir, max_files_per_trigger)),
-                        delay)
-    out = bars.drop("fetched_at").withColumn("dt", F.to_date("open_time"))
-    w = (out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .partitionBy("symbol", "dt"))
+    bars = closed_klines(payload_stream(spark, payload_dir, max_files_per_trigger))
+    w = (bars.writeStream.foreachBatch(lambda batch, _: land_candles(batch, bronze_dir))
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start(bronze_dir)
+    return w.start()
+
+
+def ingest_bronze(spark: SparkSession, payload_dir: str, bronze_dir: str) -> None:
+    """The same as a batch: all payload files of a folder into bronze."""
+    pin_utc(spark)
+    land_candles(closed_klines(read_payload_files(spark, payload_dir)), bronze_dir)
 
 
 def write_payload_files(payloads: DataFrame, out_dir: str) -> None:

@@ -37,16 +37,13 @@ STATE_SCHEMA = "last_us long, n long, late long, " + ", ".join(f"c{i} double" fo
 
 def _trailing_mean(c: np.ndarray, k: int, start: int) -> np.ndarray:
     """Mean of the last ``k`` values (fewer at the series start) for positions
-    ``start..`` of ``c``; vectorized, each window summed in order."""
-    n = len(c)
-    out = np.empty(n - start)
-    full_from = max(start, k - 1)
-    for j, i in enumerate(range(start, min(full_from, n))):   # partial frames (< k rows)
-        out[j] = c[: i + 1].mean()
-    if n > full_from:
-        win = np.lib.stride_tricks.sliding_window_view(c, k)[full_from - k + 1:]
-        out[full_from - start:] = win.mean(axis=1)
-    return out
+    ``start..`` of ``c``, without the missing ones (NaN where all are missing),
+    as the batch ``avg`` skips NULLs; vectorized, each window summed in order."""
+    padded = np.concatenate([np.full(k - 1, np.nan), c])
+    win = np.lib.stride_tricks.sliding_window_view(padded, k)[start:]
+    seen = ~np.isnan(win)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(seen, win, 0.0).sum(axis=1) / np.where(seen.any(axis=1), seen.sum(axis=1), np.nan)
 
 
 def _features(closes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

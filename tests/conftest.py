@@ -38,7 +38,7 @@ def bar_rows(closes, start="2024-01-01 00:00:00", step_minutes=1, symbol=None, v
     for i, c in enumerate(closes):
         r = dict(open_time=t, open=c, high=c, low=c, close=c, volume=volume,
                  close_time=t + dt.timedelta(minutes=step_minutes) - dt.timedelta(milliseconds=1),
-                 quote_asset_volume=volume * (c if c == c else 0.0), number_of_trades=1,
+                 quote_asset_volume=volume * (c if c is not None and c == c else 0.0), number_of_trades=1,
                  taker_buy_base_volume=volume / 2, taker_buy_quote_volume=0.0)
         if symbol is not None:
             r = {"symbol": symbol, **r}

@@ -17,6 +17,8 @@ def test_jobs_end_to_end(spark, tmp_dir):
     cli.main(["land", "--payloads", p("payloads"), "--bronze", p("bronze"),
               "--checkpoint", p("ck")], spark)
     assert spark.read.parquet(p("bronze")).count() == b.count()
+    cli.main(["ingest", "--payloads", p("payloads"), "--bronze", p("bronze")], spark)  # the same fetch again
+    assert spark.read.parquet(p("bronze")).count() == b.count()
     cli.main(["silver", "--bronze", p("bronze"), "--silver", p("silver"), "--block-rows", "64"], spark)
     n_silver = spark.read.parquet(p("silver")).count()
     assert n_silver == b.count() - 11 * b.select("symbol").distinct().count()
@@ -29,9 +31,9 @@ def test_jobs_end_to_end(spark, tmp_dir):
     log = read_predictions(spark, p("log"))
     # each request candle is already in bronze, so it is not newer than history: stale
     assert log.count() == 0
-    for _ in range(2):  # the same batch twice: the re-run replaces, no duplicates
+    for _ in range(2):  # the same batch twice: the re-run adds nothing
         cli.main(["score", "--bronze", p("bronze"), "--requests", p("requests"), "--model",
-                  p("model"), "--log", p("log"), "--parity", "--batch-id", "7"], spark)
+                  p("model"), "--log", p("log"), "--parity"], spark)
     assert read_predictions(spark, p("log")).count() == req.count()
     cli.main(["settle", "--log", p("log"), "--bronze", p("bronze"), "--out", p("settled")], spark)
     cli.main(["monitor", "--settled", p("settled"), "--out", p("monitor")], spark)

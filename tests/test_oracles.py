@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from kandela.plans.queries import REGISTRY
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -42,10 +43,12 @@ def con():
 def test_every_query_has_callable_and_most_have_oracles():
     qs, os_ = E.queries(), E.oracle_sql()
     assert set(os_) <= set(qs)
-    assert len(os_) >= 45
+    # all but those whose result is a 13-feature model's
+    assert set(REGISTRY) - set(os_) == {"train_ols", "score_test", "evaluate_model", "train_job", "model_roundtrip",
+                                        "score_requests", "stream_scoring"}
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(set(E.oracle_sql()) & set(REGISTRY)))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
@@ -57,7 +60,7 @@ def test_query_matches_oracle(spark, con, key):
     assert _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("key", sorted(set(REGISTRY) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, key):
     df = E.queries()[key](spark, SF_SMALL)
     assert df.count() >= 1

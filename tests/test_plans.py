@@ -4,6 +4,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from kandela.operators import quality as Q
 from kandela.plans import fixtures as fx
+from kandela.plans.queries import REGISTRY
 
 
 def _plan(df):
@@ -21,8 +22,8 @@ def test_lookup_pushes_filter_to_scan(spark):
 
 
 def test_scans_read_only_needed_columns(spark):
-    p = _plan(E.queries()["scan_bars"](spark, SF_SMALL))
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in p
+    p = _plan(E.queries()["latest_k"](spark, SF_SMALL))
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in p
     p = _plan(E.queries()["lookup_first"](spark, SF_SMALL))
     assert "c_acctbal" not in p.split("ReadSchema:")[1].split("\n")[0]
 
@@ -33,10 +34,9 @@ def test_outlier_fences_are_a_scalar_subquery_not_a_join(spark):
     assert "Subquery" in p and "Join" not in p
 
 
-def test_scoring_windows_are_per_request(spark):
+def test_scoring_keeps_one_row_per_request(spark):
     p = _plan(E.queries()["request_features"](spark, SF_SMALL))
-    assert "windowspecdefinition(request_id" in p
-    assert "SinglePartition" not in p.split("Subquery")[0]
+    assert "WindowGroupLimit" in p and "windowspecdefinition(request_id" not in p
 
 
 def test_keyed_feature_build_has_no_single_partition(spark):
@@ -45,7 +45,8 @@ def test_keyed_feature_build_has_no_single_partition(spark):
 
 
 EAGER = {"train_job", "model_roundtrip", "prediction_log", "score_requests", "ols_one_feature",
-         "train_ols", "score_test", "evaluate_model", "silver_roundtrip", "sink_recount"}
+         "train_ols", "score_test", "evaluate_model", "silver_roundtrip", "sink_recount",
+         "score_one_feature", "evaluate_one_feature", "ols_optimality", "score_requests_one_feature"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                 "MapInPandas", "FlatMapGroupsInPandasWithState")
 
@@ -53,7 +54,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
 def test_batch_queries_stay_in_the_jvm(spark):
     """No Python UDF / pandas node in any batch query plan (the only Python
     code is the streaming state function)."""
-    for key, q in sorted(E.queries().items()):
+    for key, q in sorted(REGISTRY.items()):
         if key in EAGER or key.startswith("stream_"):
             continue
         p = _plan(q(spark, SF_SMALL))

@@ -15,7 +15,6 @@ def test_e6_duplicates_counted_not_removed(spark):
     p = Q.distinct_profile(b).first()
     assert (p.row_count, p.distinct_rows, p.duplicate_count) == (4, 3, 1)
     assert b.count() == 4
-    assert Q.deduplicate(b).count() == 3
 
 
 def test_e10_iqr(spark):
@@ -46,7 +45,7 @@ def test_null_profile_and_describe(spark):
     assert (p.x, p.s) == (1, 1)
     d = {r.column_name: r for r in Q.describe_long(df).collect()}
     assert d["x"]["count"] == 2 and d["x"]["mean"] == 2.0 and d["x"]["min"] == 1.0
-    assert "s" not in d
+    assert (d["s"]["count"], d["s"].min_text, d["s"].max_text, d["s"]["mean"]) == (2, "a", "b", None) and d["x"].min_text is None
     q = Q.quality_profile(df).first()
     assert (q.row_count, q.null_cells, q.rows_with_null) == (3, 2, 2)
 

@@ -8,8 +8,11 @@ from conftest import SF_SMALL
 from kandela.operators.features import add_features, silver
 from kandela.plans import fixtures as fx
 from kandela.plans import model as M
+from kandela.plans.scoring import read_predictions
 from kandela.sources.payload import to_payloads
-from kandela.streaming.ingest import land_bronze, write_payload_files
+from kandela.sources.sinks import land_candles, read_bronze, touched
+from kandela.sources.tables import load_bars
+from kandela.streaming.ingest import ingest_bronze, land_bronze, write_payload_files
 from kandela.streaming.online import VALUE_COLS, online_features
 from kandela.streaming.scoring import start_scoring
 
@@ -26,12 +29,51 @@ def test_landing_dedups_overlapping_fetches(spark, tmp_dir):
     ck = os.path.join(tmp_dir, "ck")
     q = land_bronze(spark, src, out, ck)
     q.awaitTermination(300)
-    landed = spark.read.parquet(out).drop("dt").select(*b.columns)
+    landed = load_bars(spark, out, keys=["symbol"])
     assert landed.count() == b.count()
     assert landed.exceptAll(b).count() == 0
     # restart: nothing new, nothing duplicated
     land_bronze(spark, src, out, ck).awaitTermination(300)
     assert spark.read.parquet(out).count() == b.count()
+    # a batch, and any file cap, give the same table
+    ingest_bronze(spark, src, os.path.join(tmp_dir, "batch"))
+    capped = os.path.join(tmp_dir, "capped")
+    land_bronze(spark, src, capped, os.path.join(tmp_dir, "ck2"), max_files_per_trigger=15).awaitTermination(600)
+    for other in (os.path.join(tmp_dir, "batch"), capped):
+        rows = load_bars(spark, other, keys=["symbol"])
+        assert rows.count() == b.count() and rows.exceptAll(b).count() == 0
+
+
+def test_latest_fetch_wins_in_any_order_and_old_candles_land(spark, tmp_dir):
+    from conftest import bar_rows, bars_df
+    new = bars_df(spark, bar_rows([1.0, 2.0], "2024-05-01 00:00:00", symbol="007"), keyed=True)
+    fetched = lambda df, day: df.withColumn("fetched_at", F.lit(f"2024-06-{day} 00:00:00").cast("timestamp_ntz"))
+    old = bars_df(spark, bar_rows([7.0], "2023-01-01 00:00:00", symbol="007"), keyed=True)
+    stale = new.withColumn("close", F.col("close") + 5)
+    batches = [fetched(new, "09"), fetched(stale, "01"), fetched(old, "02"), fetched(new, "09")]
+    for order in ([0, 1, 2, 3], [2, 1, 0, 1]):
+        out = os.path.join(tmp_dir, f"bronze{order[0]}")
+        for i in order:
+            land_candles(batches[i], out)
+        rows = load_bars(spark, out, keys=["symbol", "dt"]).orderBy("open_time").collect()
+        assert [(r.symbol, r.close) for r in rows] == [("007", 7.0), ("007", 1.0), ("007", 2.0)]
+    plan = touched(read_bronze(spark, out), batches[2].withColumn("dt", F.to_date("open_time")))._jdf.queryExecution().executedPlan().toString()
+    assert "dt" in plan[plan.index("PartitionFilters"):].split("]")[0] and "2023-01-01" in plan.replace("19358", "2023-01-01")
+
+
+def test_numeric_tickers_keep_their_names(spark, tmp_dir):
+    from conftest import bar_rows, bars_df
+    from kandela.plans.silver import SILVER, build_silver, write_silver
+    from kandela.plans.training import run_training
+    from kandela.schema import FEATURE_COLUMNS
+    rows = bar_rows([float(i % 9 + 1) for i in range(60)], symbol="007") + bar_rows([float(i % 7 + 2) for i in range(60)], symbol="600519")
+    b = bars_df(spark, rows, keyed=True).withColumn("fetched_at", F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
+    bronze, out = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "silver")
+    land_candles(b, bronze)
+    write_silver(build_silver(load_bars(spark, bronze, keys=["symbol"]), ["symbol"]), out, ["symbol"])
+    s = load_bars(spark, out, SILVER, ["symbol"])
+    assert {r.symbol for r in s.select("symbol").distinct().collect()} == {"007", "600519"}
+    assert run_training(s, ["symbol"]).feature_columns == FEATURE_COLUMNS
 
 
 def _day_files(spark, b, path):
@@ -59,6 +101,20 @@ def test_online_features_equal_batch(spark, tmp_dir):
     assert got.agg(F.max("late_rows")).first()[0] == 0
 
 
+def test_online_means_skip_missing_closes(spark, tmp_dir):
+    from conftest import bar_rows, bars_df
+    rows = bar_rows([1.0, None, 3.0, 4.0], symbol="A")
+    src = os.path.join(tmp_dir, "bars")
+    b = bars_df(spark, rows, keyed=True)
+    b.coalesce(1).write.parquet(src)
+    q = (online_features(spark.readStream.schema(b.schema).parquet(src)).writeStream.format("memory").queryName("null_test")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = [(r.MA_5, r.MA_10, r.return_1m) for r in spark.table("null_test").orderBy("open_time").collect()]
+    want = [(r.MA_5, r.MA_10, r.return_1m) for r in add_features(b, keys=["symbol"], with_target=False).orderBy("open_time").collect()]
+    assert got == want
+
+
 def test_online_rejects_late_rows(spark, tmp_dir):
     from conftest import bar_rows, bars_df
     rows = bar_rows([1.0, 2.0, 3.0, 4.0], symbol="A")
@@ -89,9 +145,9 @@ def test_stream_scoring_idempotent(spark, tmp_dir):
                             .parquet(src))
     log, ck = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "ck")
     start_scoring(feats, model, log, ck).awaitTermination(300)
-    n1 = spark.read.parquet(log).count()
+    n1 = read_predictions(spark, log).count()
     start_scoring(feats, model, log, ck).awaitTermination(300)  # restart from checkpoint
-    logged = spark.read.parquet(log)
+    logged = read_predictions(spark, log)
     assert logged.count() == n1
     assert logged.select("symbol", "timestamp").distinct().count() == n1
     assert n1 == b.count() - b.select("symbol").distinct().count()  # first row per symbol lacks a return
