@@ -46,7 +46,7 @@ SEQUENCE, END_ID, UNIT, ROUNDS, STEP = 4096, 1, 16, 1500, 0.25
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a task keeps at hand.
 WORDS_KEPT = 600_000
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 _ENCODERS: dict[str, Encoder] = {}
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import narrow, nullable_key, stage, uniform
 
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 
 def _ranks(rows: DataFrame, group: list[str], by: str, ranges: int, order: list[str]) -> DataFrame:
