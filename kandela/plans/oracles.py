@@ -127,7 +127,7 @@ def _split(cmp: str) -> str:
 SELECT open_time, close, close_t_plus_10, rn FROM (
   SELECT open_time, close, close_t_plus_10,
          row_number() OVER (ORDER BY open_time) AS rn, count(*) OVER () AS n
-  FROM ({silver_sql('hour')}) s) i
+  FROM ({silver_sql('minute')}) s) i
 WHERE rn {cmp} floor(n * 0.8)"""
 
 
@@ -188,7 +188,7 @@ FROM ({request_features_sql()}) r, ({fit}) f"""
 
 
 def _more(o: dict) -> None:
-    silver_h = silver_sql("hour")
+    silver_h, silver_m = silver_sql("hour"), silver_sql("minute")
     feat_h = features_sql(bars_sql("hour"), False)
     o["epoch_seconds"] = f"""
 SELECT open_time, floor(epoch(open_time))::BIGINT AS open_epoch,
@@ -201,11 +201,11 @@ SELECT * REPLACE (
          avg(close) OVER (ORDER BY open_time ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS MA_5,
          avg(close) OVER (ORDER BY open_time ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS MA_10,
          taker_buy_base_volume / nullif(volume, 0) AS taker_ratio)
-FROM ({silver_h}) s WINDOW w AS (ORDER BY open_time)"""
+FROM ({silver_m}) s WINDOW w AS (ORDER BY open_time)"""
     nn = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in NUMERIC_SILVER)
     o["features_refit"] = rounded(f"SELECT * FROM ({refit}) r WHERE {nn}", DERIVED)
     o["numeric_profile"] = rounded(
-        f"SELECT {', '.join(NUMERIC_SILVER)} FROM ({silver_h}) s", DERIVED)
+        f"SELECT {', '.join(NUMERIC_SILVER)} FROM ({silver_m}) s", DERIVED)
     kinds = {"open_time": "timestamp_ntz", "close_time": "timestamp_ntz", "number_of_trades": "bigint"}
     o["schema_table"] = f"WITH s AS ({silver_h}) " + " UNION ALL ".join(
         f"SELECT {i + 1} AS pos, '{c}' AS name, '{kinds.get(c, 'double')}' AS type, count({c}) AS values FROM s"
@@ -239,7 +239,7 @@ FROM (SELECT quantile_disc(close_t_plus_10, 0.25) AS q1,
     o["dropna_subset"] = rounded(f"SELECT * FROM ({feat_m}) f WHERE {not_null}", DERIVED)
     o["null_profile"] = "SELECT " + ", ".join(
         f"count_if({c} IS NULL)::BIGINT AS {c}" for c in FEATURE_TABLE) + f" FROM ({feat_h}) f"
-    o["row_count"] = f"SELECT count(*) AS row_count FROM ({silver_h}) s"
+    o["row_count"] = f"SELECT count(*) AS row_count FROM ({silver_m}) s"
     refetch = f"SELECT * FROM ({bars_sql('minute', True)}) a UNION ALL SELECT * FROM ({bars_sql('minute', True)}) b"
     o["distinct_rows"] = f"""
 WITH r AS ({refetch})
@@ -288,7 +288,7 @@ SELECT (SELECT count(*) FROM f) AS row_count,
 SELECT count(*) AS n, round(sqrt(avg((close - close_t_plus_10) ^ 2)), {R}) AS rmse,
        round(avg(abs(close - close_t_plus_10)), {R}) AS mae,
        round(1 - avg((close - close_t_plus_10) ^ 2) / var_pop(close_t_plus_10), {R}) AS r2
-FROM ({silver_h}) s"""
+FROM ({silver_m}) s"""
     o["latest_k"] = f"SELECT * FROM ({bars_sql('minute')}) b ORDER BY open_time DESC LIMIT 10"
     top = (f"SELECT * FROM ({bars_sql('minute', True)}) b "
            "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= {k}")
@@ -318,7 +318,7 @@ FROM ({preds}) p""", ["current_price", "predicted_price", "predicted_change"])
                                f"open_time + INTERVAL 10 MINUTE AS prediction_for "
                                f"FROM ({bars_sql('minute', True)}) b")
     o["assemble_features"] = rounded(
-        f"SELECT open_time, {', '.join(FEATURES13)}, close_t_plus_10 FROM ({silver_h}) s", DERIVED
+        f"SELECT open_time, {', '.join(FEATURES13)}, close_t_plus_10 FROM ({silver_m}) s", DERIVED
     ).replace("SELECT * REPLACE (", "SELECT * REPLACE (number_of_trades::DOUBLE AS number_of_trades, ", 1)
     ok13 = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATURES13)
     o["assemble_skip"] = rounded(

@@ -139,6 +139,11 @@ def _silver_h(spark, sf_dir):
     return build_silver(fx.bronze(spark, sf_dir, fx.HOUR), **fx.edges(fx.HOUR))
 
 
+def _silver_m(spark, sf_dir):
+    """Silver of minute candles: grows with the ticks, where hours do not."""
+    return build_silver(fx.bronze(spark, sf_dir, fx.MINUTE), **fx.edges(fx.MINUTE))
+
+
 @query("epoch_seconds")
 def q_epoch_seconds(spark, sf_dir):
     """P-5: open/close time as epoch seconds (minute bars)."""
@@ -166,13 +171,13 @@ def q_features_refit(spark, sf_dir):
     """M-1 (training-job form, G5): return, MAs and ratio recomputed on silver,
     then rows with a NULL/NaN numeric feature or label dropped."""
     from kandela.operators.features import refit_features
-    return round_doubles(refit_features(_silver_h(spark, sf_dir)))
+    return round_doubles(refit_features(_silver_m(spark, sf_dir), **fx.edges(fx.MINUTE)))
 
 
 @query("numeric_profile")
 def q_numeric_profile(spark, sf_dir):
     """P-8/M-2: silver restricted to its numeric feature columns + label."""
-    s = _silver_h(spark, sf_dir)
+    s = _silver_m(spark, sf_dir)
     return round_doubles(s.select(*numeric_columns(s), LABEL))
 
 
@@ -232,7 +237,7 @@ def q_preview_ordered(spark, sf_dir):
 @query("split_train")
 def q_split_train(spark, sf_dir):
     """F-1/M-4: earliest floor(0.8 n) silver rows."""
-    s = _silver_h(spark, sf_dir).select("open_time", "close", LABEL)
+    s = _silver_m(spark, sf_dir).select("open_time", "close", LABEL)
     tr, _ = chronological_split(s, 0.8, keep_index=True)
     return tr
 
@@ -240,7 +245,7 @@ def q_split_train(spark, sf_dir):
 @query("split_test")
 def q_split_test(spark, sf_dir):
     """F-1/M-4: the remaining silver rows."""
-    s = _silver_h(spark, sf_dir).select("open_time", "close", LABEL)
+    s = _silver_m(spark, sf_dir).select("open_time", "close", LABEL)
     _, te = chronological_split(s, 0.8, keep_index=True)
     return te
 
@@ -310,7 +315,7 @@ def q_null_profile(spark, sf_dir):
 @query("row_count")
 def q_row_count(spark, sf_dir):
     """A-1: silver row count."""
-    return Q.row_count(_silver_h(spark, sf_dir))
+    return Q.row_count(_silver_m(spark, sf_dir))
 
 
 @query("distinct_rows")
@@ -342,7 +347,7 @@ def q_quality_profile(spark, sf_dir):
 @query("regression_metrics")
 def q_regression_metrics(spark, sf_dir):
     """A-7..A-9: RMSE, MAE, R^2 of the naive predictor (close) on silver."""
-    s = _silver_h(spark, sf_dir).withColumn("prediction", F.col("close"))
+    s = _silver_m(spark, sf_dir).withColumn("prediction", F.col("close"))
     return round_doubles(M.regression_metrics(s))
 
 
@@ -421,7 +426,7 @@ def q_prediction_horizon(spark, sf_dir):
 @query("assemble_features")
 def q_assemble_features(spark, sf_dir):
     """M-3: the 13-feature vector, flattened back to columns."""
-    frame = M.ml_frame(_silver_h(spark, sf_dir))
+    frame = M.ml_frame(_silver_m(spark, sf_dir))
     return round_doubles(M.flatten_features(frame))
 
 
@@ -433,15 +438,15 @@ def q_assemble_skip(spark, sf_dir):
                                             .select("open_time", "features")))
 
 
-def _split_h(spark, sf_dir):
-    frame = M.ml_frame(_silver_h(spark, sf_dir))
+def _split_m(spark, sf_dir):
+    frame = M.ml_frame(_silver_m(spark, sf_dir))
     return chronological_split(frame, 0.8)
 
 
 @query("ols_one_feature")
 def q_ols_one_feature(spark, sf_dir):
     """M-5: LinearRegression of the target on close over the training split."""
-    s = _silver_h(spark, sf_dir)
+    s = _silver_m(spark, sf_dir)
     tr, _ = chronological_split(M.assemble(s, ["close"]).select("open_time", "features", LABEL),
                                 0.8)
     m = M.fit_linear(tr)
@@ -451,7 +456,7 @@ def q_ols_one_feature(spark, sf_dir):
 
 def _one_feature(spark, sf_dir):
     """(model of the target on close, test rows) of the hourly training split."""
-    frame = M.assemble(_silver_h(spark, sf_dir), ["close"]).select("open_time", "features", LABEL)
+    frame = M.assemble(_silver_m(spark, sf_dir), ["close"]).select("open_time", "features", LABEL)
     tr, te = chronological_split(frame, 0.8)
     return M.fit_linear(tr), te
 
@@ -478,7 +483,7 @@ def q_ols_optimality(spark, sf_dir):
     residuals are uncorrelated with every feature (0 at 4 decimals)."""
     from pyspark.ml.functions import vector_to_array
     from kandela.schema import FEATURE_COLUMNS
-    tr, _ = _split_h(spark, sf_dir)
+    tr, _ = _split_m(spark, sf_dir)
     r = M.score(M.fit_linear(tr), tr).select((F.col(LABEL) - F.col("prediction")).alias("r"), vector_to_array("features").alias("x"))
     wide = r.agg(*[F.abs(F.corr("r", F.col("x")[i])).alias(c) for i, c in enumerate(FEATURE_COLUMNS)])
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), (F.round(F.col(c), 4) == 0).alias("uncorrelated")) for c in FEATURE_COLUMNS])
@@ -488,21 +493,21 @@ def q_ols_optimality(spark, sf_dir):
 @query("train_ols")
 def q_train_ols(spark, sf_dir):
     """M-5: the 13-feature model's coefficients."""
-    tr, _ = _split_h(spark, sf_dir)
+    tr, _ = _split_m(spark, sf_dir)
     return M.coefficients_frame(spark, M.fit_linear(tr))
 
 
 @query("score_test")
 def q_score_test(spark, sf_dir):
     """M-6: test rows with predictions."""
-    tr, te = _split_h(spark, sf_dir)
+    tr, te = _split_m(spark, sf_dir)
     return M.score(M.fit_linear(tr), te).select("open_time", LABEL, "prediction")
 
 
 @query("evaluate_model")
 def q_evaluate_model(spark, sf_dir):
     """M-7: RMSE/MAE/R^2 on the test split."""
-    tr, te = _split_h(spark, sf_dir)
+    tr, te = _split_m(spark, sf_dir)
     metrics, _ = M.evaluate(M.fit_linear(tr), te)
     return metrics
 
@@ -520,7 +525,7 @@ def q_train_job(spark, sf_dir):
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """S-5/K-6: save, load, and score with the loaded model."""
-    tr, te = _split_h(spark, sf_dir)
+    tr, te = _split_m(spark, sf_dir)
     m = M.fit_linear(tr)
     path = scratch_path(spark, "model")
     M.save_model(m, path)
