@@ -21,7 +21,6 @@ weight is 0 and every score 0.5. Repeated rows each get a row; an empty table gi
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import narrow, set_aside, stage
-from .words import U, _mix, chunks, hash_spans, lowered, texts_of, word_spans
+from .words import U, _mix, chunks, hash_spans, lowered, texts_of
 
 BITS, MAX_TRAIN, PARTS, EPOCHS = 18, 8192, 4, 3
 #: Learning rate and its damping, L1 and L2 penalties.

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import covertree, hamming, minhash, mixing, packing, quality, secrets, sharding, spans, url_filter
 from .common import table
