@@ -2,6 +2,27 @@
 
 from __future__ import annotations
 
+OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+links AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, k.y FROM reach r JOIN links k ON r.y = k.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c AS component_id, d.doc_id = c AS kept
+FROM documents d JOIN comp ON comp.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
 OP9 = r"""
 WITH parts AS (
   SELECT page_id, url,
@@ -57,6 +78,7 @@ FROM v JOIN comp ON comp.x = vec_id LEFT JOIN n ON n.x = vec_id
 
 ORACLES: dict[str, str] = {
     "op2_multi_index_hamming": OP2,
+    "op3_tensored_minhash": OP3,
     "op9_bloom_cascade": OP9,
     "op10_cover_tree": OP10,
 }
