@@ -88,3 +88,23 @@ def test_odd_rows(odd, empty):
     assert {i: (r[1], r["n_removed"]) for i, r in by.items() if i is not None} == want
     assert by[3][1] is None and by[1]["n_removed"] == 0 and by[6][1] == by[7][1] == "two words"
     assert S.remove_repeats(empty).collect() == []
+
+
+def test_passages_of_51_words_are_caught_at_any_offset(spark):
+    """Passages of one, two and three sentences that begin and end within sentences of other texts."""
+    r = random.Random(9)
+    docs, planted = {}, {}
+    for k in range(60):
+        passage = [f"p{k}x{r.randrange(5000)}" for _ in range(51)]
+        for at in [[], [25], [16, 33]][k % 3]:
+            passage[at] += "."
+        for copy in (0, 1):
+            i = 2 * k + copy
+            docs[i] = " ".join([*(f"a{i}x{r.randrange(5000)}" for _ in range(r.randrange(40, 90))), *passage, *(f"b{i}x{r.randrange(5000)}" for _ in range(r.randrange(40, 90)))])
+            planted[i] = passage
+    got = {r.doc_id: r for r in S.remove_repeats(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    for i, t in docs.items():
+        left = got[i].text.split()
+        assert [w for w in left if w[0] != "p"] == [w for w in t.split() if w[0] != "p"]
+        assert sum(w in left for w in planted[i]) <= (51 if i % 2 == 0 else 25), i
+    assert all(got[i].text == docs[i] for i in docs if i % 2 == 0)
