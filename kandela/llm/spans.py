@@ -20,9 +20,10 @@ spans stays byte for byte.
    documents share is no hot group), and the others are joined with them.
 4. Documents get the list of their spans to remove, at most one for each of their sentences.
 
-Null and empty texts have no spans and stay. Rows of the same doc_id are the same document: they get
-the same removals and don't remove each other's text. Rows without a doc_id count as one such
-document after all others. Texts shorter than a span stay. An empty table gives no rows.
+Null and empty texts have no spans and stay. Rows of the same doc_id and text are the same document: they
+get the same removals and don't remove each other's text. Rows of one doc_id with different texts are
+different documents, in the order of a hash of the text. Every row without a doc_id is a document of its
+own after all others; such rows are written with a running number first. Texts shorter than a span stay. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import narrow, set_aside, stage
+from .common import set_aside, stage
 from .words import U, _mix, chunks, hash_spans, lowered, texts_of, word_spans
 
 SENTENCES, MIN_WORDS, CUT = 3, 16, 4
@@ -111,6 +112,10 @@ def _filter_words(bits: int):
     return run
 
 
+#: What names a document: its id, a hash of its text, and the running number of a row without an id.
+NAME = ["doc_id", "text_key", "number"]
+
+
 def _occurrences(model, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,8 +129,9 @@ def _occurrences(model, bits: int):
                         seen &= (model.value[i >> 6] >> (i & 63).astype(U)) & U(1) == 1
                     first, many, h = first[seen], many[seen], h[seen]
                 row = np.searchsorted(ahead, first, side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("doc_id").take(pa.array(a + row)), pa.array((first - ahead[row]).astype(np.int32)), pa.array(many.astype(np.int32))],
-                                                 names=["h", "doc_id", "pos", "many"])
+                at_row = pa.array(a + row)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(batch.column(c).take(at_row) for c in NAME), pa.array((first - ahead[row]).astype(np.int32)), pa.array(many.astype(np.int32))],
+                                                 names=["h", *NAME, "pos", "many"])
     return run
 
 
@@ -152,9 +158,17 @@ def _rewritten(names: list[str]):
     return run
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, pos, many``: spans (first sentence, number of sentences) to be removed."""
-    texts = narrow(docs, "doc_id", "text").select("doc_id", F.col("text").cast("string").alias("text"))
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``text_key`` and ``number``; the rows without a doc_id are read from the shared folder,
+    so that their numbers stay the same in all passes."""
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
+    none = stage(docs.where("doc_id is null").withColumn("number", F.monotonically_increasing_id()), "no-id")
+    return docs.where("doc_id is not null").withColumn("number", F.lit(0).cast("long")).unionAll(none)
+
+
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """NAME, ``pos, many``: spans (first sentence, number of sentences) to be removed."""
+    texts = texts.select(*NAME, "text")
     repeated = texts.select("text").mapInArrow(_counted, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h")
     repeated = stage(repeated, "repeated")
     n = repeated.count()
@@ -165,13 +179,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         words = repeated.mapInArrow(_filter_words(bits), "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("v")).toArrow()  # at most MAX_BITS / 64 rows
         table = np.zeros(bits >> 6, U)
         table[words["word"].to_numpy()] = words["v"].to_numpy().view(U)
-        model = docs.sparkSession.sparkContext.broadcast(table)
+        model = texts.sparkSession.sparkContext.broadcast(table)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = stage(texts.mapInArrow(_occurrences(model, bits), f"h long, doc_id {kind}, pos int, many int"), "spans")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pos")
+    found = stage(texts.mapInArrow(_occurrences(model, bits), f"h long, doc_id {kind}, text_key long, number long, pos int, many int"), "spans")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), *NAME, "pos")
     # written, so that the join below has plain rows on both sides and Spark can split a hot hash
     firsts = stage(found.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
-    return found.join(firsts, "h").where(place != F.col("first")).select("doc_id", "pos", "many")
+    return found.join(firsts, "h").where(place != F.col("first")).select(*NAME, "pos", "many")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -179,8 +193,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     plain, back = set_aside(docs, "doc_id", "text")
     plain = plain.withColumn("text", F.col("text").cast("string"))
     names = plain.columns
-    gone = repeated_spans(plain).groupBy("doc_id").agg(F.collect_set(F.struct("pos", "many")).alias("gone"))
-    rows = plain.join(gone.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left").select(*names, "gone")
     schema = StructType([*plain.schema.fields, StructField("n_removed", LongType()), StructField("words_removed", LongType())])
+    named = _named(plain)
+    gone = repeated_spans(named).groupBy(*NAME).agg(F.collect_set(F.struct("pos", "many")).alias("gone"))  # at most a text's sentences
+    same = F.lit(True)
+    for c in NAME:
+        gone = gone.withColumnRenamed(c, f"of_{c}")
+        same &= F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    rows = named.join(gone, same, "left").select(*names, "gone")
     out = rows.mapInArrow(_rewritten(names), schema)
     return out.select(*back, "n_removed", "words_removed")

@@ -108,3 +108,19 @@ def test_passages_of_51_words_are_caught_at_any_offset(spark):
         assert [w for w in left if w[0] != "p"] == [w for w in t.split() if w[0] != "p"]
         assert sum(w in left for w in planted[i]) <= (51 if i % 2 == 0 else 25), i
     assert all(got[i].text == docs[i] for i in docs if i % 2 == 0)
+
+
+def test_rows_without_an_id_and_of_one_id_are_judged_by_their_texts(spark):
+    r = random.Random(12)
+
+    def prose(n):
+        return " ".join(" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(9)) + "." for _ in range(n))
+    passage, lone = prose(6), prose(6)
+    a, b, c, d = (prose(6) for _ in range(4))
+    rows = [(1, passage), (None, passage + " " + a), (None, b), (7, c), (7, passage + " " + d), (None, lone), (None, lone)]
+    got = [(x.doc_id, x.text.split()) for x in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    for own, i in [(a, None), (b, None), (c, 7), (d, 7)]:  # unique words stay, and of the passage no more than the end of a span
+        left = next(t for k, t in got if k == i and t[-1] == own.split()[-1])
+        assert left[-54:] == own.split() and len(left) < 54 + 16
+    assert (1, passage.split()) in got
+    assert sorted(len(t) for i, t in got if i is None and set(t) <= set(lone.split())) in [[n, 54] for n in range(16)]
