@@ -37,8 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
-from .common import narrow, set_aside, stage
+from .common import WORD, narrow, set_aside, stage
 from .components import components
 from .words import U, _mix, chunks, shingles, texts_of, word_hashes
 
@@ -260,9 +261,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id, of equal
-    rows with that id one."""
+    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id, those without
+    a doc_id last, and of rows with that id the one with the smallest hash of its columns. Equal rows
+    with an id are one document and stay or go together; of equal rows without an id one stays."""
     plain, back = set_aside(docs, "doc_id", "text")
-    judged = near_duplicates(plain, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    kept = plain.join(judged, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
-    return kept.select(*back)
+    names = plain.columns
+    plain = plain.withColumn("row_key", F.xxhash64(*(f.name for f in plain.schema.fields if isinstance(f.dataType, AtomicType))))
+    # rows are judged, not ids: a doc_id may be null or have several texts
+    named = plain.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key").alias("doc_id"), "text")
+    judged = near_duplicates(named, percent).where("not kept").select(F.col("doc_id.doc_id").alias("gone"), F.col("doc_id.row_key").alias("gone_key")).distinct()
+    judged = stage(judged, "gone")
+    kept = plain.join(judged, F.col("doc_id").eqNullSafe(F.col("gone")) & (F.col("row_key") == F.col("gone_key")), "left_anti")
+    copies = F.col("doc_id").isNull() & F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    one = kept.where(copies).groupBy("row_key").agg(F.first(F.struct(*names)).alias("row")).select("row.*")
+    return kept.where(~copies).select(*names).unionAll(one).select(*back)

@@ -110,3 +110,15 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {i: 100 for i in range(100, 181)} | {i: 5 for i in [5, 7, *range(1000, 1100)]}
     assert components(edges.limit(0)).collect() == []
+
+
+def test_one_of_each_judges_rows_not_ids(spark):
+    r = random.Random(4)
+    a, b, c, d, e = (" ".join(r.choices([f"w{i}" for i in range(4000)], k=60)) for _ in range(5))
+    rows = [(1, a, "x"), (None, a + " end", "x"), (None, b, "x"),  # the copy without an id goes alone
+            (5, c, "x"), (5, a + " more", "x"),  # of a repeated id only the copy goes
+            (None, d, "x"), (None, d, "x"), (None, d, "y"), (None, d + " end", "x"),  # one of a group without ids
+            (8, e, "x"), (8, e.upper(), "x"), (8, e, "y"), (9, e, "x"), (None, None, "x"), (None, " ", "x"), (None, " ", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    kept = sorted(((i, t and t.strip().lower().removesuffix(" end")) for i, t, _ in M.one_of_each(df).collect()), key=repr)
+    assert kept == sorted([(1, a), (None, b), (5, c), (None, d), (8, e), (None, None), (None, ""), (None, "")], key=repr)
