@@ -39,9 +39,10 @@ TREES, TREE_DEPTH, MAX_TRAIN, SEED = 24, 6, 10_000, 4
 MASK = "[SECRET]"
 
 _RUN = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}={0,2}")
-_ASSIGNED = re.compile(r"[:=][ \t]{0,3}[\"']?([^\s\"']{8,})")
 # fixed values: names of what holds a secret, and of places that hold made-up ones
-_NAMES = re.compile(r"(?:pass(?:w(?:or)?d|phrase)?|pwd|secret|token|key|auth|credentials?|bearer)[\"']?\s*$", re.IGNORECASE)
+_NAMES = r"(?:pass(?:w(?:or)?d|phrase)?|pwd|secret|token|key|auth|credentials?|bearer)"
+# a value without quotes ends before a sign that begins the next assignment, too
+_ASSIGNED = re.compile(_NAMES + r"[\"']?\s*[:=][ \t]*(?:[\"']([^\s\"']{8,})|((?:(?![&;,][\w.%\[\] -]{1,40}[:=])[^\s\"']){8,}))", re.IGNORECASE)
 _MADE_UP = re.compile(r"test|example|sample|demo|dummy|doc", re.IGNORECASE)
 
 FEATURES = ["length", "entropy", "changes", "likely", "digits", "capitals", "distinct", "hex", "covered",
@@ -88,10 +89,10 @@ def candidates(text: str) -> list[tuple[int, int, bool]]:
     """Start, end and whether it is a named assignment, of each candidate."""
     found: dict[int, tuple[int, bool]] = {}
     for m in _ASSIGNED.finditer(text):
-        if _NAMES.search(text, max(0, m.start() - 40), m.start()):
-            end = m.start(1) + len(m.group(1).rstrip(".,;:!?)]}"))
-            if end - m.start(1) >= 8:
-                found[m.start(1)] = (end, True)
+        start = m.start(m.lastindex)
+        end = start + len(m.group(m.lastindex).rstrip(".,;:!?)]}"))
+        if end - start >= 8:
+            found[start] = (end, True)
     busy = sorted((a, e) for a, (e, _) in found.items())
     for m in _RUN.finditer(text):
         v = m.group()

@@ -53,3 +53,14 @@ def test_odd_rows(spark, odd, empty):
     # nothing to learn from: no candidate is more than undecided
     only = spark.createDataFrame([(1, "x Abcdefghijklmnopqrs1 y", None)], "doc_id long, text string, source string")
     assert [r.score for r in S.scan(only).collect()] == [0.5]
+
+
+def test_named_values_inside_strings_without_blanks_and_behind_many():
+    named = lambda t: [t[a:e] for a, e, named in S.candidates(t) if named]
+    assert named("https://h.io/?user=bob&token=ab12cd34ef56") == ["ab12cd34ef56"]
+    assert named("https://h.io/?token=ab12cd34ef56&password=hunter2x9Qz&x=1") == ["ab12cd34ef56", "hunter2x9Qz"]
+    assert named("db=server1;password=hunter2x9Qz;Initial Catalog=main") == ["hunter2x9Qz"]
+    assert named("a=longvalue,secret=Zx81kk20Qw") == ["Zx81kk20Qw"]
+    assert named("user:        bob\npassword:    hunter2x9Qz\ntoken \t =\t\t\t\t\tab12cd34ef56") == ["hunter2x9Qz", "ab12cd34ef56"]
+    assert named("password=ab,cd;ef&12gh") == ["ab,cd;ef&12gh"]  # signs that begin no other assignment are of the value
+    assert named('{"api_key": "a1;b=2;c3d4e5"}') == ["a1;b=2;c3d4e5"]
