@@ -64,7 +64,7 @@ class Dictionary:
 
     def covered(self, text: str) -> float:
         """Share of the characters that words of four or more letters cover, longest first from the left."""
-        text, i, n = text.lower()[:400], 0, 0
+        text, i, n = text.lower(), 0, 0
         size = len(text)
         while i < size - 3:
             for k in range(min(self.longest, size - i), 3, -1):

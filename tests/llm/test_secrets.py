@@ -64,3 +64,8 @@ def test_named_values_inside_strings_without_blanks_and_behind_many():
     assert named("user:        bob\npassword:    hunter2x9Qz\ntoken \t =\t\t\t\t\tab12cd34ef56") == ["hunter2x9Qz", "ab12cd34ef56"]
     assert named("password=ab,cd;ef&12gh") == ["ab,cd;ef&12gh"]  # signs that begin no other assignment are of the value
     assert named('{"api_key": "a1;b=2;c3d4e5"}') == ["a1;b=2;c3d4e5"]
+
+
+def test_coverage_reads_the_whole_value():
+    words = S.dictionary(S.vocabulary_path())
+    assert words.covered("9" * 400 + "password" * 50) == 0.5
