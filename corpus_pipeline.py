@@ -3,7 +3,7 @@
 Each stage takes all rows that the one before kept, and its decisions take effect:
 
 1. ``quality``: documents that the quality classifier rejects go.
-2. ``near_dedup``: of each group of near-duplicate documents one stays.
+2. ``near_dedup``: of each group of near-duplicate documents (85 % of their shingles shared, as in op3) one stays.
 3. ``secrets``: secrets in the texts are masked; all documents stay.
 4. ``mixture``: documents are taken as often as the mixture of their sources asks for.
 5. ``packing``: the mixture's documents are packed into sequences of tokens; one row for each piece.
