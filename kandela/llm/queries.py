@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import covertree, hamming, minhash, mixing, packing, quality, secrets, sharding, spans, url_filter
+from . import conversations, covertree, hamming, minhash, mixing, packing, personal, quality, runs, secrets, sharding, spans, url_filter
 from .common import table
 
 #: Host, path and verdict of each rule.
@@ -60,6 +60,18 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digests(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.span_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_spans": op1_sentence_spans,
     "op2_multi_index_hamming": op2_multi_index_hamming,
@@ -71,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_stratified_shards": op8_stratified_shards,
     "op9_bloom_cascade": op9_bloom_cascade,
     "op10_cover_tree": op10_cover_tree,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_maximal_pair_runs": op12_maximal_pair_runs,
+    "op13_boosted_pii": op13_boosted_pii,
 }

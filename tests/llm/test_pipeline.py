@@ -33,7 +33,7 @@ def test_stages_take_effect(spark):
 
 def test_queries_are_registered():
     numbers = {int(k[2:].split("_")[0]) for k in E.queries() if k.startswith("op") and k[2:3].isdigit()}
-    assert numbers == set(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in E.queries()
     assert {"op2_multi_index_hamming", "op9_bloom_cascade", "op10_cover_tree"} <= set(E.oracle_sql())
 
 
