@@ -3,7 +3,7 @@
 Each stage takes all rows that the one before kept, and its decisions take effect:
 
 1. ``quality``: documents that the quality classifier rejects go.
-2. ``near_dedup``: of each group of near-duplicate documents (85 % of their shingles shared, as in op3) one stays.
+2. ``near_dedup``: of each group of near-duplicate documents (``NEAR_PERCENT`` % of their shingles shared) one stays.
 3. ``secrets``: secrets in the texts are masked; all documents stay.
 4. ``mixture``: documents are taken as often as the mixture of their sources asks for.
 5. ``packing``: the mixture's documents are packed into sequences of tokens; one row for each piece.
@@ -19,13 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from kandela.llm import minhash, mixing, packing, quality, secrets
 from kandela.llm.common import stage, table
 
+#: Documents are near duplicates from this share of common shingles on; half keys find a pair of it with 0.99993.
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.one_of_each(docs)
+    return minhash.one_of_each(docs, NEAR_PERCENT)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

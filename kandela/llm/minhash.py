@@ -19,8 +19,12 @@ keys of two minhashes, six in a million pairs of similarity 0.85, and fewer abov
    classes are dealt to blocks by set size (a step of sizes for each ratio that a
    link allows, so links lie within a step or between neighbouring ones) and by a hash, at most about
    ``BLOCK`` shingles in a block. Two blocks that meet in a bucket are compared as matrices: the product
-   of their 0/1 rows over the shingles they hold gives all intersections. From a pair of blocks comes
-   one link for each two components that it joins.
+   of their 0/1 rows over the shingles they hold gives all intersections. From a pair of blocks come
+   links that join what hangs together to its smallest component, one fewer than there are components.
+   First every block is compared with itself and with the first block of its buckets, and then, where a
+   bucket still holds several components, those blocks that hold another than its most frequent one with
+   all; pairs of blocks that are one component by then are left out. So the comparisons and links of a
+   large group of near copies grow with its blocks, not with their square.
 
 Results: no words or a null text: set size 0, linked with nothing. A null doc_id names no component:
 such a document is in its class and links others, but only the ids that are not null count for the
@@ -97,8 +101,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(has):
                 halves[has] = _half_keys(h, ahead[has], 0)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * 2 * HALVES, pa.int32()), pa.array(halves.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(size), pa.array(key, mask=size == 0), lists],
-                                             names=["doc_id", "n", "key", "halves"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_id", "text_key")), pa.array(size), pa.array(key, mask=size == 0), lists],
+                                             names=["doc_id", "text_key", "n", "key", "halves"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,12 +129,14 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _joined(percent: int):
-    """Links between components of two blocks, one for each two components."""
+    """Links between components of two blocks: of those that hang together one link from each to the smallest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 same = batch.column("x")[r].as_py() == batch.column("y")[r].as_py()
                 one, two = ([m.as_py() for m in batch.column(c)[r].values] for c in ("one", "two"))
+                names = {m["c"]: m["now"] for c in ("names_x", "names_y") for m in batch.column(c)[r].as_py()}
+                c1, c2 = (np.array([names[m["c"]] for m in side], np.int64) for side in (one, two))
                 one_sets, two_sets = ([np.frombuffer(m["set"], U) for m in side] for side in (one, two))
                 n1, n2 = np.array([len(v) for v in one_sets]), np.array([len(v) for v in two_sets])
                 # only shingles that both sides have can meet
@@ -140,18 +146,33 @@ def _joined(percent: int):
                 for a in range(0, len(shared), COLUMNS):
                     both += _dense(*m1, len(one), a) @ _dense(*m2, len(two), a).T
                 both = np.rint(both).astype(np.int64)
-                c1, c2 = np.array([m["c"] for m in one], np.int64), np.array([m["c"] for m in two], np.int64)
                 hit = (100 * both >= percent * (n1[:, None] + n2[None, :] - both)) & (c1[:, None] != c2[None, :])
                 if same:
                     hit = np.triu(hit, 1)
                 i, j = np.nonzero(hit)
                 if len(i):
-                    keep = np.unique(np.stack([np.minimum(c1[i], c2[j]), np.maximum(c1[i], c2[j])]), axis=1, return_index=True)[1]
-                    i, j = i[keep], j[keep]
-                    yield pa.RecordBatch.from_arrays([pa.array(c1[i]), pa.array(c2[j])], names=["a", "b"])
+                    yield _star(c1[i], c2[j])
     return run
 
 
+def _star(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """A link to the smallest node from each other one that hangs together with it."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = np.unique(ends.reshape(2, -1), axis=1)
+    least = np.arange(len(nodes))
+    while True:
+        low = np.minimum(least[one], least[two])
+        new = least.copy()
+        np.minimum.at(new, one, low)
+        np.minimum.at(new, two, low)
+        new = new[new]
+        if (new == least).all():
+            break
+        least = new
+    other = least != np.arange(len(nodes))
+    return pa.RecordBatch.from_arrays([pa.array(nodes[least[other]]), pa.array(nodes[other])], names=["a", "b"])
+
+
 #: Columns of the 0/1 matrices that are filled in at a time.
 COLUMNS = 4096
 
@@ -206,21 +227,22 @@ def _labelled(rows: DataFrame, *maps: DataFrame) -> DataFrame:
 def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, list[DataFrame]]:
     """``doc_id, n, key`` of each row, and maps ``node, component`` that lead a key, one after the other,
     to the name of its component; a key that is in none of them is its own."""
-    docs = narrow(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
-    signed = stage(docs.mapInArrow(_signed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, key long, halves array<bigint>"), "signed")
-    classes = stage(signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.first("halves").alias("halves")), "classes")
+    docs = narrow(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string")).withColumn("text_key", F.xxhash64("text"))
+    signed = stage(docs.mapInArrow(_signed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, n long, key long, halves array<bigint>"), "signed")
+    classes = stage(signed.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "text_key")).alias("of"), F.max("n").alias("n"), F.first("halves").alias("halves")), "classes")
     rows = stage(_tables(classes.select("key", "n", "halves")), "tables")
     # a bucket's own members only: a table key needs two
     buckets = rows.groupBy("t").agg(F.count("*").alias("c"), F.min(F.struct("key", "n")).alias("hub")).where("c > 1").select("t", "hub")
     rows = stage(rows.join(buckets, "t"), "buckets")
-    members = stage(classes.select("key", "first_doc").join(rows.select("key").distinct(), "key", "left_semi"), "members")
+    members = stage(classes.select("key", "of").join(rows.select("key").distinct(), "key", "left_semi"), "members")
     count = members.count()
     signed = signed.select("doc_id", "n", "key")
     if not count:
         return signed, []
-    wanted = members.select(F.col("first_doc").alias("_id"), "key")
+    # a text is fetched by its id and its hash: many rows have no id, or one id with other texts
+    wanted = members.select(F.col("of.doc_id").alias("_id"), F.col("of.text_key").alias("_key"), "key")
     wanted = F.broadcast(wanted) if count <= MAX_BROADCAST else wanted
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).select("key", "text")
     sets = stage(texts.mapInArrow(_sets, "key long, set binary").groupBy("key").agg(F.first("set").alias("set")), "sets")
     pairs = rows.where((F.col("key") != F.col("hub.key")) & _same_size("n", "hub.n", percent)).groupBy(F.col("key").alias("b")).agg(F.min("hub.key").alias("a"))
     tested = _verify(pairs, sets)
@@ -230,12 +252,54 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, list[Data
         return signed, maps
     held = rest.select("key", "c", "block").distinct().join(sets, "key")
     held = stage(held.groupBy("block").agg(F.collect_list(F.struct("c", "set")).alias("members")), "held")  # BLOCK shingles or one set
-    meet = rest.select("t", "block", "step").distinct()
-    other = meet.select("t", F.col("block").alias("y"), F.col("step").alias("step_y"))
-    meet = meet.withColumnRenamed("block", "x").join(other, "t").where("x <= y and abs(step - step_y) <= 1").select("x", "y").distinct()
-    both = meet.join(held.select(F.col("block").alias("y"), F.col("members").alias("two")), "y").join(held.select(F.col("block").alias("x"), F.col("members").alias("one")), "x")
-    found = stage(both.select("x", "y", "one", "two").mapInArrow(_joined(percent), "a long, b long"), "joined")
-    return signed, [*maps, stage(components(found), "components")]
+    met = stage(rest.select("t", "block", "step", "c").distinct(), "met")
+    compared = None
+    for choose in (_with_first, _all_left):
+        found, compared = _round(met, held, maps[1:], choose, compared, percent)
+        if found is not None:
+            maps.append(stage(components(found), "components"))
+    return signed, maps
+
+
+def _round(met: DataFrame, held: DataFrame, maps: list[DataFrame], choose, compared: DataFrame | None, percent: int) -> tuple[DataFrame | None, DataFrame]:
+    """Compares the pairs of blocks that ``choose`` gives, but those whose classes are all of one component by
+    now: links between components, if there are any, and the pairs."""
+    names = met.select("block", "c").distinct()
+    now = names.withColumn("key", F.col("c")).drop("c")
+    now = _labelled(now, *maps).select("block", F.col("key").alias("c"), F.col("c").alias("now"))
+    now = stage(now, "now")
+    blocks = now.groupBy("block").agg(F.min("now").alias("low"), F.max("now").alias("high"), F.collect_list(F.struct("c", "now")).alias("names"))  # of one block
+    blocks = stage(blocks, "names")
+    pairs = choose(met.join(now, ["block", "c"]), blocks)
+    if compared is not None:
+        pairs = pairs.join(compared, ["x", "y"], "left_anti")
+    one = blocks.select(F.col("block").alias("x"), F.col("low").alias("low_x"), F.col("high").alias("high_x"), F.col("names").alias("names_x"))
+    two = blocks.select(F.col("block").alias("y"), F.col("low").alias("low_y"), F.col("high").alias("high_y"), F.col("names").alias("names_y"))
+    pairs = pairs.join(one, "x").join(two, "y").where("least(low_x, low_y) < greatest(high_x, high_y)")
+    pairs = stage(pairs.select("x", "y", "names_x", "names_y"), "pairs")
+    if not pairs.take(1):
+        return None, pairs.select("x", "y")
+    both = pairs.join(held.select(F.col("block").alias("y"), F.col("members").alias("two")), "y").join(held.select(F.col("block").alias("x"), F.col("members").alias("one")), "x")
+    found = stage(both.select("x", "y", "one", "two", "names_x", "names_y").mapInArrow(_joined(percent), "a long, b long").distinct(), "joined")
+    return found if found.take(1) else None, pairs.select("x", "y")
+
+
+def _with_first(met: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Every block with itself, and with the first one of each of its buckets that has sets of about its size."""
+    first = met.groupBy("t", "step").agg(F.min("block").alias("x"))
+    pairs = met.select("t", "step", F.col("block").alias("y")).join(first, ["t", "step"]).select("x", "y")
+    return pairs.unionAll(blocks.select(F.col("block").alias("x"), F.col("block").alias("y"))).distinct()
+
+
+def _all_left(met: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Blocks that meet in a bucket, unless both hold nothing but the bucket's most frequent component there:
+    as many pairs as there are blocks for each block that holds another one."""
+    most = met.groupBy("t", "now").agg(F.count("*").alias("n")).groupBy("t").agg(F.max(F.struct("n", "now")).alias("most"), F.count("*").alias("components")).where("components > 1")
+    here = met.groupBy("t", "block", "step").agg(F.min("now").alias("low"), F.max("now").alias("high")).join(most, "t")
+    here = here.withColumn("odd", (F.col("low") != F.col("high")) | (F.col("low") != F.col("most.now")))
+    odd = here.where("odd").select("t", F.col("block").alias("u"), F.col("step").alias("step_u"))
+    pairs = odd.join(here.select("t", F.col("block").alias("v"), "step"), "t").where("abs(step - step_u) <= 1")
+    return pairs.select(F.least("u", "v").alias("x"), F.greatest("u", "v").alias("y")).distinct()
 
 
 def _blocks_meeting(rows: DataFrame, percent: int) -> DataFrame:

@@ -122,3 +122,65 @@ def test_one_of_each_judges_rows_not_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
     kept = sorted(((i, t and t.strip().lower().removesuffix(" end")) for i, t, _ in M.one_of_each(df).collect()), key=repr)
     assert kept == sorted([(1, a), (None, b), (5, c), (None, d), (8, e), (None, None), (None, ""), (None, "")], key=repr)
+
+
+def near_group(n, seed=6):
+    """Copies of one text, with a few words changed in each."""
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(4000)]
+    base = r.choices(words, k=300)
+    out = {}
+    for i in range(n):
+        own = list(base)
+        for _ in range(r.randrange(1, 6)):
+            own[r.randrange(len(own))] = r.choice(words)
+        out[i] = " ".join(own)
+    return out
+
+
+def test_links_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    made, plain = [], M.components
+
+    def counted(edges):
+        made[-1] += edges.distinct().count()
+        return plain(edges)
+
+    monkeypatch.setattr(M, "components", counted)
+    monkeypatch.setattr(M, "BLOCK", 6000)  # about 20 texts
+    for n in (200, 400):
+        made.append(0)
+        docs = near_group(n)
+        assert result(M.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))) == brute(docs)
+    assert made[0] > 150 and made[1] <= 2.2 * made[0], made
+
+
+def test_rows_without_an_id_are_fetched_once(spark, monkeypatch):
+    docs = list(near_group(500).values())
+    docs = [*docs, *docs]
+    df = spark.createDataFrame([(None, t) for t in docs], "doc_id long, text string")
+    seen = []
+    plain = M.stage
+
+    def counted(rows, name):
+        out = plain(rows, name)
+        if name == "sets":
+            seen.append(out.count())
+            text = rows  # classes, each once
+            assert text.count() == out.count()
+        return out
+
+    monkeypatch.setattr(M, "stage", counted)
+    passed = spark.sparkContext.accumulator(0)
+    sets = M._sets
+
+    def passing(batches):
+        def told():
+            for b in batches:
+                passed.add(b.num_rows)
+                yield b
+        return sets(told())
+
+    monkeypatch.setattr(M, "_sets", passing)
+    rows = M.near_duplicates(df).collect()
+    assert len(rows) == len(docs) and seen[0] <= 500
+    assert passed.value <= 3 * len(docs)  # counted again by the checks above

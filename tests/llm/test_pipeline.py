@@ -20,7 +20,7 @@ def test_stages_take_effect(spark):
     text = [{r[0]: r[1] for r in rs} for rs in rows]
     good = {r.doc_id for r in quality.judge(out[0], labels).collect() if r.predicted}
     assert sorted(rows[1]) == sorted(r for r in rows[0] if r[0] in good) and 0 < len(good) < len(rows[0])
-    kept = {i for i, (_, c, _) in brute(text[1]).items() if c == i}
+    kept = {i for i, (_, c, _) in brute(text[1], C.NEAR_PERCENT).items() if c == i}
     assert sorted(rows[2]) == sorted(r for r in rows[1] if r[0] in kept) and len(kept) < len(rows[1])
     found = {r.doc_id for r in secrets.findings(out[2]).collect() if r.is_secret}
     assert set(text[3]) == set(text[2]) and {i for i in text[3] if text[3][i] != text[2][i]} == found
