@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from kandela.session import checkpoint_dir
 
@@ -54,6 +55,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Copies of a row that one task makes from it.
+CHUNK = 100_000
+
+
+def repeated(rows: DataFrame, times: str, number: str) -> DataFrame:
+    """Each row as often as its column ``times`` says (none for 0), numbered from 0 in ``number``. Of a row that
+    is repeated very often, stretches of ``CHUNK`` copies are made in different tasks."""
+    few = rows.where(F.col(times).between(1, CHUNK)).withColumn(number, F.explode(F.sequence(F.lit(0).cast("long"), F.col(times).cast("long") - 1)))
+    many = rows.where(F.col(times) > CHUNK).withColumn("_first", F.explode(F.expr(f"sequence(0L, ({times} - 1L) div {CHUNK})"))).repartition("_first")
+    most = F.least(F.col(times).cast("long"), (F.col("_first") + 1) * CHUNK) - 1
+    return few.unionByName(many.withColumn(number, F.explode(F.sequence(F.col("_first") * CHUNK, most))).drop("_first"))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row, whatever their types."""
+    return F.xxhash64(*(F.sort_array(F.map_entries(f.name)) if isinstance(f.dataType, MapType) else F.col(f.name) for f in df.schema.fields))
+
+
 def uniform(*keys: Column | int) -> Column:
     """A number in [0, 1) that depends on the keys alone, so reruns agree."""
     h = F.xxhash64(*(F.lit(k) if isinstance(k, int) else k for k in keys))

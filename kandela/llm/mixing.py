@@ -14,9 +14,10 @@ bucket of the next level. So a source of n documents takes log(n) / log(FAN) lev
 and no group holds a source. Larger documents are folded first, so that the residual is small.
 Everything is DataFrame functions, and all randomness is a hash of the document and the seed.
 
-Rows that agree in doc_id, source and size are counted first and dealt with as one; of m of them,
-each gets the whole part, and the sum of their probabilities is split into whole rows and one
-fraction. A null text has no words, null doc_ids and sources are values like any other. A document
+Rows that agree in doc_id, source and size (``mix``: in all columns) are counted first and dealt with as
+one; of m of them, each gets the whole part, and the sum of their probabilities is split into whole rows
+and one fraction. So it never matters which of them are the first, and one row that is repeated very
+often is counted in parts, and its copies are made in many tasks. A null text has no words, null doc_ids and sources are values like any other. A document
 without words gives none. An empty table gives no rows.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, narrow, nullable_key, set_aside, stage, uniform
+from .common import WORD, narrow, nullable_key, repeated, row_hash, set_aside, stage, uniform
 
 FAN = 64
 #: Weights of the sources in the order of their names, repeating; share of all words; most copies.
@@ -83,10 +84,17 @@ def _fold(units: Column, seed: int, level: int, last: bool) -> Column:
 
 
 def mixture(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 7, fan: int = FAN) -> DataFrame:
-    """``doc_id, source, size, source_size, target, rows, extra, copies`` of each set of equal rows:
-    ``rows`` of them are taken ``copies`` times each, the first ``extra`` of them once more."""
+    """``doc_id, source, size, source_size, target, rows, extra, copies`` of each set of equal rows (if ``docs`` has
+    a ``row_key``, of each row_key too): ``rows`` of them are taken ``copies`` times each, the first ``extra`` of
+    them once more."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    classes = stage(narrow(docs, "doc_id", "source", "text").select("doc_id", "source", size.alias("size")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "mix-sizes")
+    names = ["doc_id", "source", *(["row_key"] if "row_key" in docs.columns else [])]
+    classes = stage(narrow(docs, *names, "text").select(*names, size.alias("size")).groupBy(*names, "size").agg(F.count("*").alias("rows")), "mix-sizes")
+    named, keyed = F.col("doc_id"), "row_key" in names
+    if keyed:  # the key tells rows apart only where id, source and size don't; a null adds nothing to a hash
+        alike = classes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("alike")).where("alike > 1").toDF("a_id", "a_source", "a_size", "alike")
+        classes = classes.join(alike, F.col("doc_id").eqNullSafe(F.col("a_id")) & F.col("source").eqNullSafe(F.col("a_source")) & (F.col("size") == F.col("a_size")), "left")
+        named = F.struct("doc_id", F.when(F.col("alike").isNotNull(), F.col("row_key")).alias("row_key"))
     sizes = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("classes"))
     targets = source_targets(sizes.select("source", "source_size"), weights, share, most).join(
         sizes.select(F.col("source").alias("s"), "classes"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -97,9 +105,9 @@ def mixture(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     units = classes.withColumn("key", nullable_key(F.col("source"))).join(targets, "key")
     copies = F.floor("rate")
     chance = (F.col("rate") - copies) * F.col("rows")
-    units = units.select("source", "source_size", "target", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("buckets")).alias("bucket"),
-                         F.struct(F.col("size").cast("double").alias("size"), (chance - F.floor(chance)).alias("p"), F.col("doc_id").alias("id"),
-                                  "rows", F.floor(chance).alias("extra"), copies.alias("copies")).alias("u"))
+    units = units.select("source", "source_size", "target", F.pmod(F.xxhash64(F.lit(seed), named, "size"), F.col("buckets")).alias("bucket"),
+                         F.struct(F.col("size").cast("double").alias("size"), (chance - F.floor(chance)).alias("p"), named.alias("id"),
+                                  "rows", F.floor(chance).alias("extra"), copies.alias("copies"), *(["row_key"] if keyed else [])).alias("u"))
     whole = (F.col("u.p") <= 0) | (F.col("u.size") <= 0)
     parts = [units.where(whole).select("source", "source_size", "target", F.col("u").withField("p", F.lit(0.0)).alias("u"))]
     units = units.where(~whole)
@@ -116,26 +124,28 @@ def mixture(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     done = parts[0]
     for p in parts[1:]:
         done = done.unionByName(p)
-    return done.select(F.col("u.id").alias("doc_id"), "source", F.col("u.size").cast("bigint").alias("size"), "source_size", "target", F.col("u.rows").alias("rows"),
+    ids = [F.col("u.id.doc_id").alias("doc_id"), F.col("u.row_key").alias("row_key")] if keyed else [F.col("u.id").alias("doc_id")]
+    return done.select(*ids, "source", F.col("u.size").cast("bigint").alias("size"), "source_size", "target", F.col("u.rows").alias("rows"),
                        (F.col("u.extra") + F.col("u.p").cast("bigint")).alias("extra"), F.col("u.copies").alias("copies"))
 
 
 def mixed_sizes(docs: DataFrame, **parameters) -> DataFrame:
     """A row for each row of ``docs``: ``doc_id, size, source_size, target, taken, source, copies``."""
-    m = mixture(docs, **parameters).withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))))
-    copies = F.col("copies") + F.when(F.col("i") <= F.col("extra"), 1).otherwise(0)
+    m = repeated(mixture(narrow(docs, "doc_id", "source", "text"), **parameters), "rows", "i")
+    copies = F.col("copies") + F.when(F.col("i") < F.col("extra"), 1).otherwise(0)
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("bigint").alias("taken"), "source", copies.cast("int").alias("copies"))
 
 
 def mix(docs: DataFrame, **parameters) -> DataFrame:
     """The rows of ``docs``, each as many times as the mixture takes it."""
     docs, back = set_aside(docs, "doc_id", "source", "text")
-    m = mixture(docs, **parameters).select(F.col("doc_id").alias("m_id"), nullable_key(F.col("source")).alias("m_key"), F.col("size").alias("m_size"),
-                                           F.col("rows").alias("m_rows"), F.col("extra").alias("m_extra"), F.col("copies").alias("m_copies"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    rows = docs.join(m, F.col("doc_id").eqNullSafe(F.col("m_id")) & (nullable_key(F.col("source")) == F.col("m_key")) & (size == F.col("m_size")))
-    single = rows.where("m_rows = 1").withColumn("m_i", F.lit(1))
-    # equal rows only: which of them are the first does not matter
-    several = rows.where("m_rows > 1").withColumn("m_i", F.row_number().over(W.partitionBy("m_id", "m_key", "m_size").orderBy(F.lit(0))))
-    rows = single.unionByName(several).withColumn("m_n", (F.col("m_copies") + F.when(F.col("m_i") <= F.col("m_extra"), 1).otherwise(0)).cast("int"))
-    return rows.where("m_n > 0").withColumn("m_c", F.explode(F.array_repeat(F.lit(0), F.col("m_n")))).select(*back)
+    names = docs.columns
+    docs = docs.withColumn("row_key", row_hash(docs))
+    m = mixture(docs, **parameters).where("copies > 0 or extra > 0")
+    m = m.select(F.col("doc_id").alias("m_id"), nullable_key(F.col("source")).alias("m_key"), F.col("row_key").alias("m_row"), (F.col("rows") * F.col("copies") + F.col("extra")).cast("long").alias("m_n"), F.col("rows").alias("m_rows"))
+    rows = docs.join(m, F.col("doc_id").eqNullSafe(F.col("m_id")) & (nullable_key(F.col("source")) == F.col("m_key")) & (F.col("row_key") == F.col("m_row")))
+    single = rows.where("m_rows = 1").select(*names, "m_n")
+    # rows that are equal in all columns become one, and as many come out as are taken
+    several = rows.where("m_rows > 1").groupBy("m_id", "m_key", "m_row", "m_n").agg(F.first(F.struct(*names)).alias("row")).select("row.*", "m_n")
+    copied = single.withColumn("m_c", F.explode(F.array_repeat(F.lit(0), F.col("m_n").cast("int"))))
+    return copied.select(*names).unionAll(repeated(several, "m_n", "m_c").select(*names)).select(*back)

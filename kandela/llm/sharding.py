@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import narrow, nullable_key, stage, uniform
+from .common import narrow, nullable_key, repeated, stage, uniform
 
 RANGE_ROWS = 2_000
 
@@ -43,8 +43,8 @@ def shard_rows(docs: DataFrame, shards: int = 24, seed: int = 8) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = narrow(docs, "doc_id", "source", "text").select("doc_id", "source", nullable_key(F.col("source")).alias("stratum"),
                        (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    same = rows.groupBy(*rows.columns).agg(F.count("*").alias("m"))
-    rows = same.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m")))).drop("m")
+    same = stage(rows.groupBy(*rows.columns).agg(F.count("*").alias("m")), "shard-classes")
+    rows = repeated(same, "m", "copy").drop("m").withColumn("copy", F.col("copy") + 1)
     rows = stage(rows.withColumn("u", uniform(seed, F.col("doc_id"), F.col("copy"), F.col("text_crc32"))), "shard-rows")
     n = rows.count()
     ranges = max(1, min(100_000, n // RANGE_ROWS))

@@ -2,6 +2,7 @@ import collections
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from kandela.llm import mixing as M
 from llm_cases import SF_SMALL, empty, few_partitions, odd  # noqa: F401
@@ -82,3 +83,27 @@ def test_odd_rows(odd, empty):
 def test_no_python_in_the_plan(odd):
     for df in (M.mixed_sizes(odd), M.mix(odd)):
         assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mix_agrees_after_a_shuffle_when_texts_differ_under_one_key(spark):
+    rows = [(None, f"word{i} and more", "a", {"k": i % 3}) for i in range(40)] + [(1, "same words", "a", {"k": 1})] * 30 + [(i, "one two three", "b", None) for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, notes map<string,int>")
+
+    def taken(d):
+        return sorted(((r[0], r[1], r[2], str(r[3])) for r in M.mix(d, most=1.7).collect()), key=repr)
+
+    first = taken(df.repartition(3))
+    assert first == taken(df.orderBy("text").repartition(7)) and len(first) > len(rows)
+
+
+def test_a_row_that_is_repeated_very_often_is_spread(spark, monkeypatch):
+    from kandela.llm import common
+    rows = spark.createDataFrame([(1, 1_000_000), (2, 3), (3, 0)], "doc_id long, n long")
+    out = common.repeated(rows, "n", "i")
+    assert out.groupBy("doc_id").agg(F.count("*"), F.countDistinct("i"), F.max("i")).orderBy("doc_id").collect() == [(1, 1_000_000, 1_000_000, 999_999), (2, 3, 3, 2)]
+    monkeypatch.setattr(common, "CHUNK", 10_000)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = [r["count"] for r in common.repeated(rows, "n", "i").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 1_000_003 and max(sizes) <= 250_000
