@@ -26,13 +26,13 @@ KEYS = ["symbol"]
 def land(spark: SparkSession, a) -> None:
     from kandela.streaming.ingest import land_bronze
     q = land_bronze(spark, a.payloads, a.bronze, a.checkpoint,
-                    available_now=not a.continuous, max_files_per_trigger=a.max_files)
+                    available_now=not a.continuous, max_files_per_trigger=a.max_files, symbol=a.symbol)
     q.awaitTermination()
 
 
 def ingest(spark: SparkSession, a) -> None:
     from kandela.streaming.ingest import ingest_bronze
-    ingest_bronze(spark, a.payloads, a.bronze)
+    ingest_bronze(spark, a.payloads, a.bronze, symbol=a.symbol)
 
 
 def silver(spark: SparkSession, a) -> None:
@@ -54,10 +54,13 @@ def train(spark: SparkSession, a) -> None:
 
 def score(spark: SparkSession, a) -> None:
     from kandela.plans.model import load_model
-    from kandela.plans.scoring import append_predictions, score_candidates
+    from kandela.plans.scoring import append_predictions, requests_frame, score_candidates
     from kandela.sources.tables import load_bars
-    pred = score_candidates(load_bars(spark, a.bronze, keys=[*KEYS, "dt"]), spark.read.parquet(a.requests),
-                            load_model(a.model), parity=a.parity)
+    if a.inline:
+        requests = requests_frame(spark, json.loads(a.inline))
+    else:
+        requests = spark.read.parquet(a.requests)
+    pred = score_candidates(load_bars(spark, a.bronze, keys=[*KEYS, "dt"]), requests, load_model(a.model), parity=a.parity)
     append_predictions(pred, a.log)
 
 
@@ -81,9 +84,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bronze", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--max-files", type=int, default=None)
+    p.add_argument("--symbol", help="of payloads that lie in no symbol=... folder")
     p.add_argument("--continuous", action="store_true", help="per-minute trigger instead of availableNow")
     p = sub.add_parser("ingest")
     p.add_argument("--payloads", required=True)
+    p.add_argument("--symbol", help="of payloads that lie in no symbol=... folder")
     p.add_argument("--bronze", required=True)
     p = sub.add_parser("silver")
     p.add_argument("--bronze", required=True)
@@ -100,7 +105,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--refit", action="store_true", help="recompute features on silver (DAG rule)")
     p = sub.add_parser("score")
     p.add_argument("--bronze", required=True)
-    p.add_argument("--requests", required=True)
+    p = p.add_mutually_exclusive_group(required=True)
+    p.add_argument("--requests", help="table of requests")
+    p.add_argument("--inline", help="JSON list of requests")
+    p = sub.choices["score"]
     p.add_argument("--model", required=True)
     p.add_argument("--log", required=True)
     p.add_argument("--parity", action="store_true")

@@ -36,6 +36,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kandela.session import scratch_path
 
 DEFAULT_BLOCK_ROWS = 65_536
 DEFAULT_BUCKET = "day"
@@ -118,6 +121,40 @@ def time_index(df: DataFrame, order_by, keys: Sequence[str] = (), name: str = "r
     return out.withColumn(name, F.col("_ti") + F.lit(1)).drop("_ti")
 
 
+def range_index(df: DataFrame, order_by, keys: Sequence[str] = (), name: str = "rn",
+                total_col: str | None = None) -> DataFrame:
+    """The same numbers as :func:`time_index` without time buckets, for series whose rows may pile up anywhere:
+    a third of them at one time, or without one, in one series or over all.
+
+    Rows are dealt to ranges of (keys, ``order_by``, a hash of the row, a number), whose bounds Spark samples,
+    so rows that are equal in everything else are split as well. In a range a row's place is its place in
+    the sorted partition; that and the range are kept in a table in the shared folder. A range's first number
+    comes from the counts of the ranges before (one row for each range), a series' first number is the least
+    of its rows. One exchange and one sort of the data, and no task holds more than a range."""
+    order_by, keys = _as_list(order_by), list(keys)
+    plain = [f.name for f in df.schema.fields if f.name not in (*keys, *order_by) and not isinstance(f.dataType, T.MapType)]
+    order = [F.col(c).asc_nulls_first() for c in [*keys, *order_by]] + [F.col("_tie"), F.col("_row")]
+    tie = F.xxhash64(*plain) if plain else F.lit(0).cast("long")
+    d = df.withColumn("_tie", tie).withColumn("_row", F.monotonically_increasing_id())
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).drop("_tie", "_row")
+    path = scratch_path(df.sparkSession, "ranges")
+    d.write.parquet(path)
+    d = df.sparkSession.read.schema(d.schema).parquet(path)
+    # the number of a partition is above its rows' numbers, which have 33 bits
+    d = d.withColumn("_range", F.shiftright("_at", 33)).withColumn("_place", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at")
+    counts = d.groupBy("_range").agg((F.max("_place") + 1).alias("_n"))
+    all_ = Window.partitionBy(F.lit(0))  # of one row for each range
+    before = counts.select("_range", (F.sum("_n").over(all_.orderBy("_range")) - F.col("_n")).alias("_before"), F.sum("_n").over(all_).alias("_all"))
+    d = d.join(before, "_range").withColumn("_i", F.col("_before") + F.col("_place"))
+    if not keys:
+        out = d.withColumn("_first", F.lit(0).cast("long")).withColumn("_of", F.col("_all"))
+    else:
+        first = d.groupBy(F.struct(*keys).alias("_sk")).agg(F.min("_i").alias("_first"), F.count("*").alias("_of"))
+        out = d.withColumn("_sk", F.struct(*keys)).join(first, "_sk")
+    total = [F.col("_of").alias(total_col)] if total_col else []
+    return out.select(*df.columns, *total, (F.col("_i") - F.col("_first") + 1).alias(name))
+
+
 def ordered_window(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Column]],
                    order_by, keys: Sequence[str] = (), back: int = 0, fwd: int = 0,
                    method: str = "halo", block_rows: int = DEFAULT_BLOCK_ROWS,

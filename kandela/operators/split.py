@@ -13,14 +13,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kandela.operators.ordered import DEFAULT_BUCKET, time_index
+from kandela.operators.ordered import DEFAULT_BUCKET, range_index, time_index
 
 
 def indexed(df: DataFrame, time_col: str = "open_time", keys: Sequence[str] = (),
-            ratio: float = 0.8, bucket_unit: str = DEFAULT_BUCKET, ties: Sequence[str] = ()) -> DataFrame:
+            ratio: float = 0.8, bucket_unit: str = DEFAULT_BUCKET, ties: Sequence[str] = (),
+            ranges: bool = False) -> DataFrame:
     """Add ``rn`` (1-based time rank per key; equal times by ``ties``) and ``_cut``
-    (last train rank)."""
-    out = time_index(df, [time_col, *ties], keys, name="rn", bucket_unit=bucket_unit, total_col="_n")
+    (last train rank). ``ranges``: by sampled ranges instead of time buckets, where a bucket may
+    hold very many rows (all series together, or rows without a time)."""
+    if ranges:
+        out = range_index(df, [time_col, *ties], keys, name="rn", total_col="_n")
+    else:
+        out = time_index(df, [time_col, *ties], keys, name="rn", bucket_unit=bucket_unit, total_col="_n")
     return out.withColumn("_cut", F.floor(F.col("_n") * F.lit(float(ratio))).cast("long")).drop("_n")
 
 
@@ -35,12 +40,13 @@ def split_indexed(idx: DataFrame, embargo: int = 0, keep_index: bool = False,
 
 
 def pooled_split(df: DataFrame, ratio: float = 0.8, time_col: str = "open_time",
-                 series: Sequence[str] = ("symbol",), embargo: int = 0, keep_index: bool = False,
-                 bucket_unit: str = DEFAULT_BUCKET) -> tuple[DataFrame, DataFrame]:
+                 series: Sequence[str] = ("symbol",), embargo: int = 0, keep_index: bool = False
+                 ) -> tuple[DataFrame, DataFrame]:
     """One cut through all series together, for a model that is fitted on all of
     them: the earliest ``floor(n*ratio)`` of all rows train. So no training row
-    is newer than any test row, however unevenly the series end."""
-    return split_indexed(indexed(df, time_col, (), ratio, bucket_unit, series), embargo, keep_index)
+    is newer than any test row, however unevenly the series end. Ranked by sampled
+    ranges, as a day of all series may be a large part of the rows."""
+    return split_indexed(indexed(df, time_col, (), ratio, ties=series, ranges=True), embargo, keep_index)
 
 
 def chronological_split(df: DataFrame, ratio: float = 0.8, time_col: str = "open_time",

@@ -7,13 +7,12 @@ pass, where the reference runs one evaluator job per metric.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kandela.schema import FEATURE_COLUMNS, LABEL
@@ -94,9 +93,15 @@ def save_model(model: LinearRegressionModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def available(spark: SparkSession, path: str) -> bool:
+    """S-6: whether there is something at ``path``, in the file system that Spark finds it in (a path
+    without a scheme: the cluster's default one, not the driver's disk)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def load_model(path: str) -> LinearRegressionModel:
     """S-5/S-6: load, refusing clearly when the model is missing."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" not in path and not os.path.exists(local):
+    if not available(SparkSession.active(), path):
         raise FileNotFoundError(f"model not available at {path}")
     return LinearRegressionModel.load(path)

@@ -187,7 +187,68 @@ SELECT request_id, request_id AS user_id, symbol, open_time AS timestamp, open_t
 FROM ({request_features_sql()}) r, ({fit}) f"""
 
 
+def ols_sql(src: str) -> str:
+    """Coefficients of the 13-feature least-squares fit of ``src`` as rows (feature, coefficient): elimination in the
+    matrix of correlations."""
+    v = [*FEATURES13, "close_t_plus_10"]
+    k = len(FEATURES13)
+    x = {c: f"{c}::DOUBLE" for c in v}
+    matrix = ", ".join("[" + ", ".join(f"corr({x[a]}, {x[b]})" if a != b else "1.0" for b in v) + "]" for a in FEATURES13)
+    mean, sd = (", ".join(f"{f}({x[c]})" for c in v) for f in ("avg", "stddev_pop"))
+    names = ", ".join(f"'{c}'" for c in FEATURES13)
+    return f"""
+WITH RECURSIVE f AS ({src}),
+s AS (SELECT [{matrix}] AS m, [{mean}] AS mean, [{sd}] AS sd FROM f),
+e AS (
+  SELECT 1 AS k, m, mean, sd FROM s
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / r[k])
+                ELSE list_transform(list_zip(r, m[k]), lambda p: p[1] - r[k] / m[k][k] * p[2]) END), mean, sd
+  FROM e WHERE k <= {k}),
+w AS (SELECT mean, list_transform(m, lambda r, i: r[{k + 1}] * sd[{k + 1}] / sd[i]) AS w FROM e WHERE k = {k + 1})
+SELECT unnest([{names}, 'intercept']) AS feature,
+       unnest(list_append(w, mean[{k + 1}] - list_sum(list_transform(list_zip(w, mean[1:{k}]), lambda p: p[1] * p[2])))) AS coefficient
+FROM w"""
+
+
+def _ols_split(cmp: str) -> str:
+    return f"""
+SELECT * EXCLUDE (rn, n) FROM (
+  SELECT *, row_number() OVER (ORDER BY open_time) AS rn, count(*) OVER () AS n FROM ({silver_sql('minute')}) s) i
+WHERE rn {cmp} floor(n * 0.8)"""
+
+
 def _more(o: dict) -> None:
+    o["time_index_ranges"] = f"""
+SELECT t, open_time, symbol, close, count(*) OVER () AS n, row_number() OVER (ORDER BY t NULLS FIRST, open_time, symbol) AS rn
+FROM (SELECT CASE WHEN minute(open_time) % 3 <> 0 THEN open_time END AS t, open_time, symbol, close FROM ({bars_sql('minute', True)}) b) q"""
+    keyed = silver_sql("minute", True)
+    o["refit_coefficients"] = rounded(ols_sql(keyed), ["coefficient"])
+    variables = [*FEATURES13, "close_t_plus_10"]
+    o["moment_correlations"] = f"WITH s AS ({keyed}) " + " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS rows, CASE WHEN min({a}) < max({a}) AND min({b}) < max({b}) THEN round(corr({a}::DOUBLE, {b}::DOUBLE), {R}) END AS correlation FROM s"
+        for i, a in enumerate(variables) for b in variables[i + 1:])
+    train = ols_sql(_ols_split("<="))
+    o["train_ols"] = rounded(train, ["coefficient"])
+    terms = " + ".join(f"c.{x} * t.{x}" for x in FEATURES13)
+    wide = "SELECT " + ", ".join(f"max(CASE WHEN feature = '{x}' THEN coefficient END) AS {x}" for x in [*FEATURES13, "intercept"]) + f" FROM ({train}) k"
+    scored = f"SELECT t.open_time, t.close_t_plus_10, {terms} + c.intercept AS prediction FROM ({_ols_split('>')}) t, ({wide}) c"
+    o["score_test"] = f"SELECT open_time, round(close_t_plus_10, 4) AS close_t_plus_10, round(prediction, 4) AS prediction FROM ({scored}) s"
+    o["evaluate_model"] = f"""
+SELECT count(*) AS n, round(sqrt(avg((prediction - close_t_plus_10) ^ 2)), {R}) AS rmse,
+       round(avg(abs(prediction - close_t_plus_10)), {R}) AS mae,
+       round(1 - avg((prediction - close_t_plus_10) ^ 2) / var_pop(close_t_plus_10), {R}) AS r2
+FROM ({scored}) s"""
+    o["model_roundtrip"] = f"SELECT open_time, round(prediction, 4) AS p_fit, round(prediction, 4) AS p_loaded FROM ({scored}) s"
+    o["silver_incremental"] = rounded(keyed, DERIVED)
+    o["stream_features_shuffled"] = rounded(
+        f"SELECT * EXCLUDE (close_time, close_t_plus_10), 'ok' AS status FROM ({features_sql(bars_sql('minute', True), True, ratio='zero')}) f", DERIVED)
+    o["settle_stream"] = rounded(_settled(), ["current_price", "predicted_price", "actual_price", "error"])
+    o["monitor_stream"] = f"""
+SELECT CAST(timestamp AS DATE) AS day, model_version, count(*) AS n_predictions,
+       count(error) AS n_settled, round(sqrt(avg(error * error)), {R}) AS rmse,
+       round(avg(abs(error)), {R}) AS mae
+FROM ({_settled()}) s GROUP BY 1, 2"""
     silver_h, silver_m = silver_sql("hour"), silver_sql("minute")
     feat_h = features_sql(bars_sql("hour"), False)
     o["epoch_seconds"] = f"""

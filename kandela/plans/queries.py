@@ -114,6 +114,15 @@ def q_time_index(spark, sf_dir):
     return time_index(b.select("symbol", "open_time", "close"), ["open_time"], ["symbol"])
 
 
+@query("time_index_ranges")
+def q_time_index_ranges(spark, sf_dir):
+    """W-5/W-6 by sampled ranges: one series of all symbols in which a third of the rows has no time."""
+    from kandela.operators.ordered import range_index
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    t = F.when(F.minute("open_time") % 3 != 0, F.col("open_time")).alias("t")
+    return range_index(b.select(t, "open_time", "symbol", "close"), ["t", "open_time", "symbol"], total_col="n")
+
+
 # ---------------------------------------------------------------- scans
 @query("scan_bars")
 def q_scan_bars(spark, sf_dir):
@@ -227,6 +236,20 @@ def q_sink_recount(spark, sf_dir):
     return SK.write_check(fx.bronze(spark, sf_dir, fx.MINUTE), back)
 
 
+@query("silver_incremental")
+def q_silver_incremental(spark, sf_dir):
+    """M-1/K-2: silver that follows the landing of keyed minute candles in three fetches, each of every third day;
+    after each only the touched partitions and their neighbours are rebuilt."""
+    from kandela.plans.silver import SILVER, follow_landing
+    from kandela.sources.tables import load_bars
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True).withColumn("fetched_at", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    for k in (2, 0, 1):
+        SK.land_candles(b.filter(F.dayofyear("open_time") % 3 == k), bronze)
+        follow_landing(spark, bronze, silver, **fx.edges(fx.MINUTE))
+    return round_doubles(load_bars(spark, silver, SILVER, ["symbol"]))
+
+
 @query("preview_ordered")
 def q_preview_ordered(spark, sf_dir):
     """K-8: the first five silver rows in time order."""
@@ -490,18 +513,53 @@ def q_ols_optimality(spark, sf_dir):
     return wide.select(F.inline(rows))
 
 
+def _day_sums(spark, sf_dir):
+    """Day sums of keyed minute silver, from two updates of their table: every other day first."""
+    from kandela.plans import moments
+    s = build_silver(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"], **fx.edges(fx.MINUTE))
+    s = s.withColumn("dt", F.to_date("open_time"))
+    path = scratch_path(spark, "moments")
+    moments.update(s.filter(F.dayofyear("dt") % 2 == 0), path)
+    moments.update(s, path)
+    return path
+
+
+@query("refit_coefficients")
+def q_refit_coefficients(spark, sf_dir):
+    """M-5/M-8: the 13-feature fit of keyed silver from mergeable day sums."""
+    from kandela.plans import moments
+    return round_doubles(M.coefficients_frame(spark, moments.refit(spark, _day_sums(spark, sf_dir))))
+
+
+@query("moment_correlations")
+def q_moment_correlations(spark, sf_dir):
+    """M-5: correlations of the 14 variables, from the merged day sums."""
+    from kandela.plans import moments
+    path = _day_sums(spark, sf_dir)
+    t = moments.table(moments.read(spark, path))
+    one = t.filter("b = 'one'").select(F.col("a").alias("v"), F.col("value").alias("s"))
+    n = t.filter("a = 'one'").select(F.col("value").alias("n"))
+    own = t.filter("a = b and a <> 'one'").select(F.col("a").alias("w"), F.col("value").alias("q"))
+    own = own.join(one, F.col("w") == F.col("v")).crossJoin(n).select("w", "s", "n", F.sqrt(F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0))).alias("d"))
+    left, right = (own.select(F.col("w").alias(c), F.col("s").alias(f"s{c}"), F.col("d").alias(f"d{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
+    out = t.filter("b <> 'one' and a <> b").join(left, "a").join(right, "b")
+    # a variable that is always the same has no correlation
+    corr = F.try_divide(F.col("value") - F.col("sa") * F.col("sb") / F.col("na"), F.nullif(F.round(F.col("da") * F.col("db"), 9), F.lit(0.0)))
+    return round_doubles(out.select("a", "b", F.col("na").cast("long").alias("rows"), corr.alias("correlation")))
+
+
 @query("train_ols")
 def q_train_ols(spark, sf_dir):
     """M-5: the 13-feature model's coefficients."""
     tr, _ = _split_m(spark, sf_dir)
-    return M.coefficients_frame(spark, M.fit_linear(tr))
+    return round_doubles(M.coefficients_frame(spark, M.fit_linear(tr)))
 
 
 @query("score_test")
 def q_score_test(spark, sf_dir):
     """M-6: test rows with predictions."""
     tr, te = _split_m(spark, sf_dir)
-    return M.score(M.fit_linear(tr), te).select("open_time", LABEL, "prediction")
+    return round_doubles(M.score(M.fit_linear(tr), te).select("open_time", LABEL, "prediction"), 4)
 
 
 @query("evaluate_model")
@@ -509,7 +567,7 @@ def q_evaluate_model(spark, sf_dir):
     """M-7: RMSE/MAE/R^2 on the test split."""
     tr, te = _split_m(spark, sf_dir)
     metrics, _ = M.evaluate(M.fit_linear(tr), te)
-    return metrics
+    return round_doubles(metrics)
 
 
 @query("train_job")
@@ -532,7 +590,7 @@ def q_model_roundtrip(spark, sf_dir):
     back = M.load_model(path)
     a = M.score(m, te).select("open_time", F.col("prediction").alias("p_fit"))
     b = M.score(back, te).select("open_time", F.col("prediction").alias("p_loaded"))
-    return a.join(b, "open_time")
+    return round_doubles(a.join(b, "open_time"), 4)
 
 
 # ---------------------------------------------------------------- scoring / log
@@ -652,6 +710,56 @@ def q_stream_features(spark, sf_dir):
         "MA_5 double, MA_10 double, taker_ratio double, late_rows bigint").parquet(out))
 
 
+def _late_marker(spark, like: DataFrame, times: list[str], path: str) -> None:
+    """One row of the symbol ``~`` far ahead of all others, as the last file of a stream: it moves the watermark."""
+    first = like.agg(*[F.max(c).alias(c) for c in like.columns])
+    far = {c: (F.col(c) + F.expr("INTERVAL 2000 DAYS")) for c in times}
+    first.withColumns({**far, "symbol": F.lit("~")}).select(*like.columns).coalesce(1).write.mode("append").parquet(path)
+
+
+@query("stream_features_shuffled")
+def q_stream_features_shuffled(spark, sf_dir):
+    """R-3 in event time: candle files in no order at all, several micro-batches; every candle comes out once."""
+    from kandela.streaming import event_time
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    src = scratch_path(spark, "bars")
+    b.repartition(12, F.xxhash64("symbol", "open_time")).write.parquet(src)
+    _late_marker(spark, b, ["open_time", "close_time"], src)
+    stream = spark.readStream.schema(b.schema).option("maxFilesPerTrigger", 5).parquet(src)
+    out, ck = scratch_path(spark, "ordered"), scratch_path(spark, "ordered-ck")
+    writer = event_time.ordered_features(stream, "1000 days").writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True)
+    event_time.start(writer, spark, out).awaitTermination()
+    return round_doubles(spark.read.schema(event_time.OUTPUT).parquet(out).filter("symbol <> '~'"))
+
+
+@query("settle_stream")
+def q_settle_stream(spark, sf_dir):
+    """R-5 as a stream-stream join: predictions and candles from files, several micro-batches; what never settles
+    comes out without a price."""
+    from kandela.streaming.settlement import start_settling
+    p, b = fx.predictions(spark, sf_dir), fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    sources = []
+    for name, df, times in (("preds", p, ["timestamp", "prediction_for"]), ("bars", b, ["open_time", "close_time"])):
+        src = scratch_path(spark, name)
+        df.repartition(6, F.xxhash64("symbol", times[0])).write.parquet(src)
+        _late_marker(spark, df, times, src)
+        sources.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 3).parquet(src))
+    out, ck = scratch_path(spark, "settled"), scratch_path(spark, "settled-ck")
+    start_settling(*sources, out, ck, delay="1000 days").awaitTermination()
+    return round_doubles(spark.read.schema(p.schema).parquet(out).filter("symbol <> '~'"))
+
+
+@query("monitor_stream")
+def q_monitor_stream(spark, sf_dir):
+    """R-6 as a stream: day figures kept up to date over several micro-batches of settled predictions."""
+    from kandela.streaming.settlement import read_monitor, start_monitor
+    s = settle(fx.predictions(spark, sf_dir), fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True))
+    src, out, ck = (scratch_path(spark, n) for n in ("settled", "monitor", "monitor-ck"))
+    s.repartition(4, F.xxhash64("symbol", "timestamp")).write.parquet(src)
+    start_monitor(spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 2).parquet(src), out, ck).awaitTermination()
+    return round_doubles(read_monitor(spark, out))
+
+
 @query("stream_scoring")
 def q_stream_scoring(spark, sf_dir):
     """R-4: online features streamed from candle files, scored per micro-batch

@@ -19,13 +19,15 @@ Requests never see each other. ``status`` tells what became of a request:
   (``parity=True`` scores that newest candle instead, as the reference's
   "latest by open_time" does, and calls it ``ok``);
 * ``no_history``: no candle of its symbol, or no symbol;
-* ``invalid``: a feature is NULL or NaN.
+* ``invalid``: a feature is NULL or NaN, or the request has no time.
 
 Only ``ok`` rows have a predicted price.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,8 +46,20 @@ MAX_LITERALS = 1000
 
 
 def requests_frame(spark: SparkSession, rows) -> DataFrame:
-    """S-4: inline request rows with the fixed request schema."""
-    return spark.createDataFrame(rows, REQUEST)
+    """S-4: inline request rows (tuples, or dicts that may leave fields out; times may be ISO texts) with
+    the fixed request schema."""
+    names = REQUEST.names
+
+    def value(row, i, f):
+        v = row.get(f.name) if isinstance(row, dict) else row[i]
+        if isinstance(v, str) and isinstance(f.dataType, T.TimestampNTZType):
+            return dt.datetime.fromisoformat(v)
+        return float(v) if isinstance(v, int) and isinstance(f.dataType, T.DoubleType) else v
+
+    unknown = {k for row in rows if isinstance(row, dict) for k in row} - set(names)
+    if unknown:
+        raise ValueError(f"requests have no fields {sorted(unknown)}")
+    return spark.createDataFrame([tuple(value(row, i, f) for i, f in enumerate(REQUEST.fields)) for row in rows], REQUEST)
 
 
 def recent_history(history: DataFrame, requests: DataFrame, k: int = HISTORY_K) -> DataFrame:
@@ -109,7 +123,7 @@ def request_features(history: DataFrame, requests: DataFrame, k: int = HISTORY_K
     out = out.withColumn("_prev", F.get(closes, F.lit(1))).withColumn("MA_5", _mean(closes, 5)).withColumn("MA_10", _mean(closes, 10))
     out = out.select("request_id", "symbol", "user_id", "requested_at", "request_close", "stale", "none", "row.*", "_prev", "MA_5", "MA_10")
     out = out.withColumn("return_1m", safe_return("close", "_prev")).withColumn("taker_ratio", taker_ratio(on_zero=ratio_on_zero))
-    bad = F.lit(False)
+    bad = F.col("requested_at").isNull()
     for c in FEATURE_COLUMNS:
         bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
     status = F.when(F.col("none"), "no_history").when(F.col("stale"), "stale").when(bad, "invalid").otherwise("ok")
@@ -170,8 +184,9 @@ def append_predictions(pred: DataFrame, path: str) -> None:
     days = [r[0] for r in new.select("dt").distinct().limit(MAX_LITERALS + 1).collect()]
     try:
         log = read_predictions(spark, path)
-        if len(days) <= MAX_LITERALS:
-            log = log.filter(F.col("dt").isin(days))
+        if len(days) <= MAX_LITERALS:  # a row without a time has no day
+            known = F.col("dt").isin([d for d in days if d is not None])
+            log = log.filter(known | F.col("dt").isNull() if None in days else known)
         same = [F.col(f"n.{c}").eqNullSafe(F.col(f"l.{c}")) for c in [*LOG_KEY, "dt"]]
         on = same[0]
         for s in same[1:]:

@@ -8,8 +8,6 @@ partitioned on the same keys, no skew beyond one candle per key).
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +40,19 @@ MAX_DAYS = 1000
 
 
 def settle_log(log: DataFrame, bars: DataFrame, out: str) -> None:
-    """Settle the days of the log (partition ``dt``) that ``out`` doesn't have
-    completely, and replace just these days. A day is complete there once all
-    its rows have an actual price and none was added since."""
+    """Settle the days of the log (partition ``dt``; rows without a time are a day of their own) that
+    ``out`` doesn't have finally, and replace just these days.
+
+    A row is ``final`` once it has an actual price, or once there are candles past its horizon (its own is
+    missing) or it has no horizon. A day is final when all its rows are and none was added since. Candles are
+    read for the days that the horizons of open days fall on, however far they lie ahead."""
     spark = log.sparkSession
     try:
-        done = spark.read.parquet(out).groupBy("dt").agg(
-            F.count("*").alias("_n"), F.count("actual_price").alias("_m")).where("_n = _m")
+        done = spark.read.parquet(out).groupBy(F.col("dt").alias("_dt")).agg(
+            F.count("*").alias("_m"), F.count_if("final").alias("_final")).where("_m = _final")
         counts = log.groupBy("dt").agg(F.count("*").alias("_n"))
-        open_days = counts.join(done.select("dt", "_n"), ["dt", "_n"], "left_anti").select("dt")
+        same = F.col("dt").eqNullSafe(F.col("_dt")) & (F.col("_n") == F.col("_m"))
+        open_days = counts.join(done, same, "left_anti").select("dt")
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -59,13 +61,19 @@ def settle_log(log: DataFrame, bars: DataFrame, out: str) -> None:
     if not days:
         return
     if len(days) <= MAX_DAYS:
-        log = log.filter(F.col("dt").isin(days))
-        # a horizon lies at most a day after its prediction's day
-        ends = sorted({d + dt.timedelta(days=k) for d in days for k in (0, 1)})
-        bars = bars.filter(F.col("dt").isin(ends)) if "dt" in bars.columns else bars
+        known = F.col("dt").isin([d for d in days if d is not None])
+        log = log.filter(known | F.col("dt").isNull() if None in days else known)
     else:
-        log = log.join(open_days, "dt", "left_semi")
-    settled = settle(log, bars)
+        log = log.join(open_days.withColumnRenamed("dt", "_dt"), F.col("dt").eqNullSafe(F.col("_dt")), "left_semi")
+    newest = bars.agg(F.max("open_time").alias("t"))
+    if "dt" in bars.columns:
+        last = bars.agg(F.max("dt")).first()[0]  # of the partitions
+        newest = bars.filter(F.col("dt") == F.lit(last)).agg(F.max("open_time").alias("t"))
+        ends = [r[0] for r in log.select(F.to_date("prediction_for")).distinct().limit(MAX_DAYS + 1).collect()]
+        if len(ends) <= MAX_DAYS:
+            bars = bars.filter(F.col("dt").isin([d for d in ends if d is not None]))
+    past = F.date_trunc("minute", F.col("prediction_for")).cast("timestamp_ntz") < newest.scalar()
+    settled = settle(log, bars).withColumn("final", F.col("actual_price").isNotNull() | F.col("prediction_for").isNull() | F.coalesce(past, F.lit(False)))
     stage = scratch_path(spark, "settled")  # it may read what it replaces
     settled.write.parquet(stage)
     spark.read.schema(settled.schema).parquet(stage).write.mode("overwrite") \

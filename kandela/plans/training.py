@@ -61,7 +61,7 @@ def run_training(silver_df: DataFrame, keys: Sequence[str] = (), ratio: float =
                  materialize: bool = True, **kw) -> TrainResult:
     df, cols = training_frame(silver_df, keys, refit=refit, **kw)
     # one model for all series, so one cut through all of them by time
-    frame = indexed(df.select("open_time", *keys, *cols, LABEL), ratio=ratio, ties=keys)
+    frame = indexed(df.select("open_time", *keys, *cols, LABEL), ratio=ratio, ties=keys, ranges=True)
     if materialize:
         path = scratch_path(frame.sparkSession, "training")
         frame.write.parquet(path)

@@ -51,19 +51,23 @@ def parse_klines(payloads: DataFrame, column: str = "value",
     return k.select(*keep, *[_field(F.col("_k"), n) for n in KLINE_FIELDS])
 
 
-def read_payload_files(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+def read_payload_files(spark: SparkSession, path: str, whole_file: bool = True, symbol: str | None = None) -> DataFrame:
     """Batch read of landed payload files: one JSON document per file
     (``whole_file``) or per line, with ``symbol`` taken from a ``symbol=...``
-    folder and the file's modification time as ``fetched_at``."""
-    return with_file_info(spark.read.option("wholetext", str(whole_file).lower()).text(path))
+    folder (else the parameter) and the file's modification time as ``fetched_at``."""
+    return with_file_info(spark.read.option("wholetext", str(whole_file).lower()).text(path), symbol)
 
 
-def with_file_info(docs: DataFrame) -> DataFrame:
-    """Payload text plus ``symbol`` (from a ``symbol=...`` folder) and
-    ``fetched_at`` (file modification time, UTC wall clock under a UTC session)."""
+def with_file_info(docs: DataFrame, symbol: str | None = None) -> DataFrame:
+    """Payload text plus ``symbol`` (from a ``symbol=...`` folder, else the parameter: payloads of one
+    symbol need no folder) and ``fetched_at`` (file modification time, UTC wall clock under a UTC
+    session). A file of unknown symbol is refused with its name."""
+    file = F.col("_metadata.file_path")
+    named = F.nullif(F.regexp_extract(file, r"symbol=([^/]+)", 1), F.lit(""))
+    unknown = F.raise_error(F.concat(F.lit("no symbol is known for the payload file "), file)).cast("string")
     return docs.select(
         "value",
-        F.regexp_extract(F.col("_metadata.file_path"), r"symbol=([^/]+)", 1).alias("symbol"),
+        F.coalesce(named, F.lit(symbol) if symbol else unknown).alias("symbol"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at"))
 
 

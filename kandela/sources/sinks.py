@@ -82,13 +82,20 @@ def land_candles(incoming: DataFrame, path: str) -> None:
     replaced; in them the candle of the latest fetch wins. The merged rows are
     staged in the shared folder first, so a partition is replaced by rows that
     no longer depend on it. Landing the same fetch again changes nothing, and
-    neither does the order of fetches, so backfills and replays are safe."""
+    neither does the order of fetches, so backfills and replays are safe.
+
+    A candle without a symbol or a time has no place in the table: it goes to the
+    table at ``rejects_path(path)`` (each different one once). The partitions that
+    were touched are noted at ``changes_path(path)`` for jobs that follow."""
     spark = incoming.sparkSession
     incoming = incoming.withColumn("dt", F.to_date("open_time")).select(
         *with_keys(BRONZE).names, "fetched_at", "dt")
     stage = scratch_path(spark, "landing")
     incoming.write.parquet(f"{stage}/in")
     incoming = spark.read.schema(incoming.schema).parquet(f"{stage}/in")
+    placed = F.col("dt").isNotNull() & (F.coalesce("symbol", F.lit("")) != "")
+    _reject(incoming.filter(~placed), rejects_path(path))
+    incoming = incoming.filter(placed)
     there = read_bronze(spark, path)
     old = incoming.limit(0) if there is None else touched(there, incoming).select(*incoming.columns)
     merged = merge_bronze(old, incoming, order_col="fetched_at", keep_order=True)
@@ -96,6 +103,31 @@ def land_candles(incoming: DataFrame, path: str) -> None:
     merged = spark.read.schema(merged.schema).parquet(f"{stage}/out")
     (merged.repartition("symbol", "dt").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "dt").parquet(path))
+    incoming.select("symbol", "dt").distinct().withColumn("at", F.current_timestamp()).coalesce(1) \
+        .write.mode("append").parquet(changes_path(path))
+
+
+def rejects_path(path: str) -> str:
+    """Where landing puts candles without a symbol or a time."""
+    return f"{path.rstrip('/')}-rejects"
+
+
+def changes_path(path: str) -> str:
+    """Where landing notes the (symbol, dt) partitions it touched, and when."""
+    return f"{path.rstrip('/')}-changes"
+
+
+def _reject(rows: DataFrame, path: str) -> None:
+    rows = rows.drop("dt")
+    if not rows.take(1):
+        return
+    try:
+        rows = rows.subtract(rows.sparkSession.read.schema(rows.schema).parquet(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = rows.distinct()
+    rows.write.mode("append").parquet(path)
 
 
 def roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from kandela.plans.queries import REGISTRY
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -43,14 +43,17 @@ def con():
 def test_every_query_has_callable_and_most_have_oracles():
     qs, os_ = E.queries(), E.oracle_sql()
     assert set(os_) <= set(qs)
-    # all but those whose result is a 13-feature model's
-    assert set(REGISTRY) - set(os_) == {"train_ols", "score_test", "evaluate_model", "train_job", "model_roundtrip",
-                                        "score_requests", "stream_scoring"}
+    # all but jobs whose result is a 13-feature model's (whose fit SQL has in train_ols and refit_coefficients)
+    assert set(REGISTRY) - set(os_) == {"train_job", "score_requests", "stream_scoring"}
 
 
 @pytest.mark.parametrize("key", sorted(set(E.oracle_sql()) & set(REGISTRY)))
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    sf = SF_SMALL
+    if key in ("train_ols", "refit_coefficients"):  # with a trade a candle, as in the small tables, a fit isn't unique
+        sf, con = SF_MID, duckdb.connect()
+        con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_MID}/events.parquet')")
+    df = E.queries()[key](spark, sf)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     res = con.execute(E.oracle_sql()[key])
     d_cols = [d[0] for d in res.description]
