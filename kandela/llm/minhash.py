@@ -49,7 +49,7 @@ from .words import U, _mix, chunks, shingles, texts_of, word_hashes
 
 WORDS, PERCENT, HALVES, JOINT = 5, 85, 10, 2
 BLOCK = 1 << 16
-#: Ids of candidate classes up to this number (16 MB) are broadcast to the scan that reads their texts.
+#: Names of candidate classes or of rows that go, up to this number (some 40 MB), are broadcast to the scan of the texts.
 MAX_BROADCAST = 1_000_000
 
 
@@ -335,6 +335,8 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = plain.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key").alias("doc_id"), "text")
     judged = near_duplicates(named, percent).where("not kept").select(F.col("doc_id.doc_id").alias("gone"), F.col("doc_id.row_key").alias("gone_key")).distinct()
     judged = stage(judged, "gone")
+    # as long as few go, their names meet the texts where these lie
+    judged = F.broadcast(judged) if judged.count() <= MAX_BROADCAST else judged
     kept = plain.join(judged, F.col("doc_id").eqNullSafe(F.col("gone")) & (F.col("row_key") == F.col("gone_key")), "left_anti")
     copies = F.col("doc_id").isNull() & F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
     one = kept.where(copies).groupBy("row_key").agg(F.first(F.struct(*names)).alias("row")).select("row.*")
