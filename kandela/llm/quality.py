@@ -131,13 +131,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> np.ndarray:
-    """Weights of the 2^BITS places and the bias."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """``h, quality, text`` of at most ``max_train`` labels: of several texts of one id the one with the smallest
+    hash, so that the bound holds however often an id is repeated."""
     labels, docs = narrow(labels, "doc_id", "quality"), narrow(docs, "doc_id", "text")
     seen = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"), F.xxhash64("doc_id").alias("h"))
     seen = stage(seen.orderBy("h", "doc_id", "quality").limit(max_train), "quality-labels")
     rows = docs.select("doc_id", "text").join(F.broadcast(seen), "doc_id")  # at most max_train rows of 20 bytes
-    rows = rows.select("h", "quality", "text").repartition(PARTS, F.pmod("h", F.lit(PARTS)))
+    one = F.min(F.struct(F.xxhash64("text").alias("k"), "text")).alias("t")
+    return rows.groupBy("doc_id", "quality", "h").agg(one).select("h", "quality", "t.text")
+
+
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> np.ndarray:
+    """Weights of the 2^BITS places and the bias."""
+    rows = training_rows(docs, labels, max_train).repartition(PARTS, F.pmod("h", F.lit(PARTS)))
     parts = rows.mapInArrow(_learn, "rows long, w binary").collect()  # PARTS rows of 4 * 2^BITS bytes
     total = sum(p["rows"] for p in parts)
     w = np.zeros((1 << BITS) + 1)

@@ -47,3 +47,13 @@ def test_features_do_not_depend_on_the_neighbours():
         p, v, _ = Q.features(b, np.array([0, len(b)]))
         own = slice(ahead[i], ahead[i + 1])
         assert sorted(zip(p, v, strict=True)) == sorted(zip(place[own], value[own], strict=True))
+
+
+def test_the_bound_holds_for_an_id_that_many_rows_share(spark):
+    i = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1)
+    docs = spark.range(20_000).selectExpr(f"if(id < 19000, {i}, id) as doc_id", "concat('text ', id) as text")
+    labels = spark.createDataFrame([(i, 1), (i, 1), (i, 0), *((i, i % 2) for i in range(19_000, 19_400))], "doc_id long, quality int")
+    rows = Q.training_rows(docs, labels, max_train=100).collect()
+    assert 50 < len(rows) <= 100 and len({(r.h, r.quality) for r in rows}) == len(rows)
+    own = [r.text for r in Q.training_rows(docs, labels).collect() if r.text in {f"text {i}" for i in range(19_000)}]
+    assert len(own) == 2 and own == [r.text for r in Q.training_rows(docs.repartition(7), labels).collect() if r.text in own]
