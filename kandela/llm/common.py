@@ -44,17 +44,27 @@ def narrow(df: DataFrame, *used: str) -> DataFrame:
     return set_aside(df, *used)[0].select(*used)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, batch: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage with files that survive the loss of an executor, and lets several plans
-    read the rows without making them again."""
+    read the rows without making them again. ``batch``: most bytes that go to a Python worker at
+    a time, for rows that are large themselves."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    if batch:
+        spark.conf.set(_BATCH, batch)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 #: Copies of a row that one task makes from it.
 CHUNK = 100_000
 

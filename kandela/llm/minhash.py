@@ -18,7 +18,7 @@ keys of two minhashes, six in a million pairs of similarity 0.85, and fewer abov
 4. Buckets that still hold several components are compared completely, but not pair by pair: their
    classes are dealt to blocks by set size (a step of sizes for each ratio that a
    link allows, so links lie within a step or between neighbouring ones) and by a hash, at most about
-   ``BLOCK`` shingles in a block. Two blocks that meet in a bucket are compared as matrices: the product
+   ``BLOCK`` shingles or ``MEMBERS`` sets in a block. Two blocks that meet in a bucket are compared as matrices: the product
    of their 0/1 rows over the shingles they hold gives all intersections. From a pair of blocks come
    links that join what hangs together to its smallest component, one fewer than there are components.
    First every block is compared with itself and with the first block of its buckets, and then, where a
@@ -48,7 +48,10 @@ from .components import components
 from .words import U, _mix, chunks, shingles, texts_of, word_hashes
 
 WORDS, PERCENT, HALVES, JOINT = 5, 85, 10, 2
-BLOCK = 1 << 16
+#: Most shingles and sets of a block, about: its matrices are MEMBERS x COLUMNS and MEMBERS x MEMBERS numbers.
+BLOCK, MEMBERS = 1 << 16, 512
+#: Bytes of texts, sets or blocks that a Python worker gets at a time.
+BATCH = "8m"
 #: Names of candidate classes or of rows that go, up to this number (some 40 MB), are broadcast to the scan of the texts.
 MAX_BROADCAST = 1_000_000
 
@@ -213,7 +216,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b, both, either`` of pairs of classes, from their full sets."""
     left = sets.select(F.col("key").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("key").alias("b"), F.col("set").alias("set_b"))
-    return stage(pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(_compared, "a long, b long, both long, either long"), "compared")
+    return stage(pairs.select("a", "b").join(right, "b").join(left, "a").mapInArrow(_compared, "a long, b long, both long, either long"), "compared", BATCH)
 
 
 def _labelled(rows: DataFrame, *maps: DataFrame) -> DataFrame:
@@ -228,7 +231,7 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, list[Data
     """``doc_id, n, key`` of each row, and maps ``node, component`` that lead a key, one after the other,
     to the name of its component; a key that is in none of them is its own."""
     docs = narrow(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string")).withColumn("text_key", F.xxhash64("text"))
-    signed = stage(docs.mapInArrow(_signed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, n long, key long, halves array<bigint>"), "signed")
+    signed = stage(docs.mapInArrow(_signed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, n long, key long, halves array<bigint>"), "signed", BATCH)
     classes = stage(signed.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "text_key")).alias("of"), F.max("n").alias("n"), F.first("halves").alias("halves")), "classes")
     rows = stage(_tables(classes.select("key", "n", "halves")), "tables")
     # a bucket's own members only: a table key needs two
@@ -243,7 +246,7 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, list[Data
     wanted = members.select(F.col("of.doc_id").alias("_id"), F.col("of.text_key").alias("_key"), "key")
     wanted = F.broadcast(wanted) if count <= MAX_BROADCAST else wanted
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).select("key", "text")
-    sets = stage(texts.mapInArrow(_sets, "key long, set binary").groupBy("key").agg(F.first("set").alias("set")), "sets")
+    sets = stage(texts.mapInArrow(_sets, "key long, set binary").groupBy("key").agg(F.first("set").alias("set")), "sets", BATCH)
     pairs = rows.where((F.col("key") != F.col("hub.key")) & _same_size("n", "hub.n", percent)).groupBy(F.col("key").alias("b")).agg(F.min("hub.key").alias("a"))
     tested = _verify(pairs, sets)
     maps = [stage(components(tested.where(f"100 * both >= {percent} * either").select("a", "b")), "components")]
@@ -280,7 +283,7 @@ def _round(met: DataFrame, held: DataFrame, maps: list[DataFrame], choose, compa
     if not pairs.take(1):
         return None, pairs.select("x", "y")
     both = pairs.join(held.select(F.col("block").alias("y"), F.col("members").alias("two")), "y").join(held.select(F.col("block").alias("x"), F.col("members").alias("one")), "x")
-    found = stage(both.select("x", "y", "one", "two", "names_x", "names_y").mapInArrow(_joined(percent), "a long, b long").distinct(), "joined")
+    found = stage(both.select("x", "y", "one", "two", "names_x", "names_y").mapInArrow(_joined(percent), "a long, b long").distinct(), "joined", BATCH)
     return found if found.take(1) else None, pairs.select("x", "y")
 
 
@@ -309,7 +312,7 @@ def _blocks_meeting(rows: DataFrame, percent: int) -> DataFrame:
     rows = stage(rows.select("t", "key", "n", "c", F.col("hub.key").alias("hub")).join(mixed, "t"), "mixed")
     members = rows.groupBy("key", "n").agg(F.min("hub").alias("group"))
     members = stage(members.withColumn("step", F.floor(F.log(F.col("n")) / F.lit(-1.000001 * math.log(percent / 100))).cast("int")), "mixed-members")
-    blocks = members.groupBy("group", "step").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    blocks = members.groupBy("group", "step").agg(F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.count("*") / MEMBERS)).alias("blocks"))
     members = members.join(blocks, ["group", "step"]).withColumn("block", F.xxhash64("group", "step", F.pmod(F.xxhash64("key"), F.col("blocks"))))
     return rows.select("t", "key", "c").join(members.select("key", "block", "step"), "key")
 
