@@ -161,8 +161,8 @@ def test_rows_without_an_id_are_fetched_once(spark, monkeypatch):
     seen = []
     plain = M.stage
 
-    def counted(rows, name):
-        out = plain(rows, name)
+    def counted(rows, name, *batch):
+        out = plain(rows, name, *batch)
         if name == "sets":
             seen.append(out.count())
             text = rows  # classes, each once
