@@ -17,29 +17,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kandela.llm import minhash, mixing, packing, quality, secrets
-from kandela.llm.common import stage, table
+from kandela.llm.common import bounded_batches, stage, table
 
 #: Documents are near duplicates from this share of common shingles on; half keys find a pair of it with 0.99993.
 NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return minhash.one_of_each(docs, NEAR_PERCENT)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return secrets.mask_secrets(docs)
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return mixing.mix(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return packing.pack_documents(docs)
 
 

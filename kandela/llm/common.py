@@ -44,7 +44,7 @@ def narrow(df: DataFrame, *used: str) -> DataFrame:
     return set_aside(df, *used)[0].select(*used)
 
 
-def stage(df: DataFrame, name: str, batch: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage with files that survive the loss of an executor, and lets several plans
@@ -54,7 +54,7 @@ def stage(df: DataFrame, name: str, batch: str | None = None) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(_BATCH)
     if batch:
-        spark.conf.set(_BATCH, batch)
+        bounded_batches(spark, batch)
     try:
         df.write.parquet(path)
     finally:
@@ -65,6 +65,14 @@ def stage(df: DataFrame, name: str, batch: str | None = None) -> DataFrame:
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def bounded_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """From now on Python workers of this session get at most ``most`` bytes at a time (a session that has a
+    smaller bound keeps it): what they hold is a multiple of that, and so is what Spark holds for them."""
+    now = int(spark.conf.get(_BATCH).rstrip("b")) if spark.conf.get(_BATCH).rstrip("b").isdigit() else None
+    if now is None or now > most:
+        spark.conf.set(_BATCH, f"{most}b")
+
+
 #: Copies of a row that one task makes from it.
 CHUNK = 100_000
 

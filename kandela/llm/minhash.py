@@ -51,7 +51,7 @@ WORDS, PERCENT, HALVES, JOINT = 5, 85, 10, 2
 #: Most shingles and sets of a block, about: its matrices are MEMBERS x COLUMNS and MEMBERS x MEMBERS numbers.
 BLOCK, MEMBERS = 1 << 16, 512
 #: Bytes of texts, sets or blocks that a Python worker gets at a time.
-BATCH = "8m"
+BATCH = 8 << 20
 #: Names of candidate classes or of rows that go, up to this number (some 40 MB), are broadcast to the scan of the texts.
 MAX_BROADCAST = 1_000_000
 
