@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Text bytes handled at a time; a longer text is handled alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
