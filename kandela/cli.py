@@ -4,7 +4,9 @@ Each job is one lazy plan between tables in shared storage:
 
 * ``land``    payload files -> bronze (Structured Streaming, ``availableNow`` or every minute)
 * ``ingest``  payload files -> bronze, as one batch (same merge)
-* ``silver``  bronze -> silver (features, label, null drop; partitioned by symbol and day)
+* ``silver``  bronze -> silver (features, label, null drop; partitioned by symbol and day); with ``--follow`` only
+  what landed since the last run
+* ``latest``  bronze -> table of each symbol's newest candles, following what landed
 * ``train``   silver -> model (+ metrics printed as JSON)
 * ``score``   requests + bronze history + model -> prediction log (rows already logged are skipped)
 * ``settle``  prediction log + bronze -> settled predictions
@@ -36,13 +38,21 @@ def ingest(spark: SparkSession, a) -> None:
 
 
 def silver(spark: SparkSession, a) -> None:
-    from kandela.plans.silver import build_silver, write_silver
+    from kandela.plans.silver import build_silver, follow_landing, write_silver
     from kandela.sources.tables import load_bars
+    if a.follow:
+        follow_landing(spark, a.bronze, a.silver, method=a.method, bucket_unit=a.bucket, block_rows=a.block_rows)
+        return
     s = build_silver(load_bars(spark, a.bronze, keys=KEYS), KEYS, method=a.method,
                      bucket_unit=a.bucket, block_rows=a.block_rows)
     write_silver(s, a.silver, KEYS)
 
 
+def latest(spark: SparkSession, a) -> None:
+    from kandela.plans.latest import follow_landing
+    follow_landing(spark, a.bronze, a.latest)
+
+
 def train(spark: SparkSession, a) -> None:
     from kandela.plans.training import run_training
     from kandela.plans.silver import SILVER
@@ -60,7 +70,12 @@ def score(spark: SparkSession, a) -> None:
         requests = requests_frame(spark, json.loads(a.inline))
     else:
         requests = spark.read.parquet(a.requests)
-    pred = score_candidates(load_bars(spark, a.bronze, keys=[*KEYS, "dt"]), requests, load_model(a.model), parity=a.parity)
+    if a.latest:
+        from kandela.plans.latest import read_latest
+        history = read_latest(spark, a.latest)
+    else:
+        history = load_bars(spark, a.bronze, keys=[*KEYS, "dt"])
+    pred = score_candidates(history, requests, load_model(a.model), parity=a.parity)
     append_predictions(pred, a.log)
 
 
@@ -97,6 +112,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--method", default="edges", choices=["edges", "halo", "global"],
                    help="edges: one exchange, buckets must hold >> 19 candles; halo: two")
     p.add_argument("--bucket", default="day", help="time bucket (day for minute candles)")
+    p.add_argument("--follow", action="store_true", help="rebuild only what landed since the last run changes")
+    p = sub.add_parser("latest")
+    p.add_argument("--bronze", required=True)
+    p.add_argument("--latest", required=True)
     p = sub.add_parser("train")
     p.add_argument("--silver", required=True)
     p.add_argument("--model", required=True)
@@ -104,7 +123,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--embargo", type=int, default=0)
     p.add_argument("--refit", action="store_true", help="recompute features on silver (DAG rule)")
     p = sub.add_parser("score")
-    p.add_argument("--bronze", required=True)
+    history = p.add_mutually_exclusive_group(required=True)
+    history.add_argument("--bronze")
+    history.add_argument("--latest", help="table of the job latest, instead of the whole history")
     p = p.add_mutually_exclusive_group(required=True)
     p.add_argument("--requests", help="table of requests")
     p.add_argument("--inline", help="JSON list of requests")
@@ -122,7 +143,7 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
-JOBS = {"land": land, "ingest": ingest, "silver": silver, "train": train, "score": score, "settle": settle,
+JOBS = {"land": land, "ingest": ingest, "silver": silver, "latest": latest, "train": train, "score": score, "settle": settle,
         "monitor": monitor}
 
 

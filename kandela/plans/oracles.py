@@ -278,6 +278,11 @@ FROM ({silver_m}) s WINDOW w AS (ORDER BY open_time)"""
     o["sink_recount"] = f"""
 SELECT count(*) AS source_rows, count(*) AS target_rows, 0::BIGINT AS missing_rows,
        0::BIGINT AS extra_rows FROM ({bars_sql('minute')}) b"""
+    damaged = "FILTER (WHERE day(open_time) % 5 = 0 AND minute(open_time) = {})"
+    o["sink_check"] = f"""
+SELECT count(*) AS source_rows, count(*) - count(*) {damaged.format(7)} + count(*) {damaged.format(11)} AS target_rows,
+       count(*) {damaged.format(7)} AS missing_rows, count(*) {damaged.format(11)} AS extra_rows
+FROM ({bars_sql('minute', True)}) b"""
     o["preview_ordered"] = f"SELECT * FROM ({silver_rounded('hour')}) s ORDER BY open_time LIMIT 5"
     o["split_train"] = _split("<=")
     o["split_test"] = _split(">")
@@ -354,6 +359,7 @@ FROM ({silver_m}) s"""
     top = (f"SELECT * FROM ({bars_sql('minute', True)}) b "
            "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= {k}")
     o["latest_k_per_key"] = top.format(k=10)
+    o["latest_state"] = top.format(k=10)
     o["latest_row"] = top.format(k=1)
     o["history_plus_new"] = f"SELECT symbol, open_time, close FROM ({top.format(k=11)}) t"
     preds = predictions_sql()
@@ -392,6 +398,7 @@ FROM ({_split('<=')}) t"""
     o["request_features"] = rounded(
         f"SELECT request_id, symbol, open_time, close_time, close, return_1m, MA_5, MA_10, taker_ratio, status "
         f"FROM ({request_features_sql()}) f", ["close", *DERIVED])
+    o["request_features_latest"] = o["request_features"]
     o["settle_predictions"] = rounded(
         _settled(), ["current_price", "predicted_price", "actual_price", "error"])
     o["stream_dedup"] = bars_sql("minute", True)

@@ -236,6 +236,21 @@ def q_sink_recount(spark, sf_dir):
     return SK.write_check(fx.bronze(spark, sf_dir, fx.MINUTE), back)
 
 
+@query("sink_check")
+def q_sink_check(spark, sf_dir):
+    """K-5 by digests: keyed minute candles written by symbol and day; in the table every fifth day lacks the candles
+    of minute 7 and has those of minute 11 twice. Only these days' rows are compared one by one."""
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True)
+    good, bad = scratch_path(spark, "bronze"), scratch_path(spark, "damaged")
+    SK.write_bronze(b, good)
+    fifth = F.dayofmonth("open_time") % 5 == 0
+    lost = b.filter(~(fifth & (F.minute("open_time") == 7)))
+    SK.write_bronze(lost.unionAll(b.filter(fifth & (F.minute("open_time") == 11))), bad)
+    from kandela.sources.tables import load_bars
+    read = lambda path: load_bars(spark, path, keys=["symbol", "dt"])
+    return SK.check_partitions(read(good), read(bad))
+
+
 @query("silver_incremental")
 def q_silver_incremental(spark, sf_dir):
     """M-1/K-2: silver that follows the landing of keyed minute candles in three fetches, each of every third day;
@@ -387,6 +402,18 @@ def q_latest_k_per_key(spark, sf_dir):
     return T.latest_k_per_key(fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True), ["symbol"], 10)
 
 
+@query("latest_state")
+def q_latest_state(spark, sf_dir):
+    """M-9/T-1: the maintained table of each symbol's newest 10 candles, after three fetches, each of every third day."""
+    from kandela.plans.latest import follow_landing, read_latest
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True).withColumn("fetched_at", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    bronze, latest = scratch_path(spark, "bronze"), scratch_path(spark, "latest")
+    for k in (2, 0, 1):
+        SK.land_candles(b.filter(F.dayofyear("open_time") % 3 == k), bronze)
+        follow_landing(spark, bronze, latest)
+    return read_latest(spark, latest)
+
+
 @query("latest_row")
 def q_latest_row(spark, sf_dir):
     """T-2: the newest minute candle of every symbol."""
@@ -628,6 +655,18 @@ def q_request_features(spark, sf_dir):
         "request_id", "symbol", "open_time", "close_time", "close", "return_1m", "MA_5", "MA_10", "taker_ratio", "status"))
 
 
+@query("request_features_latest")
+def q_request_features_latest(spark, sf_dir):
+    """M-9: the same features from the maintained table of newest candles; the history isn't read for them."""
+    from kandela.plans.latest import read_latest, update_latest
+    from kandela.plans.scoring import request_features
+    hist, req = fx.request_batch(spark, sf_dir)
+    latest = scratch_path(spark, "latest")
+    update_latest(hist.withColumn("dt", F.to_date("open_time")), latest)
+    return round_doubles(request_features(read_latest(spark, latest), req).select(
+        "request_id", "symbol", "open_time", "close_time", "close", "return_1m", "MA_5", "MA_10", "taker_ratio", "status"))
+
+
 @query("prediction_log")
 def q_prediction_log(spark, sf_dir):
     """K-7: scored requests added to the Parquet log, twice, and read back: the

@@ -9,7 +9,7 @@ small table of row counts (one row for each symbol and day).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -120,18 +120,24 @@ def update_silver(bronze: DataFrame, path: str, touched: DataFrame | None = None
     return rebuilt
 
 
-def follow_landing(spark: SparkSession, bronze: str, silver: str, **kw) -> DataFrame | None:
-    """Update silver with what landed in ``bronze`` since the last call (None: nothing did). What was done is
-    noted beside the table after it is written, so a call that failed is simply made again."""
+def follow(spark: SparkSession, bronze: str, table: str, update: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """``update(touched)`` for the (symbol, dt) partitions that landed in ``bronze`` since the last call for ``table``
+    (None: nothing did). What was done is noted beside the table after it is written, so a call that failed is
+    simply made again."""
     changes = _read(spark, changes_path(bronze), "symbol string, dt date, at timestamp")
     if changes is None:
         return None
-    done = _read(spark, f"{silver.rstrip('/')}-done", "until timestamp")
+    done = _read(spark, f"{table.rstrip('/')}-done", "until timestamp")
     until = None if done is None else done.agg(F.max("until")).first()[0]
     new = changes if until is None else changes.filter(F.col("at") > F.lit(until))
     newest = new.agg(F.max("at")).first()[0]
     if newest is None:
         return None
-    rebuilt = update_silver(read_bronze(spark, bronze), silver, new.select("symbol", "dt").distinct(), **kw)
-    spark.createDataFrame([(newest,)], "until timestamp").coalesce(1).write.mode("append").parquet(f"{silver.rstrip('/')}-done")
-    return rebuilt
+    out = update(new.filter(F.col("at") <= F.lit(newest)).select("symbol", "dt").distinct())
+    spark.createDataFrame([(newest,)], "until timestamp").coalesce(1).write.mode("append").parquet(f"{table.rstrip('/')}-done")
+    return out
+
+
+def follow_landing(spark: SparkSession, bronze: str, silver: str, **kw) -> DataFrame | None:
+    """Update silver with what landed in ``bronze`` since the last call (None: nothing did)."""
+    return follow(spark, bronze, silver, lambda touched: update_silver(read_bronze(spark, bronze), silver, touched, **kw))

@@ -35,6 +35,16 @@ def test_jobs_end_to_end(spark, tmp_dir):
         cli.main(["score", "--bronze", p("bronze"), "--requests", p("requests"), "--model",
                   p("model"), "--log", p("log"), "--parity"], spark)
     assert read_predictions(spark, p("log")).count() == req.count()
+    # the newest candles as a table: the same predictions without the history
+    for _ in range(2):
+        cli.main(["latest", "--bronze", p("bronze"), "--latest", p("latest")], spark)
+    cli.main(["score", "--latest", p("latest"), "--requests", p("requests"), "--model", p("model"), "--log", p("log2"), "--parity"], spark)
+    cols = ["request_id", "symbol", "timestamp", "predicted_price"]
+    a, b = (read_predictions(spark, p(x)).select(*cols) for x in ("log", "log2"))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    for _ in range(2):
+        cli.main(["silver", "--bronze", p("bronze"), "--silver", p("followed"), "--follow"], spark)
+    assert spark.read.parquet(p("followed")).count() == n_silver
     cli.main(["settle", "--log", p("log"), "--bronze", p("bronze"), "--out", p("settled")], spark)
     cli.main(["monitor", "--settled", p("settled"), "--out", p("monitor")], spark)
     m = spark.read.parquet(p("monitor")).collect()
