@@ -322,6 +322,11 @@ SELECT (SELECT count(*) FROM r) - (SELECT count(*) FROM (SELECT DISTINCT * FROM
                      f"round(max({x}), {R}) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM s")
     parts.append("SELECT 'symbol', count(symbol), NULL, NULL, NULL, NULL, min(symbol), max(symbol) FROM s")
     o["describe_stats"] = f"WITH s AS ({silver_sql('minute', True)}) " + " UNION ALL ".join(parts)
+    from kandela.plans.profile import COLUMNS
+    o["profile_incremental"] = f"WITH b AS ({bars_sql('minute', True)}) " + " UNION ALL ".join(
+        f"SELECT symbol, '{c}' AS column_name, count(*) AS row_count, count_if({c} IS NULL)::BIGINT AS null_count, count({c}) AS count, "
+        f"round(avg({c}), {R}) AS mean, round(stddev_samp({c}), {R}) AS stddev, round(min({c})::DOUBLE, {R}) AS min, round(max({c})::DOUBLE, {R}) AS max "
+        "FROM b GROUP BY symbol" for c in COLUMNS)
     o["approx_median"] = f"SELECT count(close_t_plus_10) AS rows, true AS within_error FROM ({silver_h}) s"
     fit = (f"SELECT regr_slope(close_t_plus_10, close) AS a, regr_intercept(close_t_plus_10, close) AS b "
            f"FROM ({_split('<=')}) t")

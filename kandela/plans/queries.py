@@ -376,6 +376,20 @@ def q_describe_stats(spark, sf_dir):
     return round_doubles(Q.describe_long(s))
 
 
+@query("profile_incremental")
+def q_profile_incremental(spark, sf_dir):
+    """A-2/A-4/M-11 from day states that follow the landing of keyed minute candles in three fetches: counts, mean,
+    deviation and extremes of each symbol's columns (quantiles are tested by their ranks)."""
+    from kandela.plans import profile as P
+    b = fx.bronze(spark, sf_dir, fx.MINUTE, keyed=True).withColumn("fetched_at", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    bronze, kept = scratch_path(spark, "bronze"), scratch_path(spark, "states")
+    for k in (2, 0, 1):
+        SK.land_candles(b.filter(F.dayofyear("open_time") % 3 == k), bronze)
+        P.follow_landing(spark, bronze, kept)
+    out = P.profile(P.read_states(spark, kept), ["symbol"])
+    return round_doubles(out.select("symbol", "column_name", "row_count", "null_count", "count", "mean", "stddev", "min", "max"))
+
+
 @query("quality_profile")
 def q_quality_profile(spark, sf_dir):
     """M-11: one-row quality summary of the feature table."""
