@@ -1,25 +1,25 @@
 """Substring dedup by sliding sentence spans.
 
-A sentence ends with a word that closes with ``.``, ``!`` or ``?``, before a line feed, at the end of
-the text, and after any word whose hash is a multiple of ``CUT`` (so text without such signs has ends
-too, at places that depend on its words alone). One word in four or so is such an end, so that a repeated
-passage of 51 words holds a whole span wherever its sentences end and wherever it begins: of simulated
-ones without any sign 1 in 1,000 has none. With very few different words it may have none more often
-(10 different ones: 1 in 9). A span starts at a sentence and takes as many whole
-sentences as it needs for ``SENTENCES`` sentences and ``MIN_WORDS`` words. Spans are compared by a 64-bit hash of
-their lower-cased words; blanks don't matter. The first occurrence of a span is the one in the
-document with the smallest doc_id, there the earliest. Sentences that any other occurrence covers are
-removed, with the blanks behind them. So a passage that repeats stays once, and text without repeated
-spans stays byte for byte.
-
-1. All span hashes are counted; only those that occur more than once matter.
-2. These are put into a Bloom filter of at most ``MAX_BITS`` bits, sent to the tasks. A second pass over
-   the texts gives the occurrences that pass it. With more repeated spans than the filter can hold,
-   there is none, and all occurrences are given.
-3. First occurrences are minima by hash (combined before the shuffle, so a span that a third of the
-   documents share is no hot group), and the others are joined with them.
+A sentence ends with a word that closes with ``.``, ``!`` or ``?``, before a line feed, and at the end of
+the text. Only sentences of more than ``LONG`` words have further ends inside, after every word whose hash is the
+smallest of some ``WINDOW`` words in a row there (the first of equal ones). So text without such signs has an end in every
+``WINDOW`` words, at places that hang on the words around alone. Spans are the shortest runs of whole sentences, of
+all that begin with a sentence and of all that end with one, that have ``MIN_WORDS`` words: two sentences or more,
+as none is that long. So a repeated passage of whole sentences is covered from its first to its last, and one
+of 51 words holds a whole span wherever its sentences end and wherever it
+begins, but for rare cases (see the test). Spans are compared by a 64-bit hash of their lower-cased words; blanks
+don't matter. The first occurrence of a span is the one in the document with the smallest doc_id, there
+the earliest. Sentences that any other occurrence covers are removed, with the blanks behind them. So a passage that
+repeats stays once, and text without repeated spans stays byte for byte.
+
+1. One pass over the texts gives every span: hash, document, place. These rows are written.
+2. First occurrences are minima by hash (combined before the shuffle, so a span that a third of the
+   documents share is no hot group); hashes that occur once are dropped there.
+3. The spans are joined with the first occurrences of their hashes; those that aren't the first are to be removed.
 4. Documents get the list of their spans to remove, at most one for each of their sentences.
 
+The work is the same at every size: a row of about 40 bytes for each sentence, shuffled twice.
+
 Null and empty texts have no spans and stay. Rows of the same doc_id and text are the same document: they
 get the same removals and don't remove each other's text. Rows of one doc_id with different texts are
 different documents, in the order of a hash of the text. Every row without a doc_id is a document of its
@@ -40,10 +40,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .common import set_aside, stage
 from .words import U, _mix, chunks, hash_spans, lowered, texts_of, word_spans
 
-SENTENCES, MIN_WORDS, CUT = 3, 16, 4
-#: Bits of the filter of repeated spans (8 MB), at 16 bits for each, or down to LEAST_BITS where they are many.
-MAX_BITS = 1 << 26
-LEAST_BITS = 4
+MIN_WORDS = 25
+#: Sentences of more words have further ends inside, one in every WINDOW words at least.
+LONG, WINDOW = 14, 8
+#: A span's place: its first sentence, and in the last bits its number of sentences (at most MIN_WORDS).
+MANY_BITS = 6
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STOP = np.zeros(256, bool)
@@ -61,10 +62,12 @@ def sentences(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         return empty, empty.astype(U), empty, np.zeros(len(at), np.int64)
     words = hash_spans(lowered(part), starts, ends)
     lines = np.concatenate([[0], np.cumsum(part == 10)])
-    stop = _STOP[part[ends - 1]] | (words % U(CUT) == 0)
+    stop = _STOP[part[ends - 1]]
     stop[:-1] |= lines[starts[1:]] > lines[ends[:-1]]
     stop[before[1:][np.diff(before) > 0] - 1] = True
     last = np.flatnonzero(stop)
+    stop[inner_ends(words, last)] = True
+    last = np.flatnonzero(stop)
     first = np.concatenate([[0], last[:-1] + 1])
     size = last - first + 1
     place = np.arange(n) - np.repeat(first, size)
@@ -72,16 +75,29 @@ def sentences(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     return starts[first], hashes, size, np.searchsorted(first, before)
 
 
+def inner_ends(words: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The words that end something inside long sentences; ``last``: the last word of each sentence."""
+    if len(words) < WINDOW:
+        return np.zeros(0, np.int64)
+    of = np.searchsorted(last, np.arange(len(words)))
+    long = np.diff(last, prepend=-1) > LONG
+    at = np.flatnonzero(long[of[:1 - WINDOW]] & (of[:1 - WINDOW] == of[WINDOW - 1:]))
+    return np.unique(at + np.lib.stride_tricks.sliding_window_view(words, WINDOW)[at].argmin(axis=1))
+
+
 def spans(hashes: np.ndarray, size: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of every span: its first sentence, its number of sentences, its hash."""
+    """Of every span: its first sentence, its number of sentences, its hash; first those by their beginnings."""
     n = len(hashes)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), hashes
     words = np.concatenate([[0], np.cumsum(size)])
-    end = np.maximum(np.searchsorted(words, words[:-1] + MIN_WORDS), np.arange(n) + SENTENCES)
-    limit = np.repeat(ahead[1:], np.diff(ahead))
-    first = np.flatnonzero(end <= limit)
-    end = end[first]
+    end = np.searchsorted(words, words[:-1] + MIN_WORDS)
+    many = np.diff(ahead)
+    first = np.flatnonzero(end <= np.repeat(ahead[1:], many))
+    # the shortest ones that end with a sentence, where they aren't the shortest that begin with one
+    begin = np.searchsorted(words, words[1:] - MIN_WORDS, side="right") - 1
+    last = np.flatnonzero((begin >= np.repeat(ahead[:-1], many)) & (end[begin] != np.arange(1, n + 1)))
+    first, end = np.concatenate([first, begin[last]]), np.concatenate([end[first], last + 1])
     steps = np.full(n, U(_BASE))
     steps[0] = 1
     power = np.cumprod(steps)
@@ -91,48 +107,20 @@ def spans(hashes: np.ndarray, size: np.ndarray, ahead: np.ndarray) -> tuple[np.n
     return first, end - first, _mix((sums[end] - sums[first]) * back[first] + (end - first).astype(U))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: What names a document: its id, and a hash of its text (of a row without an id: its running number).
+NAME = ["doc_id", "text_key"]
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, data = texts_of(batch.column("text"))
         for a, b in chunks(at):
             _, hashes, size, ahead = sentences(data, at[a:b + 1])
-            h, c = np.unique(spans(hashes, size, ahead)[2], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
-
-
-def _bits_of(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(_mix(h + U(k)) & U(bits - 1)).astype(np.int64) for k in (1, 2, 3)]
-
-
-def _filter_words(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.concatenate(_bits_of(batch.column("h").to_numpy().view(U), bits))
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((U(1) << (at & 63).astype(U)).view(np.int64))], names=["word", "bit"])
-    return run
-
-
-#: What names a document: its id, a hash of its text, and the running number of a row without an id.
-NAME = ["doc_id", "text_key", "number"]
-
-
-def _occurrences(model, bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, data = texts_of(batch.column("text"))
-            for a, b in chunks(at):
-                _, hashes, size, ahead = sentences(data, at[a:b + 1])
-                first, many, h = spans(hashes, size, ahead)
-                if model is not None:
-                    seen = np.ones(len(h), bool)
-                    for i in _bits_of(h, bits):
-                        seen &= (model.value[i >> 6] >> (i & 63).astype(U)) & U(1) == 1
-                    first, many, h = first[seen], many[seen], h[seen]
-                row = np.searchsorted(ahead, first, side="right") - 1
-                at_row = pa.array(a + row)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(batch.column(c).take(at_row) for c in NAME), pa.array((first - ahead[row]).astype(np.int32)), pa.array(many.astype(np.int32))],
-                                                 names=["h", *NAME, "pos", "many"])
-    return run
+            first, many, h = spans(hashes, size, ahead)
+            row = np.searchsorted(ahead, first, side="right") - 1
+            at_row = pa.array(a + row)
+            place = ((first - ahead[row]) << MANY_BITS) + many
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(batch.column(c).take(at_row) for c in NAME), pa.array(place)], names=["h", *NAME, "place"])
 
 
 def _rewritten(names: list[str]):
@@ -145,8 +133,9 @@ def _rewritten(names: list[str]):
                 at, data = texts_of(text.slice(i, 1))
                 first, _, size, _ = sentences(data, at)
                 out = np.zeros(len(first), bool)
-                for span in gone[i].as_py():
-                    out[span["pos"]:span["pos"] + span["many"]] = True
+                for place in gone[i].as_py():
+                    pos = place >> MANY_BITS
+                    out[pos:pos + (place & (1 << MANY_BITS) - 1)] = True
                 raw = data[at[0]:at[1]].tobytes()
                 edges = np.append(first, len(raw))
                 keep = [raw[:edges[0]]] + [raw[edges[k]:edges[k + 1]] for k in np.flatnonzero(~out)]
@@ -159,33 +148,21 @@ def _rewritten(names: list[str]):
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text_key`` and ``number``; the rows without a doc_id are read from the shared folder,
+    """``docs`` with ``text_key``; the rows without a doc_id are read from the shared folder,
     so that their numbers stay the same in all passes."""
-    docs = docs.withColumn("text_key", F.xxhash64("text"))
-    none = stage(docs.where("doc_id is null").withColumn("number", F.monotonically_increasing_id()), "no-id")
-    return docs.where("doc_id is not null").withColumn("number", F.lit(0).cast("long")).unionAll(none)
+    none = stage(docs.where("doc_id is null").withColumn("text_key", F.monotonically_increasing_id()), "no-id")
+    return docs.where("doc_id is not null").withColumn("text_key", F.xxhash64("text")).unionAll(none)
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """NAME, ``pos, many``: spans (first sentence, number of sentences) to be removed."""
+    """NAME, ``place``: spans to be removed."""
     texts = texts.select(*NAME, "text")
-    repeated = texts.select("text").mapInArrow(_counted, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h")
-    repeated = stage(repeated, "repeated")
-    n = repeated.count()
-    bits = 1 << max(10, (16 * n - 1).bit_length()) if n else 1 << 10
-    model = None
-    bits = min(bits, MAX_BITS)
-    if bits and bits >= LEAST_BITS * n:
-        words = repeated.mapInArrow(_filter_words(bits), "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("v")).toArrow()  # at most MAX_BITS / 64 rows
-        table = np.zeros(bits >> 6, U)
-        table[words["word"].to_numpy()] = words["v"].to_numpy().view(U)
-        model = texts.sparkSession.sparkContext.broadcast(table)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = stage(texts.mapInArrow(_occurrences(model, bits), f"h long, doc_id {kind}, text_key long, number long, pos int, many int"), "spans")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), *NAME, "pos")
     # written, so that the join below has plain rows on both sides and Spark can split a hot hash
-    firsts = stage(found.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
-    return found.join(firsts, "h").where(place != F.col("first")).select(*NAME, "pos", "many")
+    found = stage(texts.mapInArrow(_occurrences, f"h long, doc_id {kind}, text_key long, place long"), "spans")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), *NAME, "place")
+    firsts = stage(found.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
+    return found.join(firsts, "h").where(order != F.col("first")).select(*NAME, "place")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -195,7 +172,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     names = plain.columns
     schema = StructType([*plain.schema.fields, StructField("n_removed", LongType()), StructField("words_removed", LongType())])
     named = _named(plain)
-    gone = repeated_spans(named).groupBy(*NAME).agg(F.collect_set(F.struct("pos", "many")).alias("gone"))  # at most a text's sentences
+    gone = repeated_spans(named).groupBy(*NAME).agg(F.collect_set("place").alias("gone"))  # at most a text's sentences
     same = F.lit(True)
     for c in NAME:
         gone = gone.withColumnRenamed(c, f"of_{c}")

@@ -12,24 +12,32 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def cuts(word, memo={}):  # noqa: B006
+def of_word(word, memo={}):  # noqa: B006
     if word not in memo:
         b = np.frombuffer(word.encode(), np.uint8)
-        memo[word] = int(hash_spans(b, np.array([0]), np.array([len(b)]))[0]) % S.CUT == 0
+        memo[word] = int(hash_spans(b, np.array([0]), np.array([len(b)]))[0])
     return memo[word]
 
 
 def sentences(text):
-    out, own, start = [], [], None
+    whole, own = [], []
     found = list(WORD.finditer(text))
     for k, m in enumerate(found):
-        w = m.group().translate(LOWER)
-        start = m.start() if start is None else start
-        own.append(w)
+        own.append((m.start(), m.group().translate(LOWER)))
         gap = text[m.end():found[k + 1].start()] if k + 1 < len(found) else "\n"
-        if w[-1] in ".!?" or "\n" in gap or cuts(w):
-            out.append((start, tuple(own)))
-            own, start = [], None
+        if own[-1][1][-1] in ".!?" or "\n" in gap:
+            whole.append(own)
+            own = []
+    out = []
+    for own in whole:
+        ends = {len(own)}
+        if len(own) > S.LONG:
+            h = [of_word(w) for _, w in own]
+            ends |= {a + h[a:a + S.WINDOW].index(min(h[a:a + S.WINDOW])) + 1 for a in range(len(own) - S.WINDOW + 1)}
+        begin = 0
+        for e in sorted(ends):
+            out.append((own[begin][0], tuple(w for _, w in own[begin:e])))
+            begin = e
     return out
 
 
@@ -38,13 +46,13 @@ def brute(docs):
     parts, seen = {i: sentences(t or "") for i, t in docs.items()}, collections.defaultdict(list)
     for i in sorted(parts):
         own = parts[i]
-        for a in range(len(own)):
-            e = words = 0
-            for e in range(a + 1, len(own) + 1):
-                words += len(own[e - 1][1])
-                if e - a >= S.SENTENCES and words >= S.MIN_WORDS:
-                    seen[tuple(w for _, w in own[a:e])].append((i, a, e))
-                    break
+        size = [len(w) for _, w in own]
+        shortest = set()
+        for k in range(len(own)):
+            shortest |= {(k, e) for e in range(k + 1, min(len(own), k + S.MIN_WORDS) + 1) if sum(size[k:e - 1]) < S.MIN_WORDS <= sum(size[k:e])}
+            shortest |= {(a, k + 1) for a in range(max(0, k - S.MIN_WORDS), k + 1) if sum(size[a + 1:k + 1]) < S.MIN_WORDS <= sum(size[a:k + 1])}
+        for a, e in sorted(shortest):
+            seen[tuple(w for _, w in own[a:e])].append((i, a, e))
     gone = collections.defaultdict(set)
     for found in seen.values():
         for i, a, e in found[1:]:
@@ -63,7 +71,7 @@ def test_corpus_against_brute_force(spark):
     assert got == want and sum(n > 0 for _, n in want.values()) > 5
 
 
-def test_passages_are_caught_and_the_rest_stays(spark, monkeypatch):
+def test_passages_are_caught_and_the_rest_stays(spark):
     r = random.Random(6)
 
     def prose(n):
@@ -74,8 +82,14 @@ def test_passages_are_caught_and_the_rest_stays(spark, monkeypatch):
     got = {r.doc_id: r for r in S.remove_repeats(df).collect()}
     assert [i for i in docs if got[i].n_removed] == [i for i in docs if i % 5 == 2 and i != 2]
     assert all(got[i].text == docs[i].replace(passage + " ", "") for i in docs if i != 2) and got[2].text == docs[2]
-    monkeypatch.setattr(S, "MAX_BITS", 0)  # without the filter
-    assert sorted(S.remove_repeats(df).collect()) == sorted(got.values())
+
+
+def test_only_long_sentences_have_ends_inside():
+    text = "One two three four. Five six seven eight nine ten eleven twelve\nthirteen! " + " ".join(f"w{i}" for i in range(60))
+    data = np.frombuffer(text.encode(), np.uint8)
+    first, _, size, _ = S.sentences(data, np.array([0, len(data)]))
+    assert list(size[:3]) == [4, 8, 1] and max(size) <= S.WINDOW and size.sum() == 73
+    assert [a for a, _ in sentences(text)] == list(first)
 
 
 def test_odd_rows(odd, empty):
