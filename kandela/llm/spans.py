@@ -12,13 +12,15 @@ don't matter. The first occurrence of a span is the one in the document with the
 the earliest. Sentences that any other occurrence covers are removed, with the blanks behind them. So a passage that
 repeats stays once, and text without repeated spans stays byte for byte.
 
-1. One pass over the texts gives every span: hash, document, place. These rows are written.
-2. First occurrences are minima by hash (combined before the shuffle, so a span that a third of the
-   documents share is no hot group); hashes that occur once are dropped there.
-3. The spans are joined with the first occurrences of their hashes; those that aren't the first are to be removed.
-4. Documents get the list of their spans to remove, at most one for each of their sentences.
+1. Every span's hash and doc_id: those hashes that occur more than once, with their smallest doc_id (combined
+   before the shuffle, so a span that a third of the documents share is no hot group).
+2. A second pass over the texts gives the places of all spans; a join keeps those of repeated hashes (Spark
+   splits a hot hash). Those of other documents are to be removed.
+3. Of the few in the document with the smallest doc_id, the first place of a hash is a minimum again, and the
+   others are to be removed.
+4. Documents get the list of their spans to remove, at most two for each of their sentences.
 
-The work is the same at every size: a row of about 40 bytes for each sentence, shuffled twice.
+The work is the same at every size: a small row for each span is shuffled twice.
 
 Null and empty texts have no spans and stay. Rows of the same doc_id and text are the same document: they
 get the same removals and don't remove each other's text. Rows of one doc_id with different texts are
@@ -158,11 +160,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """NAME, ``place``: spans to be removed."""
     texts = texts.select(*NAME, "text")
     kind = texts.schema["doc_id"].dataType.simpleString()
-    # written, so that the join below has plain rows on both sides and Spark can split a hot hash
-    found = stage(texts.mapInArrow(_occurrences, f"h long, doc_id {kind}, text_key long, place long"), "spans")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), *NAME, "place")
-    firsts = stage(found.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
-    return found.join(firsts, "h").where(order != F.col("first")).select(*NAME, "place")
+    found = texts.mapInArrow(_occurrences, f"h long, doc_id {kind}, text_key long, place long")
+    firsts = stage(found.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
+    again = stage(found.join(firsts, "h").select("h", *NAME, "place", F.col("doc_id").eqNullSafe(F.col("first_id")).alias("may_be_first")), "repeated")
+    order = F.struct("text_key", "place")
+    within = again.where("may_be_first")
+    first = stage(within.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "first-places")
+    return again.where("not may_be_first").select(*NAME, "place").unionAll(within.join(first, "h").where(order != F.col("first")).select(*NAME, "place"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -172,7 +176,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     names = plain.columns
     schema = StructType([*plain.schema.fields, StructField("n_removed", LongType()), StructField("words_removed", LongType())])
     named = _named(plain)
-    gone = repeated_spans(named).groupBy(*NAME).agg(F.collect_set("place").alias("gone"))  # at most a text's sentences
+    gone = repeated_spans(named).groupBy(*NAME).agg(F.collect_set("place").alias("gone"))  # at most two for each of a text's sentences
     same = F.lit(True)
     for c in NAME:
         gone = gone.withColumnRenamed(c, f"of_{c}")
