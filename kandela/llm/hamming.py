@@ -10,6 +10,8 @@ that is none: all codes at distance D or less have been compared, ties included.
 segment are about as many as the codes, so even a query that has to try all of them does not do more
 look-ups than a full comparison.
 
+The values are made in the tasks, ``MASKS_A_ROW`` at a time from their ranks; the driver only counts them.
+
 A pair may meet in several segments; it is kept at the smallest radius and the first segment in which
 it meets, which is seen from the pair itself, so no pairs are shuffled to drop repeats. Equal codes are
 one entry with its k + 1 smallest ids (more can never be among the nearest, as ties go to the smaller
@@ -23,7 +25,6 @@ query's own row is never among its results. An empty table gives no rows. Other
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 
@@ -39,6 +40,8 @@ TOP, EVERY = 10, 50
 #: Widest segment, so that its values fit a non-negative int.
 MAX_WIDTH = 30
 MASKS_A_ROW = 4096
+#: Look-ups that a task makes, and most tasks of a radius.
+LOOKUPS_A_TASK, MAX_TASKS = 1 << 20, 20_000
 
 
 def segment_widths(bits: int, codes: int) -> list[int]:
@@ -70,7 +73,6 @@ def _segments(widths: list[int]):
 
 def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", k: int = TOP, is_query: Column | None = None) -> DataFrame:
     """``query_id, rank, <id>, distance``: for each query the k other vectors of smallest Hamming distance, ties by id."""
-    spark = vectors.sparkSession
     query = F.pmod(F.col("id"), F.lit(EVERY)) == 0 if is_query is None else is_query
     rows = narrow(vectors, id_column, vector_column).toDF("id", "v").where(
         F.col("id").isNotNull() & F.exists("v", lambda x: x.isNotNull()))
@@ -92,12 +94,15 @@ def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "e
     for r in range(max(widths) + 1):
         parts = F.when(F.col("far").isNull(), len(widths)).otherwise(F.least(F.col("far") - len(widths) * r + 1, F.lit(len(widths))))
         active = stage(active.withColumn("parts", parts).where("parts > 0"), "active")
-        if not active.take(1):
+        left = active.count()
+        if not left:
             break
-        masks = _masks(widths, r)
+        rows_of = [math.ceil(math.comb(w, r) / MASKS_A_ROW) for w in widths]
         probes = active.select("*", F.posexplode(F.array(*q)).alias("j", "own")).where("j < parts")
-        probes = probes.join(F.broadcast(spark.createDataFrame(masks, "j int, masks array<int>")), "j")  # look-ups of one radius
-        probes = probes.select(*q, "far", "j", "own", F.explode("masks").alias("mask")).withColumn("value", F.col("own").bitwiseXOR(F.col("mask"))).drop("own", "mask")
+        probes = probes.withColumn("n", F.array(*map(F.lit, rows_of))[F.col("j")]).where("n > 0")  # none where r is above the width
+        probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("parts", "n")
+        tasks = min(MAX_TASKS, math.ceil(left * sum(math.comb(w, r) for w in widths) / LOOKUPS_A_TASK))
+        probes = probes.repartition(tasks, *q, "j", "part").mapInArrow(_values(widths, r), ", ".join(f"{c} int" for c in [*q, "far", "j", "value"]))
         apart = [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(s, q, strict=True)]
         earlier = F.lit(False)  # met at a smaller radius, or at this one in a segment before
         for i, d in enumerate(apart):
@@ -114,10 +119,31 @@ def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "e
     return out.select("query_id", "rank", F.col("id").alias(id_column), "distance")
 
 
-def _masks(widths: list[int], r: int) -> list[tuple[int, list[int]]]:
-    """Every set of r bits of each segment, in rows of bounded length."""
-    out = []
-    by_width = {w: [sum(1 << b for b in c) for c in itertools.combinations(range(w), r)] for w in set(widths)}
-    for j, w in enumerate(widths):
-        out += [(j, by_width[w][a:a + MASKS_A_ROW]) for a in range(0, len(by_width[w]), MASKS_A_ROW)]
+def masks(width: int, r: int, first: int, end: int) -> np.ndarray:
+    """Of the sets of ``r`` of ``width`` bits, in ascending order as numbers, those from ``first`` to before ``end``."""
+    rank = np.arange(first, min(end, math.comb(width, r)), dtype=np.int64)
+    out = np.zeros(len(rank), np.int64)
+    for i in range(r, 0, -1):
+        below = np.array([math.comb(c, i) for c in range(width)], np.int64)  # sets whose highest bit is under c
+        top = np.searchsorted(below, rank, side="right") - 1
+        out |= 1 << top
+        rank -= below[top]
     return out
+
+
+def _values(widths: list[int], r: int):
+    """The values that each probe (segment ``j``, part ``part`` of its masks) looks up."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [c for c in batch.schema.names if c not in ("own", "part")]
+            j, part, own = (batch.column(c).to_numpy() for c in ("j", "part", "own"))
+            width = np.asarray(widths)[j]
+            for w, p in np.unique(np.stack([width, part], axis=1), axis=0).tolist():
+                m = masks(w, r, p * MASKS_A_ROW, (p + 1) * MASKS_A_ROW)
+                alike = np.flatnonzero((width == w) & (part == p))
+                few = max(1, 16 * MASKS_A_ROW // max(1, len(m)))
+                for at in (alike[i:i + few] for i in range(0, len(alike), few)):
+                    row = pa.array(np.repeat(at, len(m)))
+                    value = (own[at][:, None] ^ m).ravel().astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in keep), pa.array(value)], names=[*keep, "value"])
+    return run

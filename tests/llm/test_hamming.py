@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from kandela.llm import hamming as H
@@ -45,3 +46,11 @@ def test_widths_cover_all_bits():
         for n in (0, 3, 1000, 10**12):
             w = H.segment_widths(bits, n)
             assert sum(w) == bits and max(w) <= H.MAX_WIDTH and max(w) - min(w) <= 1
+
+
+def test_masks_are_all_sets_of_bits():
+    for w, r in ((1, 0), (4, 4), (13, 3), (16, 5), (4, 5)):
+        want = sorted(sum(1 << b for b in c) for c in itertools.combinations(range(w), r))
+        got = [int(m) for a in range(0, max(1, len(want)), 100) for m in H.masks(w, r, a, a + 100)]
+        assert got == want
+    assert H.masks(30, 15, 155117519, 155117600).tolist() == [(1 << 30) - (1 << 15)]
