@@ -108,7 +108,8 @@ def top_k(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "e
         for i, d in enumerate(apart):
             earlier = earlier | (d < r) | ((F.col("j") > i) & (d == r))
         distance = sum(apart[1:], apart[0]).cast("int")
-        met = probes.join(index, ["j", "value"]).where(~earlier).withColumn("distance", distance).where(F.col("far").isNull() | (F.col("distance") <= F.col("far")))
+        # merged: what mapInArrow gives is estimated far too small to be broadcast
+        met = probes.join(index.hint("merge"), ["j", "value"]).where(~earlier).withColumn("distance", distance).where(F.col("far").isNull() | (F.col("distance") <= F.col("far")))
         met = met.select(*q, "distance", F.explode("ids").alias("id"))
         met = met if best is None else met.unionAll(best)
         best = stage(met.withColumn("i", F.row_number().over(W.partitionBy(*q).orderBy("distance", "id"))).where(F.col("i") <= k + 1).drop("i"), "best")
