@@ -1,8 +1,12 @@
 import hashlib
 import random
 import re
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from kandela.llm import personal as P
 from kandela.llm.queries import QUERIES
@@ -115,6 +119,33 @@ def test_scores_of_findings_that_were_not_learnt(spark, cases):
     assert len(judged) > 1500 and right >= 0.98 * len(judged)
 
 
+def spans_like(rows, value, left, label):
+    """Candidates for a phone number, one in each of the ``rows`` (a column ``row``), all written alike."""
+    return rows.selectExpr("row", "3 kind", "0L start", "12L end", f"{label} is not null and {label} = 1 base", "true passes", f"'{value}' value", f"'{left}' left", "' today' right", f"cast({label} as double) label")
+
+
+def test_all_candidates_are_learnt(spark):
+    # findings beyond the first 4,000 by hash are written like those of the other label, behind the word "phone"
+    place = W.orderBy(F.xxhash64("row", F.lit(3), F.lit(0).cast("long"), F.lit(P.SEED)))
+    rows = spark.range(5_000).withColumnRenamed("id", "row").withColumn("place", F.row_number().over(place))
+    other = lambda start, n: spark.range(start, start + n).withColumnRenamed("id", "row")
+    spans = [spans_like(rows.where("place <= 4000"), "+1 (212) 555-7713", "at ", 1), spans_like(rows.where("place > 4000"), "555-123-4567", "phone ", 1),
+             spans_like(other(10_000, 5_000), "555-123-4567", "order ", 0), spans_like(other(20_000, 50), "555-123-4567", "phone ", "null"), spans_like(other(30_000, 50), "555-123-4567", "order ", "null")]
+    got = P.scored(P.stage(reduce(DataFrame.unionByName, spans), "test")).where("label is null").collect()
+    assert len(got) == 100 and all(r.accepted == (r.row < 30_000) and (r.score >= 0.5) == r.accepted for r in got)
+
+
+def test_thresholds_come_from_all_rows(spark):
+    # no row of the fold that hashes to 0 has a label; 7 of 10 written alike are findings
+    rows = spark.range(20_000).withColumnRenamed("id", "row").where(F.pmod(F.xxhash64("row", F.lit(P.SEED)), F.lit(4)) != 0)
+    unsure = lambda label, cut: spans_like(rows.where(f"row < 4000 and {cut}"), "555-123-4567", "phone ", label)
+    spans = [unsure(1, "row % 10 < 7"), unsure(0, "row % 10 >= 7"), spans_like(rows.where("row between 4000 and 6000"), "+1 (212) 555-7713", "at ", 1),
+             spans_like(spark.range(30_000, 30_050).withColumnRenamed("id", "row"), "555-123-4567", "phone ", "null")]
+    spans = P.stage(reduce(DataFrame.unionByName, spans), "test")
+    taken = {p: {r.accepted for r in P.scored(spans, precision=p).where("label is null").collect()} for p in (0.6, 0.995)}
+    assert taken == {0.6: {True}, 0.995: {False}}
+
+
 def test_redact(spark, cases):
     rows, hidden = cases
     extra = [(i, t, "x", 1) for i, t in rows] + [(9000, None, None, 2), (9001, "write to a.b@c.de, ok", None, 3)]
